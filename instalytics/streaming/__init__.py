@@ -1,0 +1,9 @@
+"""No streaming operators.
+
+The reference computes every feature as a batch re-computation over a
+fixed ingestion horizon (450 / 360 / 180 days) ending in a full snapshot
+replace; it has no watermark, event-time window, state or late-data rule.
+Late events are picked up because each run re-reads the horizon. So this
+package deliberately holds nothing: a run is ``FeatureSet(...)["fe33"]``
+written with ``plans.materialize.write_snapshot``.
+"""
