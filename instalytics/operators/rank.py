@@ -5,10 +5,10 @@ single task. Here:
 
 1. ``dv`` = distinct values with their row counts (hash aggregate, map-side
    combine: a value held by a third of all rows is still one row);
-2. approximate quantiles of the distinct values give sorted cut points
-   (at most ``buckets - 1`` numbers reach the driver);
-3. each distinct value gets the bucket = number of cut points below it,
-   through a balanced comparison tree (log2(buckets) tests, stays in codegen);
+2. approximate quantiles of the distinct values give ``buckets - 1`` cut
+   points, attached as a scalar subquery (one small array, evaluated once,
+   no job at plan-construction time and nothing collected by hand);
+3. each distinct value gets the bucket = number of cut points below it;
    equal values share a bucket, so ties stay exact;
 4. per-bucket totals (<= buckets + 1 rows, a proven bound -> broadcast)
    give the count of rows in all earlier buckets;
@@ -19,15 +19,9 @@ single task. Here:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-
-
-def _bucket_tree(v: Column, cuts: list, lo: int, hi: int) -> Column:
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(v > F.lit(cuts[mid]), _bucket_tree(v, cuts, mid + 1, hi)).otherwise(_bucket_tree(v, cuts, lo, mid))
+from pyspark.sql.types import ArrayType
 
 
 def percent_rank_global(df: DataFrame, value_col: str, name: str = "pct_rank", buckets: int = 64,
@@ -35,11 +29,10 @@ def percent_rank_global(df: DataFrame, value_col: str, name: str = "pct_rank", b
     v = F.col(value_col)
     dv = df.groupBy(value_col).agg(F.count(F.lit(1)).alias("_cnt"))
     probs = [i / buckets for i in range(1, buckets)]
-    row = dv.where(v.isNotNull()).agg(F.percentile_approx(v, probs, accuracy).alias("q")).first()
-    cuts = sorted(set(x for x in (row["q"] or []) if x is not None))
-    null_bucket = len(cuts) + 1
-    bucket = F.when(v.isNull(), F.lit(null_bucket)).otherwise(_bucket_tree(v, cuts, 0, len(cuts)))
-    dv = dv.withColumn("_b", bucket)
+    cuts = dv.where(v.isNotNull()).agg(F.percentile_approx(v, probs, accuracy).alias("q")).scalar()
+    dv = dv.select("*", F.coalesce(cuts, F.array().cast(ArrayType(df.schema[value_col].dataType))).alias("_cuts"))
+    below = F.size(F.filter("_cuts", lambda c: c < v))
+    dv = dv.select(value_col, "_cnt", F.when(v.isNull(), F.size("_cuts") + 1).otherwise(below).alias("_b"))
 
     bt = dv.groupBy("_b").agg(F.sum("_cnt").alias("_bcnt"))
     earlier = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

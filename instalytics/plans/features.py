@@ -16,7 +16,7 @@ from . import consumer, instalments, latefees, limits, master, overdue, utilisat
 from .materialize import materialize
 
 # Intermediates read by several features.
-REUSED = ("fe01", "fe05", "fe09", "fe14", "fe23", "fe08", "fe26")
+REUSED = ("fe01", "fe05", "fe06", "fe08", "fe09", "fe14", "fe23", "fe26", "fe31")
 
 
 class FeatureSet:
