@@ -15,7 +15,7 @@ from .context import Ctx, default_ctx
 from .oracle.sql import oracle_query
 from .plans.features import FeatureSet
 from .session import ensure_checkpoint_dir
-from .sources.testdata import build_sources
+from .sources.testdata import build_sources, staged_sources
 
 FEATURES = {
     "fe01_instal_invoice": "fe01",
@@ -58,6 +58,7 @@ def feature_set(spark: SparkSession, sf_dir: str, ctx: Ctx | None = None) -> Fea
     ctx = ctx or default_ctx(materialize=True)
     if ctx.materialize:
         ensure_checkpoint_dir(spark)
+        return FeatureSet(staged_sources(spark, sf_dir, ctx), ctx)
     return FeatureSet(build_sources(spark, sf_dir, ctx), ctx)
 
 

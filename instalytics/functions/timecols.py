@@ -2,8 +2,8 @@
 
 All results are ``TIMESTAMP_NTZ`` / ``DATE`` and none depends on the session
 time zone. Zones enter as literals (one ``CASE`` branch per country in the
-context map), so the conversion stays inside whole-stage codegen and no zone
-string is parsed per row.
+context map), so each conversion resolves its zone once, stays inside
+whole-stage codegen and parses no zone string per row.
 
 Local-day windows are not evaluated by converting every row: for each country
 the window is a half-open epoch-ms range computed on the driver, so the filter
@@ -51,17 +51,24 @@ def by_country(country, ctx: Ctx, fn, default) -> Column:
     return default if expr is None else expr.otherwise(default)
 
 
-def to_local(country, ts_utc, ctx: Ctx) -> Column:
-    """UTC wall clock -> local wall clock of the row's country."""
-    ts_utc = _c(ts_utc)
+def local_micros(country, ms, ctx: Ctx) -> Column:
+    """Epoch ms -> local wall clock as microseconds since 1970-01-01 00:00.
+
+    ``from_utc_timestamp`` with a literal zone keeps its resolved zone and
+    only adds the zone offset of that instant to the raw microseconds (no
+    session time zone involved); ``unix_micros`` reads the raw value back.
+    One literal-zone branch per country."""
+    ms = _c(ms)
+    secs = ms - ms % 1000
+    utc = F.timestamp_millis(secs)
     return by_country(
-        country, ctx, lambda c: F.convert_timezone(F.lit("UTC"), F.lit(ctx.zone_name(c)), ts_utc), ts_utc
+        country, ctx, lambda c: F.unix_micros(F.from_utc_timestamp(utc, ctx.zone_name(c))), secs * 1000
     )
 
 
 def local_ts(country, ms, ctx: Ctx) -> Column:
     """Epoch ms -> local wall clock (``fn_in_local_tz`` of the reference)."""
-    return to_local(country, utc_ts(ms), ctx)
+    return F.timestamp_add("MICROSECOND", local_micros(country, ms, ctx), epoch_ntz())
 
 
 def local_date(country, ms, ctx: Ctx) -> Column:

@@ -66,10 +66,19 @@ def _utc_date(ms: Column) -> Column:
 
 
 def read_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in TEST_TABLES}
-
-
-def build_sources(spark: SparkSession, sf_dir: str, ctx: Ctx) -> Sources:
+    """The test tables are single-file, single-row-group Parquet, which Spark
+    reads as one partition; a round-robin repartition right after the scan
+    (column-pruned and filtered first by Catalyst) spreads the adapter work
+    over all cores. Warehouse tables (``bundle.read_warehouse``) are many
+    files and need no such step."""
+    n = spark.sparkContext.defaultParallelism
+    return {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet").repartition(n) for t in TEST_TABLES}
+
+
+def build_sources(spark: SparkSession, sf_dir: str, ctx: Ctx, stage=None) -> Sources:
+    """Adapted sources. ``stage(df, name)`` (e.g. a lineage cut) is applied
+    to the shared intermediates ``o`` / ``line`` and to every source."""
+    stage = stage or (lambda df, name: df)
     t = read_tables(spark, sf_dir)
     orders, lineitem, customer, events = t["orders"], t["lineitem"], t["customer"], t["events"]
     as_of_ms = int((ctx.as_of - datetime(1970, 1, 1)).total_seconds() * 1000)
@@ -86,6 +95,7 @@ def build_sources(spark: SparkSession, sf_dir: str, ctx: Ctx) -> Sources:
         "*", uuid.alias("_uuid"), reg.alias("_reg"), cc.alias("_cc"), t0.alias("_t0"), tok.alias("_tok"),
         F.to_date("o_orderdate").alias("_odate"),
     )
+    o = stage(o, "o")
 
     order = o.select(
         k.alias("order_transaction_id"),
@@ -113,6 +123,7 @@ def build_sources(spark: SparkSession, sf_dir: str, ctx: Ctx) -> Sources:
         "*", iid.cast("long").alias("_iid"), due.alias("_due"), q.alias("_q"))
     line = line.withColumn(
         "_paid", _ms_of(F.date_add(F.col("_due"), F.col("_q") - 25)) + (F.col("l_partkey") % 86400) * 1000)
+    line = stage(line, "line")
     pk = F.col("l_partkey")
 
     def due_ms(days: int) -> Column:
@@ -309,7 +320,7 @@ def build_sources(spark: SparkSession, sf_dir: str, ctx: Ctx) -> Sources:
         (F.col("c_acctbal") + F.col("_k")).cast(D10).alias("daily_account_limit"),
     )
 
-    return Sources(
+    out = dict(
         payment_scheduled=payment_scheduled, order=order, due_date_changed=due_date_changed,
         instalment_payment=instalment_payment, payment_processed=payment_processed,
         became_overdue=became_overdue, schedule_override=schedule_override,
@@ -319,3 +330,19 @@ def build_sources(spark: SparkSession, sf_dir: str, ctx: Ctx) -> Sources:
         late_fee_payment=late_fee_payment, late_fee_waived=late_fee_waived,
         late_fee_refunded=late_fee_refunded, consumer=consumer, limit_daily=limit_daily,
     )
+    return Sources(**{k: stage(v, k) for k, v in out.items()})
+
+
+_STAGED: dict = {}
+
+
+def staged_sources(spark: SparkSession, sf_dir: str, ctx: Ctx) -> Sources:
+    """Adapted sources written once per session under the checkpoint folder
+    (as the warehouse tables they stand for already exist on disk) and read
+    back; later calls with the same inputs re-use the files."""
+    from ..plans.materialize import materialize
+
+    key = (spark.sparkContext.applicationId, sf_dir, ctx.as_of, ctx.region, ctx.cutover, ctx.tz_map)
+    if key not in _STAGED:
+        _STAGED[key] = build_sources(spark, sf_dir, ctx, stage=lambda df, name: materialize(df, "src-" + name))
+    return _STAGED[key]
