@@ -134,12 +134,18 @@ def fe05_instal_events_agg(fe01: DataFrame, fe04: DataFrame, fe03: DataFrame, ct
         F.col("instalment_id").alias("e_iid"), F.col("order_id").alias("e_oid"),
         F.col("consumer_uuid").alias("e_uuid"), "event_type", "event_time", "payment_schedule_status",
         "amount_paid", "amount_waived")
-    # Residual (event in the base row's local 360-day window) stays in ON.
-    j = base.join(ev, (base["instalment_id"] == ev["e_iid"]) & (base["order_id"] == ev["e_oid"])
-                  & (base["consumer_uuid"] == ev["e_uuid"])
-                  & in_local_window(ev["event_time"], base["country_code"], ctx, HORIZON_YEAR), "left")
-    et = F.coalesce(F.col("event_type"), F.lit(""))
-    agg = j.groupBy(*FE05_KEYS).agg(
+    # Events meet the instalment keys in an inner join (the residual -- event
+    # in the instalment's local 360-day window -- filters the pairs), are
+    # aggregated per instalment, and only then left-joined 1:1 to the base.
+    # Same result as aggregating the outer join, but the many-rows side is
+    # the streamed side of an inner join (AQE may split a hot key) and is
+    # reduced by partial aggregation before the second shuffle.
+    keys = base.select("instalment_id", "order_id", "consumer_uuid", "country_code").distinct()
+    j = ev.join(keys, (keys["instalment_id"] == ev["e_iid"]) & (keys["order_id"] == ev["e_oid"])
+                & (keys["consumer_uuid"] == ev["e_uuid"])
+                & in_local_window(ev["event_time"], keys["country_code"], ctx, HORIZON_YEAR), "inner")
+    et = F.col("event_type")
+    ev_agg = j.groupBy("instalment_id", "order_id", "consumer_uuid", "country_code").agg(
         count_when((F.coalesce(F.col("payment_schedule_status"), F.lit("")) == "PAID") & (et == "PAYMENT"))
         .alias("paid_cnt"),
         count_when(et == "PAYMENT").alias("payment_cnt"),
@@ -149,6 +155,15 @@ def fe05_instal_events_agg(fe01: DataFrame, fe04: DataFrame, fe03: DataFrame, ct
         sum_when(et == "REFUNDED", "amount_waived", dtype=D20).alias("waived_amount"),
         sum_when(et == "DISCOUNT", "amount_paid", dtype=D20).alias("discount_amount"),
     )
+    agg = base.join(ev_agg, ["instalment_id", "order_id", "consumer_uuid", "country_code"], "left")
+    zero20 = F.lit(0).cast(D20)
+    agg = agg.select(
+        *FE05_KEYS,
+        *[F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c) for c in ("paid_cnt", "payment_cnt", "waived_cnt")],
+        "latest_instal_paid_datetime", "latest_instal_waived_datetime",
+        F.coalesce(F.col("waived_amount"), zero20).alias("waived_amount"),
+        F.coalesce(F.col("discount_amount"), zero20).alias("discount_amount"),
+    )
     return agg.select(
         *FE05_KEYS, "paid_cnt", "payment_cnt", "waived_cnt", "latest_instal_paid_datetime",
         "latest_instal_waived_datetime",

@@ -16,22 +16,33 @@ D20 = "decimal(20,2)"
 def fe31_util_d180(fe08: DataFrame, fe13: DataFrame, ctx: Ctx) -> DataFrame:
     """Per consumer (from FE08): every attempt / check dated on or after the
     last line change (180-day fall-back); one sentinel row when none."""
-    line = fe08.alias("line")
-    otb = fe13.alias("otb")
-    j = line.join(otb, (F.col("line.consumer_consumer_uuid") == F.col("otb.consumer_uuid"))
-                  & (local_date(F.col("line.country_code"), F.col("otb.key_event_info_event_time"), ctx)
-                     >= F.to_date(F.col("line.line_change_ts_180d"))), "left")
-    return j.select(
-        F.col("line.consumer_consumer_uuid").alias("consumer_consumer_uuid"),
-        F.coalesce(F.col("otb.order_id"), F.lit("")).alias("order_id"),
-        F.coalesce(F.col("otb.key_id"), F.lit(-1).cast("bigint")).alias("pos_pre_approval_id"),
-        F.coalesce(F.col("otb.otb_amount"), F.lit(0).cast(D10)).alias("otb_amount"),
-        F.coalesce(F.col("otb.account_limit_amount"), F.lit(0).cast(D10)).alias("limit_amount"),
-        F.coalesce(F.col("otb.osb_amount"), F.lit(0).cast(D10)).alias("osb_amount"),
-        F.col("line.country_code").alias("country_code"),
-        F.col("otb.key_event_info_event_time").alias("key_event_info_event_time"),
-        local_ts(F.col("line.country_code"), F.col("otb.key_event_info_event_time"), ctx).alias("otb_event_ts"),
+    line = fe08.select("consumer_consumer_uuid", "country_code", "line_change_ts_180d")
+    otb = fe13.select(F.col("consumer_uuid").alias("_ou"), "order_id", "key_id", "otb_amount",
+                      "account_limit_amount", "osb_amount", "key_event_info_event_time")
+    # Left join written as inner join + anti join: the attempts (many per
+    # consumer) are the streamed side of an inner join, so AQE can split a
+    # hot consumer; consumers without attempts get the sentinel row.
+    since = (line["consumer_consumer_uuid"] == otb["_ou"]) & (
+        local_date(line["country_code"], otb["key_event_info_event_time"], ctx)
+        >= F.to_date(line["line_change_ts_180d"]))
+    matched = otb.join(line, since, "inner").select(
+        "consumer_consumer_uuid",
+        F.coalesce(F.col("order_id"), F.lit("")).alias("order_id"),
+        F.coalesce(F.col("key_id"), F.lit(-1).cast("bigint")).alias("pos_pre_approval_id"),
+        F.coalesce(F.col("otb_amount"), F.lit(0).cast(D10)).alias("otb_amount"),
+        F.coalesce(F.col("account_limit_amount"), F.lit(0).cast(D10)).alias("limit_amount"),
+        F.coalesce(F.col("osb_amount"), F.lit(0).cast(D10)).alias("osb_amount"),
+        "country_code", "key_event_info_event_time",
+        local_ts("country_code", "key_event_info_event_time", ctx).alias("otb_event_ts"),
     )
+    alone = line.join(otb, since, "left_anti").select(
+        "consumer_consumer_uuid", F.lit("").alias("order_id"), F.lit(-1).cast("bigint").alias("pos_pre_approval_id"),
+        F.lit(0).cast(D10).alias("otb_amount"), F.lit(0).cast(D10).alias("limit_amount"),
+        F.lit(0).cast(D10).alias("osb_amount"), "country_code",
+        F.lit(None).cast("bigint").alias("key_event_info_event_time"),
+        F.lit(None).cast("timestamp_ntz").alias("otb_event_ts"),
+    )
+    return matched.unionByName(alone)
 
 
 def fe32_cust_util_d180(fe06: DataFrame, fe31: DataFrame, ctx: Ctx) -> DataFrame:
