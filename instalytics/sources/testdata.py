@@ -336,13 +336,28 @@ def build_sources(spark: SparkSession, sf_dir: str, ctx: Ctx, stage=None) -> Sou
 _STAGED: dict = {}
 
 
+# "shared": write the two shared intermediates only (fewest writes; used by
+# the driver-facing queries); "full": also write all 19 sources, as the
+# warehouse tables they stand for already exist (used by bench.py's set-up).
+STAGING = {"mode": "shared"}
+
+
 def staged_sources(spark: SparkSession, sf_dir: str, ctx: Ctx) -> Sources:
-    """Adapted sources written once per session under the checkpoint folder
-    (as the warehouse tables they stand for already exist on disk) and read
-    back; later calls with the same inputs re-use the files."""
+    """Adapted sources whose expensive shared intermediates (orders with
+    derived keys, and lineitem joined to them) -- and with ``STAGING`` =
+    "full" every source table -- are written once per session under the
+    checkpoint folder and read back as multi-file Parquet. Later calls with
+    the same inputs re-use the files."""
     from ..plans.materialize import materialize
 
-    key = (spark.sparkContext.applicationId, sf_dir, ctx.as_of, ctx.region, ctx.cutover, ctx.tz_map)
+    full = STAGING["mode"] == "full"
+
+    def stage(df, name):
+        if name in ("o", "line"):
+            return materialize(df.repartition(spark.sparkContext.defaultParallelism), "src-" + name)
+        return materialize(df, "src-" + name) if full else df
+
+    key = (spark.sparkContext.applicationId, sf_dir, ctx.as_of, ctx.region, ctx.cutover, ctx.tz_map, full)
     if key not in _STAGED:
-        _STAGED[key] = build_sources(spark, sf_dir, ctx, stage=lambda df, name: materialize(df, "src-" + name))
+        _STAGED[key] = build_sources(spark, sf_dir, ctx, stage=stage)
     return _STAGED[key]
