@@ -44,11 +44,44 @@ def number_in_group(df: DataFrame, keys, order, name: str, tiebreak=()) -> DataF
     return df.withColumn(name, F.row_number().over(w).cast("bigint"))
 
 
-def previous_value(df: DataFrame, keys, time_col, value_col, name: str, dtype: str, default=0, tiebreak=()) -> DataFrame:
-    """Value of the next older row of the same key (``LEAD`` over time DESC),
-    cast to ``dtype``; ``default`` for the oldest row."""
+def previous_value(df: DataFrame, keys, time_col, value_col, name: str, dtype: str, default=0, tiebreak=(),
+                   bucket=None) -> DataFrame:
+    """Value of the next older row of the same key (``LEAD`` over time DESC,
+    ties by ``tiebreak`` DESC, nulls first), cast to ``dtype``; ``default``
+    for the oldest row.
+
+    With ``bucket`` (a column monotone in ``time_col``, e.g. the UTC day of
+    an epoch-ms time) the window runs per (key, bucket), so one hot key is
+    spread over as many tasks as it has buckets. The oldest row of a bucket
+    takes its predecessor from a per-(key, bucket) summary -- the newest
+    value of each bucket, shifted by one bucket with a window over at most
+    (#buckets) rows per key -- joined back on (key, bucket)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    order = [_c(c).desc_nulls_first() for c in [time_col, *tiebreak]]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    prev = F.lead(_c(value_col), 1).over(w).cast(dtype)
-    return df.withColumn(name, F.coalesce(prev, F.lit(default).cast(dtype)))
+    order_cols = [time_col, *tiebreak]
+    order = [_c(c).desc_nulls_first() for c in order_cols]
+    val = _c(value_col)
+    if bucket is None:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        prev = F.lead(val, 1).over(w).cast(dtype)
+        return df.withColumn(name, F.coalesce(prev, F.lit(default).cast(dtype)))
+
+    cols = df.columns
+    b = df.withColumn("_bk", bucket)
+    w = Window.partitionBy(*keys, "_bk").orderBy(*order)
+    # lead of a struct: null only when there is no next row in the bucket
+    b = b.withColumn("_nx", F.lead(F.struct(val.alias("v")), 1).over(w))
+    newest = latest_per_key(b.select(*keys, "_bk", *[_c(c).alias(f"_o{i}") for i, c in enumerate(order_cols)],
+                                     val.alias("_v")), [*keys, "_bk"], [f"_o{i}" for i in range(len(order_cols))])
+    wb = Window.partitionBy(*keys).orderBy(F.col("_bk").desc_nulls_first())
+    edge = newest.select(*[F.col(k).alias(f"_ek{i}") for i, k in enumerate(keys)], F.col("_bk").alias("_eb"),
+                         F.lead(F.struct(F.col("_v").alias("v")), 1).over(wb).alias("_pb"))
+    cond = F.col("_bk").eqNullSafe(F.col("_eb"))  # null times form their own (newest) bucket
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_ek{i}"))
+    j = b.join(edge, cond, "left")
+    prev = F.when(F.col("_nx").isNotNull(), F.col("_nx.v")).when(F.col("_pb").isNotNull(), F.col("_pb.v"))
+    has = F.col("_nx").isNotNull() | F.col("_pb").isNotNull()
+    out = F.when(has, prev.cast(dtype)).otherwise(F.lit(default).cast(dtype))
+    # same null rule as the plain form: a null predecessor value becomes the default
+    out = F.coalesce(out, F.lit(default).cast(dtype))
+    return j.select(*cols, out.alias(name))

@@ -35,8 +35,11 @@ def fe06_order_d360(order: DataFrame, ctx: Ctx) -> DataFrame:
 def value_changes(decision_value_change: DataFrame, ctx: Ctx) -> DataFrame:
     """Value-change events with the next older event's value (0 for the oldest)."""
     vc = scan(decision_value_change, ctx, HORIZON_YEAR)
+    # day buckets: a consumer with a huge share of the events is windowed
+    # per (consumer, day) and stitched across days (see previous_value)
+    day = F.floor(F.col("timestamp") / F.lit(86_400_000))
     return previous_value(vc, ["consumer_uuid"], "timestamp", "old_value", "last_old_value", D10,
-                          tiebreak=["old_value", "country_code"])
+                          tiebreak=["old_value", "country_code"], bucket=day)
 
 
 def fe07_line_change(decision_value_change: DataFrame, limit_change_backfill: DataFrame, ctx: Ctx) -> DataFrame:

@@ -98,3 +98,17 @@ def test_text_helpers(spark):
     assert got["z"][0] == "Goodwill"
     assert got["w"][0] == "Lost_Stolen_Card" and str(got["w"][1]) == "12.50"
     assert got["v"][0] == ""  # no ticket reference: empty text, as the warehouse's REGEXP_SUBSTR
+
+
+def test_previous_value_bucketed_equals_plain(spark):
+    rnd = random.Random(11)
+    rows = []
+    for i in range(3000):
+        k = "hot" if i % 3 else f"c{i % 17}"           # one key with two thirds of the rows
+        t = rnd.choice([None] + [rnd.randint(0, 40 * 86_400_000) for _ in range(30)])
+        rows.append((k, t, rnd.choice([None, "1.00", "2.50", "2.50", "7.00"]), rnd.choice(["GB", "FR"])))
+    df = spark.createDataFrame(rows, "k string, t long, v string, cc string")
+    plain = previous_value(df, ["k"], "t", "v", "p", "decimal(10,2)", tiebreak=["v", "cc"])
+    buck = previous_value(df, ["k"], "t", "v", "p", "decimal(10,2)", tiebreak=["v", "cc"],
+                          bucket=F.floor(F.col("t") / F.lit(86_400_000)))
+    assert plain.exceptAll(buck).count() == 0 and buck.exceptAll(plain).count() == 0
