@@ -68,20 +68,26 @@ def previous_value(df: DataFrame, keys, time_col, value_col, name: str, dtype: s
     cols = df.columns
     b = df.withColumn("_bk", bucket)
     w = Window.partitionBy(*keys, "_bk").orderBy(*order)
-    # lead of a struct: null only when there is no next row in the bucket
-    b = b.withColumn("_nx", F.lead(F.struct(val.alias("v")), 1).over(w))
-    newest = latest_per_key(b.select(*keys, "_bk", *[_c(c).alias(f"_o{i}") for i, c in enumerate(order_cols)],
-                                     val.alias("_v")), [*keys, "_bk"], [f"_o{i}" for i in range(len(order_cols))])
+    # one window pass per (key, bucket): the next row (a struct, null only when
+    # there is none) and the row's position (1 = newest row of the bucket)
+    b = b.select("*", F.lead(F.struct(val.alias("v")), 1).over(w).alias("_nx"),
+                 F.row_number().over(w).alias("_rn"))
+    kb = [*keys, "_bk"]
+    newest = b.where(F.col("_rn") == 1).select(*kb, F.struct(val.alias("v")).alias("_nv"))
     wb = Window.partitionBy(*keys).orderBy(F.col("_bk").desc_nulls_first())
-    edge = newest.select(*[F.col(k).alias(f"_ek{i}") for i, k in enumerate(keys)], F.col("_bk").alias("_eb"),
-                         F.lead(F.struct(F.col("_v").alias("v")), 1).over(wb).alias("_pb"))
-    cond = F.col("_bk").eqNullSafe(F.col("_eb"))  # null times form their own (newest) bucket
-    for i, k in enumerate(keys):
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_ek{i}"))
-    j = b.join(edge, cond, "left")
-    prev = F.when(F.col("_nx").isNotNull(), F.col("_nx.v")).when(F.col("_pb").isNotNull(), F.col("_pb.v"))
-    has = F.col("_nx").isNotNull() | F.col("_pb").isNotNull()
-    out = F.when(has, prev.cast(dtype)).otherwise(F.lit(default).cast(dtype))
-    # same null rule as the plain form: a null predecessor value becomes the default
-    out = F.coalesce(out, F.lit(default).cast(dtype))
-    return j.select(*cols, out.alias(name))
+    edge = newest.select(*[F.col(c).alias(f"_e{i}") for i, c in enumerate(kb)],
+                         F.lead("_nv", 1).over(wb).alias("_pb"))
+    # only the oldest row of each (key, bucket) looks across buckets: a join of
+    # one row per bucket with one row per bucket (null-safe: null keys / times
+    # form their own partition / bucket)
+    oldest = b.where(F.col("_nx").isNull())
+    cond = None
+    for i, c in enumerate(kb):
+        t = F.col(c).eqNullSafe(F.col(f"_e{i}"))
+        cond = t if cond is None else cond & t
+    oldest = oldest.join(edge, cond, "left").select(*cols, F.col("_pb.v").alias("_pv"), F.col("_pb").isNotNull()
+                                                     .alias("_has"))
+    inner = b.where(F.col("_nx").isNotNull()).select(*cols, F.col("_nx.v").alias("_pv"), F.lit(True).alias("_has"))
+    dflt = F.lit(default).cast(dtype)
+    out = F.when(F.col("_has"), F.coalesce(F.col("_pv").cast(dtype), dflt)).otherwise(dflt)
+    return inner.unionByName(oldest).select(*cols, out.alias(name))

@@ -17,6 +17,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # broadcast only on measured sizes: no planning-time broadcast from file-size
+        # estimates; AQE broadcasts a side once its shuffle output is known to be small
+        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")
         .config("spark.sql.session.timeZone", "UTC")
         # no Python call-site capture on every DataFrame / Column call
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
