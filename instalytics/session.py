@@ -43,3 +43,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+# Settings meant for the large-cluster run (a 1000-executor job over ~100 TB of
+# events). Pass them to the cluster's session builder; nothing here changes
+# results, only partition sizing and where Spark may broadcast.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    # many initial shuffle partitions, coalesced by AQE to ~256 MB each
+    "spark.sql.shuffle.partitions": "16000",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    # hot keys: split skewed partitions of the streamed side of a join
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512MB",
+    # broadcast only on sizes measured at run time
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
