@@ -36,12 +36,62 @@ def latest_per_key(df: DataFrame, keys, order, tiebreak=()) -> DataFrame:
     return df.groupBy(*keys).agg(best).select(*keys, "_best._row.*").select(*cols)
 
 
-def number_in_group(df: DataFrame, keys, order, name: str, tiebreak=()) -> DataFrame:
+def number_in_group(df: DataFrame, keys, order, name: str, tiebreak=(), hot_rows: int | None = None,
+                    buckets: int = 64) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order ASC NULLS LAST)``
-    as BIGINT."""
+    as BIGINT.
+
+    With ``hot_rows``, keys holding more rows than that are split: their rows
+    are cut into sub-ranges by approximate quantiles (per key) of the first
+    order column (numeric; equal values share a sub-range, so the order
+    inside a value is kept whole), numbered per (key, sub-range), and offset
+    by the row count of all earlier sub-ranges of the key (a running sum over
+    at most ``buckets`` + 1 rows per key). Other keys use the plain window.
+    Hot keys are found with a grouped count and marked through a join, never
+    collected to the driver."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    w = Window.partitionBy(*keys).orderBy(*[_c(c).asc_nulls_last() for c in list(order) + list(tiebreak)])
-    return df.withColumn(name, F.row_number().over(w).cast("bigint"))
+    order_cols = [_c(c) for c in list(order) + list(tiebreak)]
+    w = Window.partitionBy(*keys).orderBy(*[c.asc_nulls_last() for c in order_cols])
+    if hot_rows is None:
+        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
+
+    cols = df.columns
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+           .select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)], F.lit(True).alias("_hot")))
+    cond = None
+    for i, k in enumerate(keys):
+        t = F.col(k).eqNullSafe(F.col(f"_h{i}"))
+        cond = t if cond is None else cond & t
+    marked = df.join(hot, cond, "left").drop(*[f"_h{i}" for i in range(len(keys))])
+    plain = marked.where(F.col("_hot").isNull()).drop("_hot")
+    plain = plain.withColumn(name, F.row_number().over(w).cast("bigint"))
+
+    rows = marked.where(F.col("_hot")).drop("_hot")
+    first = order_cols[0]
+    probs = [i / buckets for i in range(1, buckets)]
+    cuts = rows.groupBy(*keys).agg(F.percentile_approx(first, probs, 10000).alias("_cuts"))
+    rows = _join_null_safe(rows, cuts, keys)  # one small row per hot key
+    sub = F.when(first.isNull(), F.size("_cuts") + 1).otherwise(F.size(F.filter("_cuts", lambda c: c < first)))
+    rows = rows.withColumn("_sub", sub).drop("_cuts")
+    wsub = Window.partitionBy(*keys, "_sub").orderBy(*[c.asc_nulls_last() for c in order_cols])
+    rows = rows.withColumn("_local", F.row_number().over(wsub))
+    sizes = rows.groupBy(*keys, "_sub").agg(F.count(F.lit(1)).alias("_cnt"))
+    earlier = Window.partitionBy(*keys).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
+    offs = sizes.select(*keys, "_sub", F.coalesce(F.sum("_cnt").over(earlier), F.lit(0)).alias("_off"))
+    rows = _join_null_safe(rows, offs, [*keys, "_sub"])
+    rows = rows.select(*cols, (F.col("_off") + F.col("_local")).cast("bigint").alias(name))
+    return plain.select(*cols, name).unionByName(rows)
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join on ``on`` where null equals null (a null key is a group)."""
+    r = right.select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(on)],
+                     *[c for c in right.columns if c not in on])
+    cond = None
+    for i, c in enumerate(on):
+        t = F.col(c).eqNullSafe(F.col(f"_r{i}"))
+        cond = t if cond is None else cond & t
+    return left.join(r, cond, "inner").drop(*[f"_r{i}" for i in range(len(on))])
 
 
 def previous_value(df: DataFrame, keys, time_col, value_col, name: str, dtype: str, default=0, tiebreak=(),

@@ -45,7 +45,8 @@ def fe01_instal_invoice(payment_scheduled: DataFrame, order: DataFrame, ctx: Ctx
     # Region is a single value here, so numbering per (order, region) equals
     # numbering per order and re-uses the join's hash partitioning.
     return number_in_group(rows, ["order_id", "par_region"], ["instalment_id"], "instalment_seq_id",
-                           tiebreak=["invoice_event_time", "inv_amount", "original_due_date", "consumer_uuid"])
+                           tiebreak=["invoice_event_time", "inv_amount", "original_due_date", "consumer_uuid"],
+                           hot_rows=ctx.hot_key_rows)
 
 
 def fe02_due_date_history(due_date_changed: DataFrame, fe01: DataFrame, ctx: Ctx) -> DataFrame:

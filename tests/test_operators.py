@@ -112,3 +112,15 @@ def test_previous_value_bucketed_equals_plain(spark):
     buck = previous_value(df, ["k"], "t", "v", "p", "decimal(10,2)", tiebreak=["v", "cc"],
                           bucket=F.floor(F.col("t") / F.lit(86_400_000)))
     assert plain.exceptAll(buck).count() == 0 and buck.exceptAll(plain).count() == 0
+
+
+def test_number_in_group_hot_keys_equal_plain(spark):
+    rnd = random.Random(5)
+    rows = [("hot" if i % 3 else f"g{i % 40}", rnd.choice([None] + list(range(60))), rnd.randint(0, 3))
+            for i in range(3000)]
+    rows += [(None, rnd.randint(0, 9), 0) for _ in range(200)]   # null key, also above the threshold
+    df = spark.createDataFrame(rows, "g string, i int, t int")
+    plain = number_in_group(df, ["g"], ["i"], "n", tiebreak=["t"])
+    split = number_in_group(df, ["g"], ["i"], "n", tiebreak=["t"], hot_rows=100, buckets=8)
+    # numbering is unique per group, so compare the multiset of (g, i, t, n)
+    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
