@@ -33,12 +33,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Keep the cluster's ``spark.checkpoint.dir``; only when it is unset (tests,
-    local runs) point it at a fresh scratch folder."""
+    """Keep the cluster's ``spark.checkpoint.dir``. Only in local mode (tests,
+    local runs) and only when it is unset, point it at a fresh scratch folder;
+    on a cluster an unset folder is an error, never a machine-local path."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder shared by all executors")
     path = tempfile.mkdtemp(prefix="instalytics-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
