@@ -9,6 +9,7 @@ upstream joins)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..context import Ctx
 from ..sources.bundle import Sources
@@ -16,7 +17,7 @@ from . import consumer, instalments, latefees, limits, master, overdue, utilisat
 from .materialize import materialize
 
 # Intermediates read by several features.
-REUSED = ("fe01", "fe05", "fe06", "fe08", "fe09", "fe14", "fe23", "fe26", "fe31")
+REUSED = ("fe01", "fe05", "fe06", "fe08", "fe09", "fe14", "fe23", "fe26", "fe31", "orders_rollup")
 
 
 class FeatureSet:
@@ -145,8 +146,24 @@ class FeatureSet:
     def _fe32(self):
         return utilisation.fe32_cust_util_d180(self["fe06"], self["fe31"], self.ctx)
 
+    # -- master forms of the order features: one scan / shuffle of orders
+    def _orders_rollup(self):
+        return consumer.order_rollup(self.src.order, self.ctx)
+
+    def _fe10m(self):
+        base = self["orders_rollup"].where("_has_latest = 1").select(
+            F.col("consumer_uuid").alias("consumer_consumer_uuid"), "country_code", "latest_order_datetime")
+        return limits.limit_asof(base, self["fe09"], self.ctx)
+
+    def _fe19m(self):
+        return consumer.fe19_from_rollup(self["orders_rollup"])
+
+    def _fe21m(self):
+        return consumer.fe21_from_rollup(self["orders_rollup"], self.ctx)
+
     # -- master
     def _fe33(self):
-        names = ["fe22", "fe10", "fe17", "fe18", "fe19", "fe20m", "fe21", "fe24", "fe25", "fe27", "fe28", "fe29",
-                 "fe30", "fe32"]
-        return master.fe33_consumer_master(self.as_dict(names), self.ctx)
+        names = {"fe22": "fe22", "fe10": "fe10m", "fe17": "fe17", "fe18": "fe18", "fe19": "fe19m", "fe20m": "fe20m",
+                 "fe21": "fe21m", "fe24": "fe24", "fe25": "fe25", "fe27": "fe27", "fe28": "fe28", "fe29": "fe29",
+                 "fe30": "fe30", "fe32": "fe32"}
+        return master.fe33_consumer_master({k: self[v] for k, v in names.items()}, self.ctx)

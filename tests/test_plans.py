@@ -83,3 +83,9 @@ def test_rerun_is_identical(spark):
     a = catalog.queries()["fe17_cust_latefee"](spark, "/root/testdata/sf0.001")
     b = catalog.queries()["fe17_cust_latefee"](spark, "/root/testdata/sf0.001")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@pytest.mark.parametrize("plain,rolled", [("fe10", "fe10m"), ("fe19", "fe19m"), ("fe21", "fe21m")])
+def test_order_rollup_forms_equal_standalone(fs, plain, rolled):
+    a, b = fs[plain], fs[rolled].select(*fs[plain].columns)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
