@@ -74,3 +74,23 @@ def test_fully_discounted_instalment_is_full_waived(spark, ctx):
     assert got[10].full_waived == 1 and got[10].paid_cnt == 0 and got[10].upfront_instalment == 1
     assert got[11].full_waived == 0 and got[11].paid_cnt == 1 and got[11].upfront_instalment == 0
     assert got[11].latest_instal_paid_date == date(2001, 7, 10)
+
+
+def test_fee_paid_on_rejected_order_stays_in_ledger(spark, ctx):
+    from instalytics.plans.latefees import fe15_latefee_events
+
+    d = date(2001, 7, 20)
+    ms = int((datetime(2001, 7, 20, 9) - datetime(1970, 1, 1)).total_seconds() * 1000)
+    pay = spark.createDataFrame([(900, 77, ms, Decimal("6.00"), "GB", d)], SCHEMAS["late_fee_payment"])
+    processed = spark.createDataFrame([("cx", 77, "", "DEBIT", "SUCCESSFUL", ms, "GB", d)],
+                                      SCHEMAS["payment_processed"])
+    empty = {n: spark.createDataFrame([], SCHEMAS[n]) for n in ("late_fee_waived", "late_fee_refunded")}
+    fe14 = spark.createDataFrame([], "consumer_uuid string, country_code string, order_id long, instalment_id long, "
+                                     "late_fee_id long, event_time long, amount_invoiced decimal(20,2), "
+                                     "par_region string")  # the fee's order was not approved: no invoice row
+    rows = fe15_latefee_events(pay, processed, empty["late_fee_waived"], empty["late_fee_refunded"], fe14,
+                               ctx).collect()
+    assert len(rows) == 1
+    r = rows[0]
+    assert (r.event_type, r.consumer_uuid, r.order_id, r.late_fee_id, r.amount_paid) == \
+        ("PAYMENT", "cx", None, 900, Decimal("6.00"))
