@@ -49,8 +49,6 @@ class Ctx:
     cutover: date = date(2021, 6, 1)
     tz_map: tuple = DEFAULT_TZ_MAP
     offsets: tuple = (2, 3, 10, 30, 90, 180)
-    # Rows below which a dimension side may be broadcast (checked, see operators.joins).
-    broadcast_rows: int = 2_000_000
     # Buckets of the distributed exact percent rank.
     rank_buckets: int = 64
     # Rows above which one key of a numbering window is split into sub-ranges.

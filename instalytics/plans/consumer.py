@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..context import HORIZON_HALF, Ctx
 from ..functions.conditional import any_when, count_when
-from ..functions.timecols import coarse_ms_range, in_local_window, local_today, local_today_minus
+from ..functions.timecols import coarse_ms_range, in_local_window, local_today
 from ..operators.rank import percent_rank_global
 from ..operators.reshape import pivot_day_offsets
 from ..sources.bundle import scan
@@ -97,7 +97,7 @@ def fe22_cust_base(consumer: DataFrame, ctx: Ctx) -> DataFrame:
 
 
 __all__ = ["fe18_cust_pymt_method", "fe19_cust_order_d180", "fe20_cust_account_limit",
-           "fe21_cust_approved_order_d180", "fe22_cust_base", "local_today_minus"]
+           "fe21_cust_approved_order_d180", "fe22_cust_base", "order_rollup", "fe19_from_rollup", "fe21_from_rollup"]
 
 
 def order_rollup(order: DataFrame, ctx: Ctx) -> DataFrame:

@@ -198,5 +198,5 @@ def fe13_otb(fe11: DataFrame, fe12: DataFrame) -> DataFrame:
 
 __all__ = [
     "fe06_order_d360", "fe07_line_change", "fe08_line_change_window", "fe09_de_limit",
-    "fe10_cust_approved_limit", "fe11_order_attempt", "fe12_limit_check", "fe13_otb", "asof_latest",
+    "fe10_cust_approved_limit", "fe11_order_attempt", "fe12_limit_check", "fe13_otb", "limit_asof",
 ]
