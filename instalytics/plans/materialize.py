@@ -30,6 +30,5 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def write_snapshot(df: DataFrame, path: str, partition_cols=("par_region", "par_process_date")) -> None:
     """Replace the run's partitions of the snapshot table (idempotent re-run):
     dynamic partition overwrite keeps other regions / dates intact."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    df.write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_cols).parquet(path))
