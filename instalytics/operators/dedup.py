@@ -48,7 +48,7 @@ def number_in_group(df: DataFrame, keys, order, name: str, tiebreak=(), hot_rows
     by the row count of all earlier sub-ranges of the key (a running sum over
     at most ``buckets`` + 1 rows per key). Other keys use the plain window.
     Hot keys are found with a grouped count and marked through a join, never
-    collected to the driver."""
+    collected to the driver; a null key is never treated as hot."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     order_cols = [_c(c) for c in list(order) + list(tiebreak)]
     w = Window.partitionBy(*keys).orderBy(*[c.asc_nulls_last() for c in order_cols])
@@ -56,13 +56,12 @@ def number_in_group(df: DataFrame, keys, order, name: str, tiebreak=(), hot_rows
         return df.withColumn(name, F.row_number().over(w).cast("bigint"))
 
     cols = df.columns
+    # equality join on the keys: the marked rows keep a hash partitioning on
+    # the keys that the window below re-uses; rows with a null key never
+    # match and take the plain window (correct, only not split)
     hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-           .select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)], F.lit(True).alias("_hot")))
-    cond = None
-    for i, k in enumerate(keys):
-        t = F.col(k).eqNullSafe(F.col(f"_h{i}"))
-        cond = t if cond is None else cond & t
-    marked = df.join(hot, cond, "left").drop(*[f"_h{i}" for i in range(len(keys))])
+           .select(*keys, F.lit(True).alias("_hot")))
+    marked = df.join(hot, keys, "left")
     plain = marked.where(F.col("_hot").isNull()).drop("_hot")
     plain = plain.withColumn(name, F.row_number().over(w).cast("bigint"))
 

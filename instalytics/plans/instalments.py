@@ -41,9 +41,10 @@ def fe01_instal_invoice(payment_scheduled: DataFrame, order: DataFrame, ctx: Ctx
         local_ts(F.col("o.country_code"), F.col("o.key_event_info_event_time"), ctx).alias("order_event_datetime"),
         F.col("o.first_payment_up_front").alias("first_payment_up_front"),
         F.col("o.consumer_total_amount_amount").cast(D20).alias("consumer_amount"),
-    ).distinct()
-    # Region is a single value here, so numbering per (order, region) equals
-    # numbering per order and re-uses the join's hash partitioning.
+    ).repartition("order_id", "par_region").distinct()
+    # One shuffle by (order, region) serves the de-duplication, the hot-order
+    # count / marking and the numbering window. Region is a single value here,
+    # so numbering per (order, region) equals numbering per order.
     return number_in_group(rows, ["order_id", "par_region"], ["instalment_id"], "instalment_seq_id",
                            tiebreak=["invoice_event_time", "inv_amount", "original_due_date", "consumer_uuid"],
                            hot_rows=ctx.hot_key_rows)
