@@ -6,16 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, language_id, quality_rules, sharding
+from . import decontaminate, html_extract, language_id, line_dedup, mixing, quality_rules, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": mixing.op1_mixing,
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op3_line_dedup": line_dedup.op3_line_dedup,
     "op5_sharding": sharding.op5_sharding,
     "op8_language_id": language_id.op8_language_id,
     "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
+    "op10_html_extraction": html_extract.op10_html_extraction,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_mixing": mixing.SQL,
     "op2_quality_rules": quality_rules.SQL,
+    "op3_line_dedup": line_dedup.SQL,
     "op9_benchmark_decontamination": decontaminate.SQL,
 }

@@ -157,7 +157,7 @@ def _pack_items(items: DataFrame, shards: int | None, capacity: int | None) -> D
         bins = pack_into(sizes, shards) if shards is not None else best_fit(sizes, capacity)
         return pd.DataFrame({"unit": pdf["unit"], "shard": bins}).astype({"shard": "int32"})
 
-    return items.groupBy(F.lit(1)).applyInPandas(lambda pdf: pack(pdf), "unit string, shard int")
+    return items.groupBy().applyInPandas(pack, "unit string, shard int")
 
 
 def place_groups(rows: DataFrame, shards: int | None = 40, capacity: int | None = None) -> tuple[DataFrame, DataFrame]:
