@@ -39,9 +39,11 @@ def words_of(text: Column) -> Column:
 
 
 def _doc_words(docs: DataFrame) -> DataFrame:
-    """A row per document word (one with a null place if there is none); outer,
-    so that Spark adds no second evaluation of the words as a filter."""
-    d = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"), words_of(F.col("text")).alias("_words"))
+    """A row per document word, after one of an empty word at place 0 that
+    stands for the document; outer, so that Spark adds no second evaluation of
+    the words as a filter."""
+    words = F.concat(F.array(F.lit("")), words_of(F.col("text")))
+    d = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"), words.alias("_words"))
     return d.select("_id", "_hash", "_words", F.posexplode_outer("_words").alias("_pos", "_word"))
 
 
@@ -85,12 +87,11 @@ def occurrences(docs: DataFrame, anchors: DataFrame, block: int = 100_000) -> Da
     for k in range(blocks):
         part = anchors.where(F.pmod(F.xxhash64("win"), F.lit(blocks)) == k)
         d = _doc_words(docs).join(F.broadcast(part), "_word", "left")
-        start = F.col("_pos") - F.col("off")
-        hit = (start >= 0) & (start + F.col("len") <= F.size("_words")) & (F.slice("_words", F.greatest(start, F.lit(0)) + 1, F.col("len")) == F.col("win"))
-        hit = F.coalesce(hit, F.lit(False))
-        mark = F.coalesce(F.col("_pos") == 0, F.lit(True)) if k == 0 else F.lit(False)
-        rows = (d.withColumn("_hit", hit).withColumn("_mark", mark).where("_hit or _mark")
-                .select("_id", "_hash", F.when(F.col("_mark"), F.when(F.col("_pos").isNull(), 0).otherwise(F.size("_words"))).alias("n_words"),
+        start = F.col("_pos") - F.col("off")  # the first word is at place 1
+        hit = (start >= 1) & (start + F.col("len") <= F.size("_words")) & (F.slice("_words", F.greatest(start, F.lit(1)), F.col("len")) == F.col("win"))
+        mark = (F.col("_pos") == 0) if k == 0 else F.lit(False)
+        rows = (d.withColumn("_hit", F.coalesce(hit, F.lit(False))).withColumn("_mark", mark).where("_hit or _mark")
+                .select("_id", "_hash", F.when(F.col("_mark"), F.size("_words") - 1).alias("n_words"),
                         F.when(F.col("_hit"), start).alias("start"), F.when(F.col("_hit"), F.col("win")).alias("win")))
         out = rows if out is None else out.unionByName(rows)
     return out
@@ -102,9 +103,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     win = windows(benchmark)
     occ = staged(occurrences(docs, anchored(docs, benchmark)), "occurrences")
     key = ["_id", "_hash"]
-    # the first word can be the anchor of several windows: the mark is the same on each of them
-    rows = (occ.where("n_words is not null").groupBy(*key, "n_words", "start", "win").agg(F.count(F.lit(1)).alias("k"))
-            .groupBy(*key).agg(F.max("n_words").alias("n_words"), F.max("k").alias("copies")))
+    rows = occ.where("n_words is not null").groupBy(*key).agg(F.max("n_words").alias("n_words"), F.count(F.lit(1)).alias("copies"))
     hits = occ.where("win is not null").select(*key, "start", "win").distinct()
     spans = hits.select(*key, "start", (F.col("start") + F.size("win")).alias("end")).distinct()
     w = Window.partitionBy(*key).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
