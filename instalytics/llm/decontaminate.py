@@ -88,7 +88,7 @@ def occurrences(docs: DataFrame, anchors: DataFrame, block: int = 100_000) -> Da
         part = anchors.where(F.pmod(F.xxhash64("win"), F.lit(blocks)) == k)
         d = _doc_words(docs).join(F.broadcast(part), "_word", "left")
         start = F.col("_pos") - F.col("off")  # the first word is at place 1
-        hit = (start >= 1) & (start + F.col("len") <= F.size("_words")) & (F.slice("_words", F.greatest(start, F.lit(1)), F.col("len")) == F.col("win"))
+        hit = (start >= 1) & (start + F.col("len") <= F.size("_words")) & (F.slice("_words", F.greatest(start, F.lit(1)) + 1, F.col("len")) == F.col("win"))
         mark = (F.col("_pos") == 0) if k == 0 else F.lit(False)
         rows = (d.withColumn("_hit", F.coalesce(hit, F.lit(False))).withColumn("_mark", mark).where("_hit or _mark")
                 .select("_id", "_hash", F.when(F.col("_mark"), F.size("_words") - 1).alias("n_words"),
