@@ -112,9 +112,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                .groupBy(*key).agg(F.sum("_new").alias("n_hit")))
     items = (hits.select(*key, "win").distinct().join(win, "win").groupBy(*key)
              .agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items")))
-    found = covered.join(items, key, "left")
-    k1, k2 = rows.alias("r"), found.alias("f")
-    out = k1.join(k2, F.col("r._id").eqNullSafe(F.col("f._id")) & F.col("r._hash").eqNullSafe(F.col("f._hash")), "left")
+    def same(x: str, y: str) -> Column:  # a null id matches a null id
+        return F.col(f"{x}._id").eqNullSafe(F.col(f"{y}._id")) & F.col(f"{x}._hash").eqNullSafe(F.col(f"{y}._hash"))
+
+    out = (rows.alias("r").join(covered.alias("c"), same("r", "c"), "left")
+           .join(items.alias("i"), same("r", "i"), "left"))
     n_hit = F.coalesce(F.col("n_hit"), F.lit(0)).cast("long")
     names = F.coalesce(F.col("items"), F.array().cast("array<string>"))
     out = out.select(F.col("r._id").alias("doc_id"), F.col("r._hash").alias("_hash"), F.col("n_words").cast("long").alias("n_words"),

@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_extract, language_id, line_dedup, mixing, quality_rules, sharding
+from . import decontaminate, html_extract, language_id, line_dedup, mixing, ngram_join, quality_rules, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.op1_mixing,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op3_line_dedup": line_dedup.op3_line_dedup,
+    "op4_ngram_jaccard_join": ngram_join.op4_ngram_jaccard_join,
     "op5_sharding": sharding.op5_sharding,
     "op8_language_id": language_id.op8_language_id,
     "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
