@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_extract, language_id, line_dedup, mixing, ngram_join, quality_rules, sharding
+from . import decontaminate, html_extract, language_id, line_dedup, mixing, ngram_join, quality_rules, sharding, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.op1_mixing,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_ngram_jaccard_join": ngram_join.op4_ngram_jaccard_join,
     "op5_sharding": sharding.op5_sharding,
+    "op6_token_output": token_output.op6_token_output,
     "op8_language_id": language_id.op8_language_id,
     "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
     "op10_html_extraction": html_extract.op10_html_extraction,
