@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_extract, language_id, line_dedup, mixing, ngram_join, quality_rules, sharding, token_output
+from . import decontaminate, html_extract, language_id, line_dedup, lm_scoring, mixing, ngram_join, quality_rules, sharding, token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.op1_mixing,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_jaccard_join": ngram_join.op4_ngram_jaccard_join,
     "op5_sharding": sharding.op5_sharding,
     "op6_token_output": token_output.op6_token_output,
+    "op7_lm_scoring": lm_scoring.op7_lm_scoring,
     "op8_language_id": language_id.op8_language_id,
     "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
     "op10_html_extraction": html_extract.op10_html_extraction,
