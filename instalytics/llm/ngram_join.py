@@ -44,8 +44,8 @@ THRESHOLD = 0.8
 TOKENS = 64
 RECALL = 0.999
 SCREEN = 0.62
-LEAF = 2000
-LEVELS = 6
+LEAF = 500
+LEVELS = 3
 BLOCK = 256
 HOT_SHARE = 1000
 
@@ -57,7 +57,7 @@ _STEP = _rng.integers(1 << 62, size=N, dtype=np.uint64) * np.uint64(2) + np.uint
 
 class _WordHash(dict):
     def __missing__(self, word):
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -85,23 +85,25 @@ def _embed(batches):
     words = _WordHash()
     for batch in batches:
         texts = batch.column("text").cast(pa.binary()).to_pylist()
-        sets = [shingles(t, words) for t in texts]
-        sig = np.zeros((len(texts), TOKENS), np.uint32)
+        sig, wordy = np.zeros((len(texts), TOKENS), np.uint32), np.zeros(len(texts), bool)
         lo = 0
-        while lo < len(sets):  # texts of about a quarter million shingles at a time
-            hi, n = lo, 0
-            while hi < len(sets) and (n == 0 or n + len(sets[hi]) <= 1 << 18):
-                n += len(sets[hi])
-                hi += 1
-            rows = [i for i in range(lo, hi) if len(sets[i])]
+        while lo < len(texts):  # texts of about two megabytes at a time
+            rows, sets, n = [], [], 0
+            while lo < len(texts) and n < 1 << 21:
+                s = shingles(texts[lo], words)
+                if len(s):
+                    rows.append(lo)
+                    sets.append(s)
+                n += len(texts[lo])
+                lo += 1
             if rows:
-                flat = np.concatenate([sets[i] for i in rows])
-                at = np.cumsum([0] + [len(sets[i]) for i in rows[:-1]])
+                wordy[rows] = True
+                flat = np.concatenate(sets)
+                at = np.cumsum([0] + [len(s) for s in sets[:-1]])
                 for t in range(TOKENS):
                     sig[rows, t] = np.minimum.reduceat(((flat * _MUL[t] + _ADD[t]) >> np.uint64(32)).astype(np.uint32), at)
-            lo = hi
         yield pa.RecordBatch.from_arrays(
-            [pa.array([hashlib.md5(t).hexdigest() for t in texts]), batch.column("doc_id"), pa.array([len(s) > 0 for s in sets]),
+            [pa.array([hashlib.md5(t).hexdigest() for t in texts]), batch.column("doc_id"), pa.array(wordy),
              pa.array([s.tobytes() for s in sig], pa.binary())], names=["key", "doc_id", "wordy", "sig"])
 
 
@@ -133,7 +135,7 @@ def _sized(rows: DataFrame) -> DataFrame:
 
 def buckets(sigs: DataFrame, leaf: int = LEAF, levels: int = LEVELS, threshold: float = THRESHOLD) -> DataFrame:
     """node, key of all buckets to be compared by brute force, each at most
-    ``2 * leaf`` texts. sigs: key, sig."""
+    about ``2 * leaf`` texts. sigs: key, sig."""
     per_run = 1 / threshold
     runs = runs_for(threshold=threshold)
     order = np.random.default_rng(4).permutation(TOKENS)
