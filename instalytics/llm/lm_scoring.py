@@ -23,7 +23,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import recurrent_lm as lm
@@ -61,7 +61,12 @@ def token_counts(training: DataFrame) -> DataFrame:
 def vocabulary(counts: DataFrame) -> lm.Vocabulary:
     """Bounded: the dictionary and at most 65,536 + 256 suffixes."""
     total = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.desc("n"), "token").limit(DICTIONARY).collect()
+    # the least count at which no more words than that have it or more; sorting by count at
+    # the driver would send the dictionary once for each task
+    by_n = counts.groupBy("n").agg(F.count(F.lit(1)).alias("k"))
+    more = by_n.withColumn("s", F.sum("k").over(Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    least = more.where(F.col("s") <= DICTIONARY).agg(F.min("n")).first()[0]
+    top = counts.where(F.col("n") >= (least if least is not None else 1 << 62)).collect()
     ends = counts.groupBy(F.substring("token", -2, 2).alias("s")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()
     return lm.Vocabulary({bytes(r["token"]): r["n"] for r in top}, {bytes(r["s"]): (r["n"], r["v"]) for r in ends}, total[0] or 0, total[1])
 
@@ -86,7 +91,7 @@ def train(training: DataFrame, v: lm.Vocabulary) -> dict:
         def local(batches, start=start):
             p, seen, voc = start.value, 0, words.value
             for batch in batches:
-                texts = [voc.encode(_tokens(t)) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+                texts = [voc.encode(_tokens(t.as_py())) for t in batch.column("text").cast(pa.binary())]
                 p, n = lm.train(voc, p, [t[0] for t in texts], [t[1] for t in texts])
                 seen += n
             if seen:
@@ -115,10 +120,10 @@ def score(docs: DataFrame, v: lm.Vocabulary, weights: dict, counts: DataFrame) -
         log_count = np.log10(voc.count + 0.5)
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            texts = [_tokens(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            n_tokens = [len(t) for t in texts]
-            places, classes, base, known, rare, times, share = [], [], [], [], [], [], []
-            for words in texts:
+            n_tokens, places, classes, base, known, rare, times, share = [], [], [], [], [], [], [], []
+            for text in batch.column("text").cast(pa.binary()):
+                words = _tokens(text.as_py())
+                n_tokens.append(len(words))
                 at, cls, lost = voc.encode(words)
                 places.append(at)
                 classes.append(cls)
@@ -130,7 +135,6 @@ def score(docs: DataFrame, v: lm.Vocabulary, weights: dict, counts: DataFrame) -
                 times.append(list(c.values()))
                 # words without a place have a count of their own, over the total of their class
                 share.append(-float(np.log10(voc.tail_total[cls[at < 0]]).sum()))
-            del texts
             ln = lm.score(voc, p, places, classes)
             n = len(n_tokens)
             yield pa.RecordBatch.from_arrays(

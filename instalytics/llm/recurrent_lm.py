@@ -58,7 +58,7 @@ class Vocabulary:
         self.place = {w: i for i, w in enumerate(head + rest)}
         n = len(self.place)
         self.count = np.array([self.counts.get(w, 0) for w in self.place], np.int64)
-        self.cls = np.empty(n, np.int64)
+        self.cls = np.empty(n, np.int32)
         self.cls[: len(head)] = np.arange(len(head)) // WIDE
         self.cls[len(head) :] = [self.class_of(w) for w in rest]
         self.n_head = len(head)
@@ -82,7 +82,7 @@ class Vocabulary:
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """Place (or -1) and class of each word, and the words without a place."""
         get = self.place.get
-        at = np.array([get(w, -1) for w in words], np.int64)
+        at = np.array([get(w, -1) for w in words], np.int32)
         cls = self.cls[at]
         lost = np.flatnonzero(at < 0)
         unknown = [words[i] for i in lost]
@@ -116,13 +116,28 @@ def lay_out(lengths: list[int], lanes: int) -> list[list[int]]:
     return [deal[i] for i in sorted(range(len(deal)), key=lambda i: -load[i])]
 
 
-def _grid(deal, parts, fill):
-    """Lanes side by side: steps x lanes, padded."""
-    columns = [np.concatenate([parts[k] for k in d]) if d else np.zeros(0, np.int64) for d in deal]
-    out = np.full((max(map(len, columns)), len(deal)), fill, np.int64)
-    for i, c in enumerate(columns):
-        out[: len(c), i] = c
-    return out
+class _Grid:
+    """Lanes side by side, cut out window by window from flat arrays."""
+
+    def __init__(self, deal, places, classes, v):
+        order = [k for d in deal for k in d]
+        self.at = np.concatenate([places[k] for k in order]).astype(np.int32)
+        self.cls = np.concatenate([classes[k] for k in order]).astype(np.int32)
+        self.x = v.inputs(self.at, self.cls).astype(np.int32)
+        lens = [len(places[k]) for k in order]
+        self.doc = np.repeat(np.array(order, np.int32), lens)
+        self.new = np.zeros(len(self.at), bool)
+        self.new[np.cumsum([0] + lens[:-1])] = True
+        self.load = np.array([sum(len(places[k]) for k in d) for d in deal])  # fullest first
+        self.first = np.cumsum(np.r_[0, self.load[:-1]])
+        self.lanes, self.steps = len(deal), int(self.load[0])
+
+    def window(self, lo: int, hi: int):
+        """Lanes at work, which of their steps are real, and where those are in the flat arrays."""
+        n = int((self.load > lo).sum())
+        step = np.arange(lo, hi)[:, None]
+        live = step < self.load[None, :n]
+        return n, live, np.where(live, self.first[None, :n] + step, 0)
 
 
 def _sigmoid(x):
@@ -150,22 +165,20 @@ def score(v: Vocabulary, p: dict, places: list[np.ndarray], classes: list[np.nda
     if not places:
         return total
     deal = lay_out([len(a) for a in places], LANES)
-    x = _grid(deal, [v.inputs(a, c) for a, c in zip(places, classes, strict=True)], -1)
-    at, cls = _grid(deal, places, -1), _grid(deal, classes, 0)
-    doc = _grid(deal, [np.full(len(a), k) for k, a in enumerate(places)], -1)
-    new = _grid(deal, [np.arange(len(a)) == 0 for a in places], 0)
-    h = np.zeros((x.shape[1], H), np.float32)
-    for lo in range(0, len(x), WINDOW):
-        hi = min(lo + WINDOW, len(x))
-        n = int((doc[lo] >= 0).sum())  # lanes still at work; they are sorted by load
+    grid = _Grid(deal, places, classes, v)
+    h = np.zeros((grid.lanes, H), np.float32)
+    for lo in range(0, grid.steps, WINDOW):
+        hi = min(lo + WINDOW, grid.steps)
+        n, live, flat = grid.window(lo, hi)
+        x, new = grid.x[flat], grid.new[flat] & live
         states = np.empty((hi - lo, n, H), np.float32)
         h = h[:n]
-        for t in range(lo, hi):
-            h = np.where(new[t, :n, None] > 0, np.float32(0), h)
-            states[t - lo] = h
-            h = _step(p, np.maximum(x[t, :n], 0), h)[0]
-        live = doc[lo:hi, :n] >= 0
-        s, d, k, a = states[live], doc[lo:hi, :n][live], cls[lo:hi, :n][live], at[lo:hi, :n][live]
+        for t in range(hi - lo):
+            h = np.where(new[t, :, None], np.float32(0), h)
+            states[t] = h
+            h = _step(p, x[t], h)[0]
+        s, flat = states[live], flat[live]
+        d, k, a = grid.doc[flat], grid.cls[flat], grid.at[flat]
         logits = s @ p["Wc"] + p["bc"]
         ln = logits[np.arange(len(s)), k] - np.log(np.exp(logits).sum(1))
         head = (a >= 0) & (a < v.n_head)
@@ -189,25 +202,23 @@ def train(v: Vocabulary, p: dict, places: list[np.ndarray], classes: list[np.nda
     if not places:
         return p, 0
     deal = lay_out([len(a) for a in places], lanes)
-    x = _grid(deal, [v.inputs(a, c) for a, c in zip(places, classes, strict=True)], -1)
-    at, cls = _grid(deal, places, -1), _grid(deal, classes, 0)
-    new = _grid(deal, [np.arange(len(a)) == 0 for a in places], 0)
+    grid = _Grid(deal, places, classes, v)
     m1, m2 = {k: np.zeros_like(a) for k, a in p.items()}, {k: np.zeros_like(a) for k, a in p.items()}
-    h = np.zeros((x.shape[1], H), np.float32)
-    for i, lo in enumerate(range(0, len(x), STEPS)):
-        hi = min(lo + STEPS, len(x))
-        n = int((x[lo] >= 0).sum())
+    h = np.zeros((grid.lanes, H), np.float32)
+    for i, lo in enumerate(range(0, grid.steps, STEPS)):
+        hi = min(lo + STEPS, grid.steps)
+        n, live, flat = grid.window(lo, hi)
+        x, new = grid.x[flat], grid.new[flat] & live
         h, saved, states = h[:n], [], []
-        for t in range(lo, hi):
-            keep = (new[t, :n, None] == 0).astype(np.float32)
+        for t in range(hi - lo):
+            keep = (~new[t, :, None]).astype(np.float32)
             h = h * keep
-            nxt, z, r, c, hun = _step(p, np.maximum(x[t, :n], 0), h)
+            nxt, z, r, c, hun = _step(p, x[t], h)
             saved.append((h, z, r, c, hun, keep))
             states.append(h)
             h = nxt
         g = {k: np.zeros_like(a) for k, a in p.items()}
-        live = x[lo:hi, :n] >= 0
-        s, k, a = np.array(states)[live], cls[lo:hi, :n][live], at[lo:hi, :n][live]
+        s, k, a = np.array(states)[live], grid.cls[flat[live]], grid.at[flat[live]]
         size = np.float32(1 / max(1, len(s)))
         d = np.exp(_log_softmax(s @ p["Wc"] + p["bc"]))
         d[np.arange(len(s)), k] -= 1
@@ -233,7 +244,7 @@ def train(v: Vocabulary, p: dict, places: list[np.ndarray], classes: list[np.nda
             dr = dn * hun * r * (1 - r)
             dx = np.concatenate([dz, dr, dn], 1).astype(np.float32)
             dhu = np.concatenate([dz, dr, dn * r], 1).astype(np.float32)
-            np.add.at(g["E"], np.maximum(x[lo + t, :n], 0), dx)
+            np.add.at(g["E"], x[t], dx)
             g["U"] += hp.T @ dhu
             dh = (dh * z + dhu @ p["U"].T + out[t]) * keep
         norm = np.sqrt(sum(float((a * a).sum()) for a in g.values()))
@@ -243,4 +254,4 @@ def train(v: Vocabulary, p: dict, places: list[np.ndarray], classes: list[np.nda
             m1[name] = 0.9 * m1[name] + 0.1 * q
             m2[name] = 0.99 * m2[name] + 0.01 * q * q
             p[name] = p[name] - np.float32(rate) * (m1[name] / (1 - 0.9 ** (i + 1))) / (np.sqrt(m2[name] / (1 - 0.99 ** (i + 1))) + 1e-6)
-    return {k: a.astype(np.float32) for k, a in p.items()}, int((x >= 0).sum())
+    return {k: a.astype(np.float32) for k, a in p.items()}, len(grid.x)
