@@ -33,3 +33,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def crc_mod(doc_id: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % F.lit(divisor)
+
+
+def spread_join(rows: DataFrame, sized: DataFrame, key: str, n: str, total: int, share: int = 1000) -> DataFrame:
+    """Inner join of ``rows`` with ``sized``, which has each key once and in
+    ``n`` how many of the ``total`` rows have it. Keys with more than one part in
+    ``share`` of the rows are fewer than ``share`` and are broadcast, so that no
+    key that goes through the shuffle is hot."""
+    hot = F.broadcast(sized.where(F.col(n) * share > total))
+    cold = sized.where(F.col(n) * share <= total)
+    return rows.join(hot, key).unionByName(rows.join(hot.select(key), key, "left_anti").join(cold, key))

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import staged, table
+from .common import spread_join, staged, table
 
 N = 5
 THRESHOLD = 0.8
@@ -47,7 +47,6 @@ SCREEN = 0.62
 LEAF = 500
 LEVELS = 3
 BLOCK = 256
-HOT_SHARE = 1000
 
 _rng = np.random.default_rng(20)
 _MUL = _rng.integers(1 << 62, size=TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -124,13 +123,10 @@ def runs_for(recall: float = RECALL, threshold: float = THRESHOLD) -> int:
 
 
 def _sized(rows: DataFrame) -> DataFrame:
-    """Rows of nodes with two texts or more, and the size n of the node. Nodes
-    with over a thousandth of the rows are fewer than a thousand and broadcast."""
-    n = staged(rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")), "path-sizes")
+    """Rows of nodes with two texts or more, and the size n of the node."""
+    n = staged(rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "path-sizes")
     total = n.agg(F.sum("n")).first()[0] or 0
-    hot = F.broadcast(n.where(F.col("n") * HOT_SHARE > total))
-    cold = n.where((F.col("n") * HOT_SHARE <= total) & (F.col("n") > 1))
-    return rows.join(hot, "node").where("n > 1").unionByName(rows.join(hot.select("node"), "node", "left_anti").join(cold, "node"))
+    return spread_join(rows, n, "node", "n", total)
 
 
 def buckets(sigs: DataFrame, leaf: int = LEAF, levels: int = LEVELS, threshold: float = THRESHOLD) -> DataFrame:
@@ -322,8 +318,9 @@ def _intersections(sets: list[np.ndarray]) -> np.ndarray:
 def verified(texts: DataFrame, comps: DataFrame, threshold: float) -> DataFrame:
     """key, links of each text of a component, and verified edges a, b.
     texts: key, text, copies; comps: key, comp."""
-    size = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("n"))
-    m = comps.join(size, "comp").withColumn("k", F.ceil(F.col("n") / BLOCK).cast("int"))
+    size = staged(comps.groupBy("comp").agg(F.count(F.lit(1)).alias("n")), "component-sizes")
+    m = spread_join(comps, size, "comp", "n", size.agg(F.sum("n")).first()[0] or 0)
+    m = m.withColumn("k", F.ceil(F.col("n") / BLOCK).cast("int"))
     m = m.withColumn("mine", F.pmod(F.xxhash64("key"), F.col("k")).cast("int"))
     # a task for each block alone and each pair of blocks
     m = m.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
@@ -354,12 +351,9 @@ def similarity_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFra
     heads = info.groupBy("comp").agg(F.min(F.struct(F.col("first_id").isNull().alias("z"), "first_id", "key")).alias("h"), F.sum("copies").alias("class_docs"))
     info = staged(info.join(heads, "comp").select("key", "copies", "links", "first_id", "class_docs", F.col("h.first_id").alias("class_id"), (F.col("h.key") == F.col("key")).alias("head")), "classes")
     total = info.agg(F.sum("copies")).first()[0] or 0
-    # texts with over a thousandth of the rows: fewer than a thousand, broadcast
-    hot = F.broadcast(info.where(F.col("copies") * HOT_SHARE > total))
-    cold = info.where(F.col("copies") * HOT_SHARE <= total)
     rows = docs.select("doc_id", F.md5("text").alias("key"))
     full = rows.where("key is not null")
-    out = full.join(hot, "key").unionByName(full.join(hot.select("key"), "key", "left_anti").join(cold, "key"))
+    out = spread_join(full, info, "key", "copies", total)
     first = F.col("head") & F.col("doc_id").eqNullSafe(F.col("first_id"))
     out = out.select("doc_id", "key", "class_id", F.col("links").alias("n_links"), "class_docs", first.alias("is_first"))
     none = rows.where("key is null").select("doc_id", "key", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
