@@ -3,7 +3,7 @@
 Layout: ``functions`` (column helpers), ``operators`` (reusable DataFrame
 operators), ``sources`` (schemas, readers, test-table adapters), ``plans``
 (the 33 feature functions and the master), ``oracle`` (independent DuckDB SQL
-of the same semantics, for tests), ``streaming`` (none: see its docstring).
+of the same semantics, for tests), no streaming operators.
 """
 
 from .context import NO_DATE, NO_DATETIME, Ctx, default_ctx

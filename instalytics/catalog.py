@@ -7,6 +7,7 @@ adapters / features derive from the same tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .context import Ctx, default_ctx
 from .oracle.sql import oracle_query
 from .plans.features import FeatureSet
+from .plans.materialize import checkpoint_root, write_snapshot
 from .session import ensure_checkpoint_dir
 from .sources.testdata import build_sources, staged_sources
 
@@ -64,17 +66,28 @@ def feature_set(spark: SparkSession, sf_dir: str, ctx: Ctx | None = None) -> Fea
 
 def _feature_query(key: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return feature_set(spark, sf_dir)[key]
+        return feature_set(spark, sf_dir).result(key)
 
     run.__name__ = key
     return run
 
 
+def sk05_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The master written as a partitioned snapshot under the shared folder,
+    and that snapshot read back."""
+    fs = feature_set(spark, sf_dir)
+    path = f"{checkpoint_root(spark)}/instalytics/snapshot-{uuid.uuid4().hex}"
+    df = fs["fe33"]
+    write_snapshot(df, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from .opqueries import OP_QUERIES
 
     out = {name: _feature_query(key) for name, key in FEATURES.items()}
     out.update(OP_QUERIES)
+    out["sk05_snapshot"] = sk05_snapshot
     return out
 
 
@@ -84,4 +97,5 @@ def oracle_sql(ctx: Ctx | None = None) -> dict[str, str]:
     ctx = ctx or default_ctx()
     out = {name: oracle_query(key, ctx) for name, key in FEATURES.items()}
     out.update(op_oracle_sql(ctx))
+    out["sk05_snapshot"] = oracle_query("fe33", ctx)
     return out

@@ -51,8 +51,6 @@ class Ctx:
     offsets: tuple = (2, 3, 10, 30, 90, 180)
     # Buckets of the distributed exact percent rank.
     rank_buckets: int = 64
-    # Rows above which one key of a numbering window is split into sub-ranges.
-    hot_key_rows: int = 1_000_000
     # Materialise re-used intermediates (FE05, FE09, FE23, ...) under
     # spark.checkpoint.dir so a lost executor does not replay the whole lineage.
     materialize: bool = False

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 
 def _c(x) -> Column:
@@ -26,8 +27,10 @@ def latest_per_key(df: DataFrame, keys, order, tiebreak=()) -> DataFrame:
     columns, so the pick is deterministic.
 
     Written as ``groupBy(keys).max(struct(order..., row))`` rather than
-    ``row_number() = 1``: a hash aggregate with map-side partial merge, so a
-    hot key costs one buffered struct per task and no sort is needed.
+    ``row_number() = 1``: the partial aggregate leaves one row per key and
+    task, so a hot key does not meet in one task. A struct cannot be a
+    mutable hash-aggregate buffer, so Spark sorts by key on both sides of the
+    exchange (SortAggregate).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     cols = df.columns
@@ -36,50 +39,32 @@ def latest_per_key(df: DataFrame, keys, order, tiebreak=()) -> DataFrame:
     return df.groupBy(*keys).agg(best).select(*keys, "_best._row.*").select(*cols)
 
 
-def number_in_group(df: DataFrame, keys, order, name: str, tiebreak=(), hot_rows: int | None = None,
-                    buckets: int = 64) -> DataFrame:
+def number_in_group(df: DataFrame, keys, order, name: str, tiebreak=(), buckets: int = 64) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order ASC NULLS LAST)``
-    as BIGINT.
-
-    With ``hot_rows``, keys holding more rows than that are split: their rows
-    are cut into sub-ranges by approximate quantiles (per key) of the first
-    order column (numeric; equal values share a sub-range, so the order
-    inside a value is kept whole), numbered per (key, sub-range), and offset
-    by the row count of all earlier sub-ranges of the key (a running sum over
-    at most ``buckets`` + 1 rows per key). Other keys use the plain window.
-    Hot keys are found with a grouped count and marked through a join, never
-    collected to the driver; a null key is never treated as hot."""
+    as BIGINT, always in two levels.
+
+    The range of the first order column (numeric) is cut at approximate
+    quantiles of all rows; rows are numbered per (key, sub-range) and offset by
+    the row count of the key's earlier sub-ranges (a running sum over at most
+    ``buckets`` + 1 rows per key). A key with a third of all rows is thus
+    spread over its share of the sub-ranges. Equal values share a sub-range,
+    nulls have one of their own, and a null key is a group."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     order_cols = [_c(c) for c in list(order) + list(tiebreak)]
-    w = Window.partitionBy(*keys).orderBy(*[c.asc_nulls_last() for c in order_cols])
-    if hot_rows is None:
-        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-
-    cols = df.columns
-    # equality join on the keys: the marked rows keep a hash partitioning on
-    # the keys that the window below re-uses; rows with a null key never
-    # match and take the plain window (correct, only not split)
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-           .select(*keys, F.lit(True).alias("_hot")))
-    marked = df.join(hot, keys, "left")
-    plain = marked.where(F.col("_hot").isNull()).drop("_hot")
-    plain = plain.withColumn(name, F.row_number().over(w).cast("bigint"))
-
-    rows = marked.where(F.col("_hot")).drop("_hot")
-    first = order_cols[0]
+    first, cols = order_cols[0], df.columns
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = rows.groupBy(*keys).agg(F.percentile_approx(first, probs, 10000).alias("_cuts"))
-    rows = _join_null_safe(rows, cuts, keys)  # one small row per hot key
+    cuts = df.where(first.isNotNull()).agg(F.percentile_approx(first, probs, 10000).alias("q")).scalar()
+    kind = df.select(first.alias("x")).schema["x"].dataType
+    rows = df.select("*", F.coalesce(cuts, F.array().cast(ArrayType(kind))).alias("_cuts"))
     sub = F.when(first.isNull(), F.size("_cuts") + 1).otherwise(F.size(F.filter("_cuts", lambda c: c < first)))
     rows = rows.withColumn("_sub", sub).drop("_cuts")
-    wsub = Window.partitionBy(*keys, "_sub").orderBy(*[c.asc_nulls_last() for c in order_cols])
-    rows = rows.withColumn("_local", F.row_number().over(wsub))
+    inside = Window.partitionBy(*keys, "_sub").orderBy(*[c.asc_nulls_last() for c in order_cols])
+    rows = rows.withColumn("_local", F.row_number().over(inside))
     sizes = rows.groupBy(*keys, "_sub").agg(F.count(F.lit(1)).alias("_cnt"))
     earlier = Window.partitionBy(*keys).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
     offs = sizes.select(*keys, "_sub", F.coalesce(F.sum("_cnt").over(earlier), F.lit(0)).alias("_off"))
     rows = _join_null_safe(rows, offs, [*keys, "_sub"])
-    rows = rows.select(*cols, (F.col("_off") + F.col("_local")).cast("bigint").alias(name))
-    return plain.select(*cols, name).unionByName(rows)
+    return rows.select(*cols, (F.col("_off") + F.col("_local")).cast("bigint").alias(name))
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:

@@ -16,14 +16,6 @@ from pyspark.sql import functions as F
 from .dedup import latest_per_key
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only after a bounded count proves ``df`` has at most
-    ``max_rows`` rows (reads at most ``max_rows + 1`` rows); otherwise the
-    plan is left to AQE."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def presence_flag(left: DataFrame, right: DataFrame, left_key: str, right_key: str, name: str) -> DataFrame:
     """Left rows + ``name`` = 1 if some right row has the key, else 0.
 
@@ -61,16 +53,22 @@ def asof_latest(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     return left.join(top, left[left_key] == top["_k"], "left").drop("_k")
 
 
-def star_join(base: DataFrame, sides, check_unique: bool = False) -> DataFrame:
-    """``base`` LEFT JOIN each (side, keys) in turn.
+def assert_unique(df: DataFrame, keys) -> DataFrame:
+    """``df`` itself, failing at run time if a key occurs more than once. One
+    more aggregate on the keys, which re-uses their partitioning and order."""
+    keys = list(keys)
+    rest = [c for c in df.columns if c not in keys]
+    one = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*[F.col(c) for c in rest])).alias("_row"))
+    said = F.concat(F.lit(f"more than one row for {', '.join(keys)} = "), *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys])
+    row = F.when(F.col("_n") == 1, F.col("_row")).otherwise(F.raise_error(said))
+    return one.select(*keys, row.alias("_row")).select(*keys, "_row.*").select(*df.columns)
 
-    Every side must be unique on its keys (each is the output of a group-by
-    on them); ``check_unique`` verifies it with one aggregate per side."""
+
+def star_join(base: DataFrame, sides, check_unique: bool = False) -> DataFrame:
+    """``base`` LEFT JOIN each (side, keys) in turn. With ``check_unique`` the
+    run fails if a side repeats its keys."""
     if check_unique:
-        for df, keys in sides:
-            dup = df.groupBy(*keys).count().where(F.col("count") > 1).limit(1).count()
-            if dup:
-                raise ValueError(f"star_join side not unique on {keys}")
+        sides = [(assert_unique(df, keys), keys) for df, keys in sides]
     return reduce(lambda acc, s: acc.join(s[0], s[1], "left"), sides, base)
 
 

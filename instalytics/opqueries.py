@@ -11,7 +11,7 @@ from .functions.text import blank_to_null, classify_note, json_text
 from .functions.timecols import days_late, in_local_window, local_date, local_today, local_ts, utc_ts
 from .operators.aggregates import count_distinct_when
 from .operators.dedup import number_in_group
-from .operators.joins import anti_join, presence_flag, star_join
+from .operators.joins import anti_join, left_join_residual, presence_flag, star_join
 from .operators.rank import percent_rank_global
 from .operators.reshape import pivot_day_offsets, union_aligned
 from .oracle.features import _note_case
@@ -46,10 +46,8 @@ def op_latest_per_key(spark, sf):
 def op_number_in_group(spark, sf):
     ps = _src(spark, sf).payment_scheduled.select("key_payment_schedule_id", "order_transaction_id",
                                                   "event_info_event_time")
-    # a low hot-key threshold sends every order with more than 4 instalments
-    # through the split (sub-range) path, so the oracle checks that path too
     return number_in_group(ps, ["order_transaction_id"], ["key_payment_schedule_id"], "seq",
-                           tiebreak=["event_info_event_time"], hot_rows=4, buckets=4)
+                           tiebreak=["event_info_event_time"])
 
 
 def op_previous_value(spark, sf):
@@ -76,9 +74,9 @@ def op_left_join_residual(spark, sf):
     base = fs["fe01"].select("instalment_id", "order_id", "consumer_uuid", "country_code")
     ev = fs["fe04"].select(F.col("instalment_id").alias("e_iid"), F.col("order_id").alias("e_oid"),
                            F.col("consumer_uuid").alias("e_uuid"), "payment_id", "event_time")
-    j = base.join(ev, (base["instalment_id"] == ev["e_iid"]) & (base["order_id"] == ev["e_oid"])
-                  & (base["consumer_uuid"] == ev["e_uuid"])
-                  & in_local_window(ev["event_time"], base["country_code"], ctx, 90), "left")
+    j = left_join_residual(base, ev, (base["instalment_id"] == ev["e_iid"]) & (base["order_id"] == ev["e_oid"])
+                           & (base["consumer_uuid"] == ev["e_uuid"]),
+                           in_local_window(ev["event_time"], base["country_code"], ctx, 90))
     return j.select("instalment_id", "order_id", "payment_id", "event_time")
 
 

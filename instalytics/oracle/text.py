@@ -78,7 +78,7 @@ class Sql:
 
     @staticmethod
     def cc(key: str) -> str:
-        return f"(CASE {key} % 3 WHEN 0 THEN 'GB' WHEN 1 THEN 'FR' ELSE 'JP' END)"
+        return f"(CASE WHEN {key} % 17 = 5 THEN NULL WHEN {key} % 17 = 9 THEN 'BR' ELSE CASE {key} % 3 WHEN 0 THEN 'GB' WHEN 1 THEN 'FR' ELSE 'JP' END END)"
 
     @staticmethod
     def ms_of_date(d: str) -> str:

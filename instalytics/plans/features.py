@@ -32,6 +32,10 @@ class FeatureSet:
             self._cache[name] = df
         return self._cache[name]
 
+    def result(self, name: str) -> DataFrame:
+        """The feature as a result: its inputs are materialised, itself not."""
+        return self._cache[name] if name in self._cache else getattr(self, "_" + name)()
+
     def as_dict(self, names) -> dict[str, DataFrame]:
         return {n: self[n] for n in names}
 

@@ -41,13 +41,12 @@ def fe01_instal_invoice(payment_scheduled: DataFrame, order: DataFrame, ctx: Ctx
         local_ts(F.col("o.country_code"), F.col("o.key_event_info_event_time"), ctx).alias("order_event_datetime"),
         F.col("o.first_payment_up_front").alias("first_payment_up_front"),
         F.col("o.consumer_total_amount_amount").cast(D20).alias("consumer_amount"),
-    ).repartition("order_id", "par_region").distinct()
-    # One shuffle by (order, region) serves the de-duplication, the hot-order
-    # count / marking and the numbering window. Region is a single value here,
-    # so numbering per (order, region) equals numbering per order.
+    ).distinct()
+    # De-duplication groups on all columns, so a hot order is spread by its
+    # instalments before it is numbered. Region is a single value here, so
+    # numbering per (order, region) equals numbering per order.
     return number_in_group(rows, ["order_id", "par_region"], ["instalment_id"], "instalment_seq_id",
-                           tiebreak=["invoice_event_time", "inv_amount", "original_due_date", "consumer_uuid"],
-                           hot_rows=ctx.hot_key_rows)
+                           tiebreak=["invoice_event_time", "inv_amount", "original_due_date", "consumer_uuid"])
 
 
 def fe02_due_date_history(due_date_changed: DataFrame, fe01: DataFrame, ctx: Ctx) -> DataFrame:
@@ -157,7 +156,12 @@ def fe05_instal_events_agg(fe01: DataFrame, fe04: DataFrame, fe03: DataFrame, ct
         sum_when(et == "REFUNDED", "amount_waived", dtype=D20).alias("waived_amount"),
         sum_when(et == "DISCOUNT", "amount_paid", dtype=D20).alias("discount_amount"),
     )
-    agg = base.join(ev_agg, ["instalment_id", "order_id", "consumer_uuid", "country_code"], "left")
+    # the country is part of the grain (it fixes the window) but may be null
+    back = ev_agg.select(*[F.col(c).alias(f"_{c}") for c in ("instalment_id", "order_id", "consumer_uuid", "country_code")],
+                         *ev_agg.columns[4:])
+    agg = base.join(back, (F.col("instalment_id") == F.col("_instalment_id")) & (F.col("order_id") == F.col("_order_id"))
+                    & (F.col("consumer_uuid") == F.col("_consumer_uuid"))
+                    & F.col("country_code").eqNullSafe(F.col("_country_code")), "left")
     zero20 = F.lit(0).cast(D20)
     agg = agg.select(
         *FE05_KEYS,

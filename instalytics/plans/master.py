@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..context import NO_DATE, NO_DATETIME, Ctx
-from ..operators.joins import star_join
+from ..operators.dedup import latest_per_key
+from ..operators.joins import assert_unique, star_join
 
 D10 = "decimal(10,2)"
 D20 = "decimal(20,2)"
 
-# (output column, source column, default literal, type) in output order.
+# Fixed values of the output: (column, source column, default literal, type) in order.
 MASTER_COLUMNS = [
     ("c_best_payment_type", "c_best_payment_type", "DEBIT", "string"),
     ("c_order_cnt_180d_v3", "c_order_cnt_180d", 0, "bigint"),
@@ -48,10 +49,16 @@ MASTER_COLUMNS = [
 def fe33_consumer_master(f: dict[str, DataFrame], ctx: Ctx) -> DataFrame:
     """Left-join the per-consumer features onto the consumer base.
 
-    Every side is the output of a group-by on its join keys, so each is
-    unique and the base keeps one row per consumer. FE17 and FE20 carry the
-    country (FE20 also the region) in their grain and join on it too."""
-    base = f["fe22"]
+    The base and every side must hold a consumer once; the run fails
+    otherwise. FE17 and FE20 are per country: a consumer's row of the base's
+    country is taken (null equals null), else that of the greatest country."""
+    base = assert_unique(f["fe22"], ["consumer_uuid"])
+    home = f["fe22"].select("consumer_uuid", F.col("country_code").alias("_home"))
+
+    def one_country(name, cols):
+        d = f[name].join(home, "consumer_uuid")
+        d = d.select("consumer_uuid", F.col("country_code").eqNullSafe(F.col("_home")).alias("_same"), "country_code", *cols)
+        return latest_per_key(d, ["consumer_uuid"], ["_same"], ["country_code"]).select("consumer_uuid", *cols), ["consumer_uuid"]
 
     def side(name, cols, keys=("consumer_uuid",)):
         return f[name].select(*keys, *cols), list(keys)
@@ -61,7 +68,7 @@ def fe33_consumer_master(f: dict[str, DataFrame], ctx: Ctx) -> DataFrame:
         side("fe19", ["c_order_cnt_180d", "c_topaz_decl_insufficent_funds_cnt_180d", "c_order_attempt_cnt_180d"]),
         side("fe10", ["c_latest_approved_credit_limit"]),
         side("fe27", ["c_ontime_pymt_cnt_180d"]),
-        side("fe17", [c for c in f["fe17"].columns if c.startswith("c_")], ("consumer_uuid", "country_code")),
+        one_country("fe17", [c for c in f["fe17"].columns if c.startswith("c_")]),
         side("fe28", ["c_ontime_pymt_cnt_llate_180d", "c_day_late_pymt_max_cnt_180d", "c_day_late_pymt_tot_cnt_180d"]),
         side("fe24", ["c_earliest_late_pymt_due_date_360d", "c_latest_late_pymt_due_date_360d"]),
         side("fe25", ["c_latest_instal_due_date_360d", "c_latest_instal_postpone_due_date_360d"]),
@@ -69,10 +76,9 @@ def fe33_consumer_master(f: dict[str, DataFrame], ctx: Ctx) -> DataFrame:
         side("fe32", ["c_max_util_amt_after_limit_change_180d"]),
         side("fe30", ["c_day_late_pymt_max_cnt_after_limit_change_360d"]),
         side("fe21", ["c_order_amt_180d", "c_order_amt_percentile_180d"]),
-        side("fe20m", [f"c_prior_credit_limit_{k}d" for k in ctx.offsets], ("consumer_uuid", "country_code",
-                                                                             "par_region")),
+        one_country("fe20m", [f"c_prior_credit_limit_{k}d" for k in ctx.offsets]),
     ]
-    j = star_join(base, sides)
+    j = star_join(base, sides, check_unique=True)
     out = [
         "par_region",
         F.lit(ctx.today).alias("par_process_date"),

@@ -35,7 +35,12 @@ def fe31_util_d180(fe08: DataFrame, fe13: DataFrame, ctx: Ctx) -> DataFrame:
         "country_code", "key_event_info_event_time",
         local_ts("country_code", "key_event_info_event_time", ctx).alias("otb_event_ts"),
     )
-    alone = line.join(otb, since, "left_anti").select(
+    # Some attempt is on or after the change if the latest one is (a local
+    # date never falls as time passes), so the anti half needs one row per consumer.
+    last = otb.groupBy("_ou").agg(F.max("key_event_info_event_time").alias("_last"))
+    after = local_date(line["country_code"], F.col("_last"), ctx) >= F.to_date(line["line_change_ts_180d"])
+    alone = line.join(last, line["consumer_consumer_uuid"] == last["_ou"], "left").where(
+        ~F.coalesce(after, F.lit(False))).select(
         "consumer_consumer_uuid", F.lit("").alias("order_id"), F.lit(-1).cast("bigint").alias("pos_pre_approval_id"),
         F.lit(0).cast(D10).alias("otb_amount"), F.lit(0).cast(D10).alias("limit_amount"),
         F.lit(0).cast(D10).alias("osb_amount"), "country_code",
@@ -52,14 +57,17 @@ def fe32_cust_util_d180(fe06: DataFrame, fe31: DataFrame, ctx: Ctx) -> DataFrame
     before the union, so only two columns cross the shuffle."""
     base = fe06.where(date_in_local_window(F.to_date("order_datetime"), "country_code", ctx, HORIZON_HALF)).select(
         "consumer_consumer_uuid", "key_token", "pos_pre_approval_id", "order_amt")
-    util = fe31.select(F.col("consumer_consumer_uuid").alias("_u"), F.col("order_id").alias("_oid"),
-                       F.col("pos_pre_approval_id").alias("_pa"), "osb_amount")
-    online = base.join(util, (base["consumer_consumer_uuid"] == util["_u"]) & (base["key_token"] == util["_oid"]),
+    # the maximum of (outstanding + amount) is the maximum outstanding plus the
+    # amount, so a hot consumer's attempts are reduced before they are joined
+    u = F.col("consumer_consumer_uuid").alias("_u")
+    by_order = fe31.groupBy(u, F.col("order_id").alias("_oid")).agg(F.max("osb_amount").alias("osb_amount"))
+    by_check = fe31.groupBy(u, F.col("pos_pre_approval_id").alias("_pa")).agg(F.max("osb_amount").alias("osb_amount"))
+    online = base.join(by_order, (base["consumer_consumer_uuid"] == by_order["_u"]) & (base["key_token"] == by_order["_oid"]),
                        "left").select("consumer_consumer_uuid",
                                       (F.col("osb_amount") + F.col("order_amt")).alias("utilization"))
     instore_base = base.where(F.col("pos_pre_approval_id") != -1)
-    instore = instore_base.join(util, (instore_base["consumer_consumer_uuid"] == util["_u"])
-                                & (instore_base["pos_pre_approval_id"] == util["_pa"]), "left").select(
+    instore = instore_base.join(by_check, (instore_base["consumer_consumer_uuid"] == by_check["_u"])
+                                & (instore_base["pos_pre_approval_id"] == by_check["_pa"]), "left").select(
         "consumer_consumer_uuid", (F.col("osb_amount") + F.col("order_amt")).alias("utilization"))
     checks = fe31.where(F.col("order_id") == "").select(
         "consumer_consumer_uuid", (F.col("osb_amount") + F.lit(0).cast(D10)).alias("utilization"))

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..context import Ctx
 from .schemas import SCHEMAS
@@ -40,15 +41,28 @@ def read_warehouse(spark: SparkSession, root: str, paths: dict[str, str] | None
 
     ``root/<name>`` per table unless ``paths`` overrides it. Event tables are
     expected to be partitioned by ``par_region`` / ``par_process_date``
-    directories, so the source filters below prune partitions."""
+    directories, so the source filters below prune partitions.
+
+    Every table's own schema is read first: a missing column or one of another
+    type fails here, by name, instead of being read as nulls."""
     paths = paths or {}
     dfs = {}
     for name, schema in SCHEMAS.items():
         path = paths.get(name, f"{root.rstrip('/')}/{name}")
+        _validate(name, schema, spark.read.option("basePath", path).parquet(path).schema)
         dfs[name] = spark.read.schema(schema).option("basePath", path).parquet(path)
     return Sources(**dfs)
 
 
+def _validate(name: str, want: StructType | str, found: StructType) -> None:
+    want = want if isinstance(want, StructType) else StructType.fromDDL(want)
+    have = {f.name: f.dataType for f in found}
+    wrong = [f"{f.name}: {have[f.name].simpleString() if f.name in have else 'missing'}, wanted {f.dataType.simpleString()}"
+             for f in want if have.get(f.name) != f.dataType]
+    if wrong:
+        raise ValueError(f"source {name}: " + "; ".join(wrong))
+
+
 def in_region(df: DataFrame, ctx: Ctx) -> Column:
     return df["par_region"] == F.lit(ctx.region)
 

@@ -94,3 +94,24 @@ def test_fee_paid_on_rejected_order_stays_in_ledger(spark, ctx):
     r = rows[0]
     assert (r.event_type, r.consumer_uuid, r.order_id, r.late_fee_id, r.amount_paid) == \
         ("PAYMENT", "cx", None, 900, Decimal("6.00"))
+
+
+def test_paid_instalment_of_an_order_without_country(spark, ctx):
+    """A null country counts as UTC; its payments must not be lost in FE05."""
+    from instalytics.plans.instalments import fe05_instal_events_agg
+
+    now = datetime(2001, 7, 1, 10)
+    ms = int((now - datetime(1970, 1, 1)).total_seconds() * 1000)
+    fe01 = spark.createDataFrame(
+        [("u", c, i, date(2001, 7, 1), Decimal("10.00"), ms, "GB", now, i, now, False, Decimal("10.00"), 1) for i, c in ((1, None), (2, "GB"))],
+        "consumer_uuid string, country_code string, instalment_id long, original_due_date date, inv_amount decimal(20,2), "
+        "invoice_event_time long, par_region string, invoice_event_datetime timestamp_ntz, order_id long, "
+        "order_event_datetime timestamp_ntz, first_payment_up_front boolean, consumer_amount decimal(20,2), instalment_seq_id long")
+    fe04 = spark.createDataFrame(
+        [("u", c, i, i, "GB", "PAYMENT", i, None, ms, Decimal("10.00"), Decimal("0.00"), "PAID") for i, c in ((1, None), (2, "GB"))],
+        "consumer_uuid string, country_code string, instalment_id long, order_id long, par_region string, event_type string, "
+        "payment_id long, refund_id long, event_time long, amount_paid decimal(20,2), amount_waived decimal(20,2), "
+        "payment_schedule_status string")
+    fe03 = spark.createDataFrame([], "instalment_id long, order_id long, due_date date")
+    got = {r.instalment_id: (r.paid_cnt, r.latest_instal_paid_date) for r in fe05_instal_events_agg(fe01, fe04, fe03, ctx).collect()}
+    assert got == {1: (1, date(2001, 7, 1)), 2: (1, date(2001, 7, 1))}

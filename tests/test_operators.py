@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from instalytics.operators import (
     anti_join,
     asof_latest,
     latest_per_key,
+    assert_unique,
     number_in_group,
     percent_rank_global,
     presence_flag,
@@ -114,13 +117,20 @@ def test_previous_value_bucketed_equals_plain(spark):
     assert plain.exceptAll(buck).count() == 0 and buck.exceptAll(plain).count() == 0
 
 
-def test_number_in_group_hot_keys_equal_plain(spark):
+def test_number_in_group_spreads_a_hot_key_and_equals_row_number(spark):
     rnd = random.Random(5)
-    rows = [("hot" if i % 3 else f"g{i % 40}", rnd.choice([None] + list(range(60))), rnd.randint(0, 3))
-            for i in range(3000)]
-    rows += [(None, rnd.randint(0, 9), 0) for _ in range(200)]   # null key, also above the threshold
-    df = spark.createDataFrame(rows, "g string, i int, t int")
-    plain = number_in_group(df, ["g"], ["i"], "n", tiebreak=["t"])
-    split = number_in_group(df, ["g"], ["i"], "n", tiebreak=["t"], hot_rows=100, buckets=8)
-    # numbering is unique per group, so compare the multiset of (g, i, t, n)
-    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
+    rows = [(None if i % 50 == 0 else (1 if i % 3 == 0 else i % 40), rnd.choice([None, *range(300)]), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g int, i int, t int")
+    got = {(r.g, r.i, r.t): r.n for r in number_in_group(df, ["g"], ["i"], "n", tiebreak=["t"]).collect()}
+    w = Window.partitionBy("g").orderBy(F.col("i").asc_nulls_last(), "t")
+    assert got == {(r.g, r.i, r.t): r.n for r in df.withColumn("n", F.row_number().over(w)).collect()}
+    # the numbering window is partitioned by key and sub-range, not by the key alone
+    plan = number_in_group(df, ["g"], ["i"], "n")._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number() windowspecdefinition(g#" in plan and "_sub#" in plan
+
+
+def test_assert_unique_passes_rows_on_and_fails_on_a_repeated_key(spark):
+    ok = spark.createDataFrame([("a", 1, None), ("b", 2, "x")], "k string, v int, s string")
+    assert sorted(map(tuple, assert_unique(ok, ["k"]).collect())) == [("a", 1, None), ("b", 2, "x")]
+    with pytest.raises(Exception, match="more than one row for k = a"):
+        assert_unique(ok.union(ok.where("k = 'a'")), ["k"]).collect()
