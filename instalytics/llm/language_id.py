@@ -156,16 +156,13 @@ def decode(model: Model, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return loss.argmin(1), 1.0 / like.sum(1), gap
 
 
-def classify(docs: DataFrame, model: Model, tie: float = 0.02, keep: list[str] | None = None) -> DataFrame:
-    """``docs`` (doc_id, text; ``keep`` names the columns carried along) with
-    lang_pred, score and ambiguous (the best two losses differ by less than ``tie``)."""
+def _classified(docs: DataFrame, model: Model, tie: float, keep: list[str]) -> tuple[DataFrame, list]:
+    """The columns ``keep`` as c0, c1, ... with the verdict, and how to name them back."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    keep = keep if keep is not None else ["doc_id"]
-    src = docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, "text"])])
     n = len(keep)
     names = [f"c{i}" for i in range(n)]
-    src = src.select(*[F.col(f"`{c}`").alias(a) for c, a in zip(keep, names, strict=True)], F.col("text").alias("body"))
+    src = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in zip(keep, names, strict=True)], F.col("text").alias("body"))
     schema = ", ".join(f"{a} {src.schema[a].dataType.simpleString()}" for a in names)
 
     def run(batches):
@@ -184,7 +181,20 @@ def classify(docs: DataFrame, model: Model, tie: float = 0.02, keep: list[str] |
             yield pa.RecordBatch.from_arrays(out, names=[*names, "lang_pred", "score", "ambiguous"])
 
     res = src.mapInArrow(run, f"{schema}{', ' if n else ''}lang_pred string, score double, ambiguous boolean")
-    return res.select(*[F.col(a).alias(c) for c, a in zip(keep, names, strict=True)], "lang_pred", "score", "ambiguous")
+    return res, [F.col(a).alias(c) for c, a in zip(keep, names, strict=True)]
+
+
+def classify(docs: DataFrame, model: Model, tie: float = 0.02) -> DataFrame:
+    """doc_id, lang_pred, score and ambiguous (the losses of the two nearest
+    codewords differ by less than ``tie``)."""
+    res, named = _classified(docs, model, tie, ["doc_id"])
+    return res.select(*named, "lang_pred", "score", "ambiguous")
+
+
+def identified(docs: DataFrame, model: Model, tie: float = 0.02) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is told and not ambiguous."""
+    res, named = _classified(docs, model, tie, docs.columns)
+    return res.where((F.col("lang_pred") != UND) & ~F.col("ambiguous")).select(*named)
 
 
 def training_rows(docs: DataFrame) -> DataFrame:

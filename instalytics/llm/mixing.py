@@ -136,9 +136,9 @@ def mixture(docs: DataFrame, cap: tuple[int, int] = CAP) -> DataFrame:
     """The documents of the mixture, all columns: what a capped source has
     above its target goes, every other document stays."""
     weights = weights_of(docs, cap)
-    d = numbered(docs.select(*[F.col(f"`{c}`") for c in docs.columns]))
-    return (d.join(_small(weights, weights.count()), "_src").where("_idx < _quota")
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")  # whatever the columns are called
+    d = numbered(docs.select(row, "doc_id", "source", F.xxhash64("text").alias("text")))
+    return d.join(_small(weights.select("_src", "_quota"), weights.count()), "_src").where("_idx < _quota").select("_row.*")
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -99,7 +99,7 @@ class _Coder:
             self.out[due, self.pos[due]] = (low >> np.uint64(30)).astype(np.int64)  # 32 bits and a carry
             self.low[due] = (low & np.uint64((1 << 30) - 1)) << np.uint64(32)
         else:
-            p = self.pos[due]
+            p = np.minimum(self.pos[due], self.words.shape[1] - 3)  # damaged words can ask for more than there are
             more = ((self.words[due, p + 1] & np.uint64(3)) << np.uint64(30)) | (self.words[due, p + 2] >> np.uint64(2))
             self.code[due] = (self.code[due] << np.uint64(32)) | more
         self.pos[due] += 1
