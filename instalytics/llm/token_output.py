@@ -9,9 +9,9 @@ blocks (see ``range_coder``). Documents run on across blocks.
 Files are written to the shared checkpoint folder under a temporary name and
 renamed, so a retried task replaces its own file by equal bytes. What was
 written is listed by a small table (one row per file), from which reading
-starts. Text is cut into pieces by the tokenizer's own pattern and each
-different piece is encoded once per task; pieces do not affect one another, so
-the ids are those of the whole text.
+starts. Texts are cut before spaces, where the tokenizer cuts as well, and each
+different word is encoded once per task, so the ids are those of the whole
+text; a text where a cut could part a run of white space is encoded as it is.
 
 Null text counts as empty; its document is the end id alone. Null ids come
 first; equal ids stand in the order of a checksum of their text. A row per
@@ -24,11 +24,12 @@ import os
 import struct
 import uuid
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,9 +40,9 @@ from .common import shared_path, staged, table
 MAGIC = b"IDS\x01"
 END = 0
 FILE_BYTES = 24 << 20
-PIECES = 400_000
-# fixed value: the cutting pattern of byte-level BPE tokenizers
-PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+WORDS = 400_000
+# white space before a space and after it (or the end): there a cut would part a run of white space
+RUN = r"[\t-\r\x{85}\p{Z}] (?:[\t-\r\x{85}\p{Z}]|$)"
 
 
 class Encoder:
@@ -53,25 +54,35 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.cut = regex.compile(PATTERN)
         self.known: dict[str, list[int]] = {}
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        """Of each text, with the end id."""
-        pieces = [self.cut.findall(t) for t in texts]
-        if len(self.known) > PIECES:
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Token counts of the texts (no nulls), the end id included, and all ids."""
+        whole = pc.match_substring_regex(texts, RUN)
+        parts = pc.split_pattern(pc.if_else(whole, "", texts), " ")
+        coded = parts.flatten().dictionary_encode()
+        words = [" " + w for w in coded.dictionary.to_pylist()]
+        if len(self.known) > WORDS:
             self.known.clear()
-        new = list({p for x in pieces for p in x if p not in self.known})
-        for p, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            self.known[p] = e.ids
-        known, out = self.known, []
-        for x in pieces:
-            flat: list[int] = []
-            for p in x:
-                flat += known[p]
-            flat.append(END)
-            out.append(np.array(flat, np.uint32))
-        return out
+        known = self.known
+        new = [w for w in words if w not in known]
+        known.update(zip(new, self._encode(new), strict=True))
+        # the first part of a text has no space before it; a text that is not cut is all in its first part
+        at = coded.indices.to_numpy().astype(np.int64)
+        first = parts.offsets.to_numpy()[:-1] - parts.offsets[0].as_py()
+        heads = [t if w else words[k][1:] for t, w, k in zip(texts.to_pylist(), whole.to_pylist(), at[first].tolist(), strict=True)]
+        at[first] = len(words) + np.arange(len(heads))
+        units = [known[w] for w in words] + self._encode(heads)
+        size = np.fromiter(map(len, units), np.int64, len(units))
+        flat = np.fromiter(chain.from_iterable(units), np.uint32, int(size.sum()))
+        n = size[at]
+        from_ = (np.cumsum(size) - size)[at] - (np.cumsum(n) - n)
+        out = flat[np.repeat(from_, n) + np.arange(int(n.sum()))]
+        counts = np.add.reduceat(n, first) if len(first) else n
+        return counts + 1, np.insert(out, np.cumsum(counts), END).astype(np.uint32)
 
 
 def _open(path: str):
@@ -127,16 +138,17 @@ def write_ids(docs: DataFrame, tokenizer_path: str, folder: str, file_bytes: int
 
     def run(batches):
         enc, part = Encoder(tokenizer_path), TaskContext.get().partitionId()
-        ids, keys = [], []
+        ids, counts, keys = [], [], []
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
-                some = batch.slice(lo, 500)
-                ids += enc.ids(some.column("text").to_pylist())
+                n, some = enc.ids(batch.column("text").slice(lo, 500))
+                counts.append(n)
+                ids.append(some)
             keys.append(batch.column("doc_id"))
         if not ids:
             return
         keys = pa.concat_arrays(keys)
-        counts, flat = np.array([len(x) for x in ids]), np.concatenate(ids)
+        counts, flat = np.concatenate(counts), np.concatenate(ids)
         del ids
         path = f"{folder}/part-{part:06d}.ids"
         written = write_file(path, counts, flat)
