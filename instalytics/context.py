@@ -49,8 +49,6 @@ class Ctx:
     cutover: date = date(2021, 6, 1)
     tz_map: tuple = DEFAULT_TZ_MAP
     offsets: tuple = (2, 3, 10, 30, 90, 180)
-    # Buckets of the distributed exact percent rank.
-    rank_buckets: int = 64
     # Materialise re-used intermediates (FE05, FE09, FE23, ...) under
     # spark.checkpoint.dir so a lost executor does not replay the whole lineage.
     materialize: bool = False

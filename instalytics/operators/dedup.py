@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+
+from .ranges import with_sub_range
 
 
 def _c(x) -> Column:
@@ -39,25 +40,21 @@ def latest_per_key(df: DataFrame, keys, order, tiebreak=()) -> DataFrame:
     return df.groupBy(*keys).agg(best).select(*keys, "_best._row.*").select(*cols)
 
 
-def number_in_group(df: DataFrame, keys, order, name: str, tiebreak=(), buckets: int = 64) -> DataFrame:
+def number_in_group(df: DataFrame, keys, order, name: str, tiebreak=(), buckets: int | None = None) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order ASC NULLS LAST)``
     as BIGINT, always in two levels.
 
     The range of the first order column (numeric) is cut at approximate
-    quantiles of all rows; rows are numbered per (key, sub-range) and offset by
-    the row count of the key's earlier sub-ranges (a running sum over at most
-    ``buckets`` + 1 rows per key). A key with a third of all rows is thus
+    quantiles of all rows (``buckets``, else as many as shuffle partitions);
+    rows are numbered per (key, sub-range) and offset by the row count of the
+    key's earlier sub-ranges (a running sum over at most ``buckets`` + 1 rows
+    per key). A key with a third of all rows is thus
     spread over its share of the sub-ranges. Equal values share a sub-range,
     nulls have one of their own, and a null key is a group."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     order_cols = [_c(c) for c in list(order) + list(tiebreak)]
-    first, cols = order_cols[0], df.columns
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = df.where(first.isNotNull()).agg(F.percentile_approx(first, probs, 10000).alias("q")).scalar()
-    kind = df.select(first.alias("x")).schema["x"].dataType
-    rows = df.select("*", F.coalesce(cuts, F.array().cast(ArrayType(kind))).alias("_cuts"))
-    sub = F.when(first.isNull(), F.size("_cuts") + 1).otherwise(F.size(F.filter("_cuts", lambda c: c < first)))
-    rows = rows.withColumn("_sub", sub).drop("_cuts")
+    cols = df.columns
+    rows = with_sub_range(df.withColumn("_first", order_cols[0]), "_first", "_sub", buckets).drop("_first")
     inside = Window.partitionBy(*keys, "_sub").orderBy(*[c.asc_nulls_last() for c in order_cols])
     rows = rows.withColumn("_local", F.row_number().over(inside))
     sizes = rows.groupBy(*keys, "_sub").agg(F.count(F.lit(1)).alias("_cnt"))
@@ -79,28 +76,23 @@ def _join_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFra
 
 
 def previous_value(df: DataFrame, keys, time_col, value_col, name: str, dtype: str, default=0, tiebreak=(),
-                   bucket=None) -> DataFrame:
+                   buckets: int | None = None) -> DataFrame:
     """Value of the next older row of the same key (``LEAD`` over time DESC,
     ties by ``tiebreak`` DESC, nulls first), cast to ``dtype``; ``default``
     for the oldest row.
 
-    With ``bucket`` (a column monotone in ``time_col``, e.g. the UTC day of
-    an epoch-ms time) the window runs per (key, bucket), so one hot key is
-    spread over as many tasks as it has buckets. The oldest row of a bucket
-    takes its predecessor from a per-(key, bucket) summary -- the newest
-    value of each bucket, shifted by one bucket with a window over at most
-    (#buckets) rows per key -- joined back on (key, bucket)."""
+    The window runs per (key, sub-range of the times), the sub-ranges cut at
+    quantiles of all rows (``buckets``, else as many as shuffle partitions), so
+    a hot key is spread even if all its rows are of one day. The oldest row of
+    a sub-range takes its predecessor from a summary -- the newest value of
+    each (key, sub-range), shifted by one with a window over at most
+    ``buckets`` + 1 rows per key -- joined back on (key, sub-range)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     order_cols = [time_col, *tiebreak]
     order = [_c(c).desc_nulls_first() for c in order_cols]
     val = _c(value_col)
-    if bucket is None:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        prev = F.lead(val, 1).over(w).cast(dtype)
-        return df.withColumn(name, F.coalesce(prev, F.lit(default).cast(dtype)))
-
     cols = df.columns
-    b = df.withColumn("_bk", bucket)
+    b = with_sub_range(df, time_col, "_bk", buckets)
     w = Window.partitionBy(*keys, "_bk").orderBy(*order)
     # one window pass per (key, bucket): the next row (a struct, null only when
     # there is none) and the row's position (1 = newest row of the bucket)
@@ -108,12 +100,12 @@ def previous_value(df: DataFrame, keys, time_col, value_col, name: str, dtype: s
                  F.row_number().over(w).alias("_rn"))
     kb = [*keys, "_bk"]
     newest = b.where(F.col("_rn") == 1).select(*kb, F.struct(val.alias("v")).alias("_nv"))
-    wb = Window.partitionBy(*keys).orderBy(F.col("_bk").desc_nulls_first())
+    wb = Window.partitionBy(*keys).orderBy(F.col("_bk").desc())
     edge = newest.select(*[F.col(c).alias(f"_e{i}") for i, c in enumerate(kb)],
                          F.lead("_nv", 1).over(wb).alias("_pb"))
     # only the oldest row of each (key, bucket) looks across buckets: a join of
-    # one row per bucket with one row per bucket (null-safe: null keys / times
-    # form their own partition / bucket)
+    # one row per bucket with one row per bucket (null-safe: null keys form
+    # their own partition)
     oldest = b.where(F.col("_nx").isNull())
     cond = None
     for i, c in enumerate(kb):

@@ -6,7 +6,7 @@ single task. Here:
 1. ``dv`` = distinct values with their row counts (hash aggregate, map-side
    combine: a value held by a third of all rows is still one row);
 2. approximate quantiles of the distinct values give ``buckets - 1`` cut
-   points, attached as a scalar subquery (one small array, evaluated once,
+   points (as many buckets as shuffle partitions, unless stated), attached as a scalar subquery (one small array, evaluated once,
    no job at plan-construction time and nothing collected by hand);
 3. each distinct value gets the bucket = number of cut points below it;
    equal values share a bucket, so ties stay exact;
@@ -21,18 +21,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
 
+from .ranges import range_count, with_sub_range
 
-def percent_rank_global(df: DataFrame, value_col: str, name: str = "pct_rank", buckets: int = 64,
+
+def percent_rank_global(df: DataFrame, value_col: str, name: str = "pct_rank", buckets: int | None = None,
                         accuracy: int = 10000) -> DataFrame:
     v = F.col(value_col)
     dv = df.groupBy(value_col).agg(F.count(F.lit(1)).alias("_cnt"))
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = dv.where(v.isNotNull()).agg(F.percentile_approx(v, probs, accuracy).alias("q")).scalar()
-    dv = dv.select("*", F.coalesce(cuts, F.array().cast(ArrayType(df.schema[value_col].dataType))).alias("_cuts"))
-    below = F.size(F.filter("_cuts", lambda c: c < v))
-    dv = dv.select(value_col, "_cnt", F.when(v.isNull(), F.size("_cuts") + 1).otherwise(below).alias("_b"))
+    dv = with_sub_range(dv, value_col, "_b", buckets or range_count(df), accuracy)
 
     bt = dv.groupBy("_b").agg(F.sum("_cnt").alias("_bcnt"))
     earlier = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

@@ -59,7 +59,7 @@ def op_percent_rank_global(spark, sf):
     o = _src(spark, sf).order
     spend = o.groupBy(F.col("consumer_consumer_uuid").alias("consumer_uuid")).agg(
         F.sum(F.when(F.col("status") == "APPROVED", F.col("consumer_total_amount_amount"))).cast(D20).alias("spend"))
-    return percent_rank_global(spend, "spend", "pct_rank", buckets=16).select("consumer_uuid", "spend", "pct_rank")
+    return percent_rank_global(spend, "spend", "pct_rank").select("consumer_uuid", "spend", "pct_rank")
 
 
 def op_asof_latest(spark, sf):

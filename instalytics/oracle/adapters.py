@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..sources.testdata import BACKFILL_BASE, FIXTURE_NOTES, LIMIT_OFFSETS, SHIFT_DAYS
+from .fixed import BACKFILL_FROM, EVENT_SHIFT_DAYS, LIMIT_DAYS, OVERRIDE_NOTES
 from .text import Sql
 
 
@@ -10,7 +10,7 @@ def adapter_ctes(q: Sql) -> dict[str, str]:
     ctx = q.ctx
     asof = q.as_of_ms
     day = 86400000
-    notes = "[" + ", ".join("'" + n + "'" for n in FIXTURE_NOTES) + "]"
+    notes = "[" + ", ".join("'" + n + "'" for n in OVERRIDE_NOTES) + "]"
     ovd_rows = f"_q > 25 AND _due < {q.today}"
     cur_d = f"CAST(c_acctbal AS DECIMAL(20,2))"
 
@@ -86,7 +86,7 @@ SELECT _iid AS key_payment_schedule_id, l_orderkey AS order_transaction_id, {dms
 FROM line WHERE {ovd_rows}"""
     c["src_schedule_override"] = f"""
 SELECT _iid AS key_payment_schedule_id, l_orderkey AS key_order_transaction_id, {dms(2)} AS event_info_event_time,
-  l_partkey % 10 = 0 AS override_overdue_status, {notes}[CAST(l_partkey % {len(FIXTURE_NOTES)} AS INTEGER) + 1] AS note,
+  l_partkey % 10 = 0 AS override_overdue_status, {notes}[CAST(l_partkey % {len(OVERRIDE_NOTES)} AS INTEGER) + 1] AS note,
   _reg AS par_region, _due + 2 AS par_process_date
 FROM line WHERE {ovd_rows} AND l_partkey % 5 = 0 AND {dms(2)} <= {asof}"""
     fee = f"{ovd_rows} AND _q > 40"
@@ -106,19 +106,19 @@ FROM line WHERE {fee} AND l_partkey % 3 = 1 AND {dms(5)} <= {asof}"""
 SELECT _iid + 3000 AS key_late_fee_id, {dms(9)} AS event_info_event_time,
   CAST(2 AS DECIMAL(20,2)) AS amount_amount, _reg AS par_region, _due + 9 AS par_process_date
 FROM line WHERE {fee} AND l_partkey % 3 = 0 AND l_partkey % 2 = 0 AND {dms(9)} <= {asof}"""
-    ems = f"(epoch_us(ts) // 1000 - CAST({SHIFT_DAYS} AS BIGINT) * {day})"
+    ems = f"(epoch_us(ts) // 1000 - CAST({EVENT_SHIFT_DAYS} AS BIGINT) * {day})"
     c["src_decision_value_change"] = f"""
 SELECT {q.uuid('user_id')} AS consumer_uuid, {q.cc('user_id')} AS country_code,
   CAST(value AS DECIMAL(10,2)) AS old_value, {ems} AS "timestamp", {q.reg('user_id')} AS par_region,
   {q.utc_date(ems)} AS par_process_date
 FROM events WHERE event_type IN ('view', 'click') AND {ems} <= {asof}"""
-    ets = f"(ts - INTERVAL {SHIFT_DAYS} DAY)"
+    ets = f"(ts - INTERVAL {EVENT_SHIFT_DAYS} DAY)"
     c["src_credit_limit_result"] = f"""
 SELECT {q.uuid('user_id')} AS consumer_uuid, {ets} AS event_info_event_time,
   CAST(value AS DECIMAL(20,2)) AS otb_amount_amount, CAST(value + 100 AS DECIMAL(20,2)) AS account_limit_amount,
   {q.reg('user_id')} AS par_region, CAST({ets} AS DATE) AS par_process_date
 FROM events WHERE event_type = 'signup' AND epoch_us({ets}) // 1000 <= {asof}"""
-    inc = q.ms_of_date(f"DATE '{BACKFILL_BASE.isoformat()}' + CAST(c_custkey % 100 AS INTEGER)")
+    inc = q.ms_of_date(f"DATE '{BACKFILL_FROM}' + CAST(c_custkey % 100 AS INTEGER)")
     c["src_limit_change_backfill"] = f"""
 SELECT {q.uuid('c_custkey')} AS entity_id, {q.cc('c_custkey')} AS country_code, {inc} AS c_latest_limit_increase_ts,
   CASE WHEN c_custkey % 2 = 0 THEN NULL ELSE {inc} + 5 * {day} END AS c_latest_limit_decrease_ts
@@ -156,5 +156,5 @@ FROM customer LEFT JOIN (SELECT o_custkey, MIN(_odate) AS first_order_date FROM
 SELECT {q.reg('c_custkey')} AS par_region, {q.cc('c_custkey')} AS country_code, {q.uuid('c_custkey')} AS consumer_uuid,
   {q.local_today(q.cc('c_custkey'))} - {k} AS created_local_date,
   CAST(c_acctbal + {k} AS DECIMAL(10,2)) AS daily_account_limit
-FROM customer""" for k in LIMIT_OFFSETS)
+FROM customer""" for k in LIMIT_DAYS)
     return c

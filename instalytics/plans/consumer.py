@@ -77,7 +77,7 @@ def fe21_cust_approved_order_d180(order: DataFrame, ctx: Ctx) -> DataFrame:
 
 def _percentile(spend: DataFrame, ctx: Ctx) -> DataFrame:
     """Percent rank of the spend among these consumers: 1 = top 1 %, 100 = lowest."""
-    ranked = percent_rank_global(spend, "c_order_amt_180d", "pct_rank", buckets=ctx.rank_buckets)
+    ranked = percent_rank_global(spend, "c_order_amt_180d", "pct_rank")
     pr = F.col("pct_rank")
     return ranked.select(
         "consumer_uuid", "c_order_amt_180d", "pct_rank",

@@ -17,7 +17,7 @@ from . import consumer, instalments, latefees, limits, master, overdue, utilisat
 from .materialize import materialize
 
 # Intermediates read by several features.
-REUSED = ("fe01", "fe05", "fe06", "fe08", "fe09", "fe14", "fe23", "fe26", "fe31", "orders_rollup")
+REUSED = ("payments", "fe01", "fe05", "fe06", "fe08", "fe09", "fe14", "fe23", "fe26", "fe31", "orders_rollup")
 
 
 class FeatureSet:
@@ -49,9 +49,11 @@ class FeatureSet:
     def _fe03(self):
         return instalments.fe03_due_date_valid(self["fe02"])
 
+    def _payments(self):
+        return instalments.successful_payments(self.src.payment_processed, self.ctx)
+
     def _fe04(self):
-        return instalments.fe04_instal_events(self.src.instalment_payment, self.src.payment_processed,
-                                              self["fe01"], self.ctx)
+        return instalments.fe04_instal_events(self.src.instalment_payment, self["payments"], self["fe01"], self.ctx)
 
     def _fe05(self):
         return instalments.fe05_instal_events_agg(self["fe01"], self["fe04"], self["fe03"], self.ctx)
@@ -83,12 +85,11 @@ class FeatureSet:
 
     # -- late fees
     def _fe14(self):
-        return latefees.fe14_latefee_invoice(self.src.late_fee_applied, self.src.payment_scheduled, self.src.order,
-                                             self.ctx)
+        return latefees.fe14_latefee_invoice(self.src.late_fee_applied, self["fe01"], self.ctx)
 
     def _fe15(self):
         s = self.src
-        return latefees.fe15_latefee_events(s.late_fee_payment, s.payment_processed, s.late_fee_waived,
+        return latefees.fe15_latefee_events(s.late_fee_payment, self["payments"], s.late_fee_waived,
                                             s.late_fee_refunded, self["fe14"], self.ctx)
 
     def _fe16(self):

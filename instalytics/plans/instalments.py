@@ -86,12 +86,13 @@ def successful_payments(payment_processed: DataFrame, ctx: Ctx) -> DataFrame:
                           ["payment_method_discount_name", "consumer_uuid", "par_region"])
 
 
-def fe04_instal_events(instalment_payment: DataFrame, payment_processed: DataFrame, fe01: DataFrame,
+def fe04_instal_events(instalment_payment: DataFrame, payments: DataFrame, fe01: DataFrame,
                        ctx: Ctx) -> DataFrame:
     """Instalment payments whose latest successful processing event has the
-    same event time; typed PAYMENT, or DISCOUNT when a discount name is set."""
+    same event time; typed PAYMENT, or DISCOUNT when a discount name is set.
+    ``payments``: see ``successful_payments``."""
     p = scan(instalment_payment, ctx, HORIZON_LONG).alias("p")
-    pp = successful_payments(payment_processed, ctx).alias("pp")
+    pp = payments.alias("pp")
     inst = fe01.select("consumer_uuid", "country_code", "instalment_id", "order_id", "par_region").alias("i")
     j = (p.join(pp, (F.col("pp.key_payment_id") == F.col("p.key_payment_id"))
                 & (F.col("pp.event_info_event_time") == F.col("p.event_time")), "inner")

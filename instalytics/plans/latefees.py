@@ -11,27 +11,22 @@ from ..functions.conditional import any_when, max_when, min_when, sum_when
 from ..functions.timecols import in_local_window, local_ts, ts_text
 from ..operators.reshape import union_aligned
 from ..sources.bundle import scan
-from .instalments import approved_orders, successful_payments
 
 D20 = "decimal(20,2)"
 WINDOWS = (360, 90)
 
 
-def fe14_latefee_invoice(late_fee_applied: DataFrame, payment_scheduled: DataFrame, order: DataFrame,
-                         ctx: Ctx) -> DataFrame:
-    """Late fees charged on instalments of approved orders."""
+def fe14_latefee_invoice(late_fee_applied: DataFrame, fe01: DataFrame, ctx: Ctx) -> DataFrame:
+    """Late fees charged on instalments of approved orders (FE01 holds these,
+    of the same 450 ingestion days)."""
     lf = scan(late_fee_applied, ctx, HORIZON_LONG).alias("lf")
-    ps = scan(payment_scheduled, ctx, HORIZON_LONG).select(
-        "key_payment_schedule_id", "order_transaction_id", "par_region").alias("ps")
-    o = approved_orders(order, ctx, HORIZON_LONG).alias("o")
-    j = (lf.join(ps, (F.col("lf.payment_schedule_id") == F.col("ps.key_payment_schedule_id"))
-                 & (F.col("lf.par_region") == F.col("ps.par_region")), "inner")
-         .join(o, (F.col("o.order_transaction_id") == F.col("ps.order_transaction_id"))
-               & (F.col("o.par_region") == F.col("ps.par_region")), "inner"))
+    i = fe01.select("instalment_id", "par_region", "consumer_uuid", "country_code", "order_id").alias("i")
+    j = lf.join(i, (F.col("lf.payment_schedule_id") == F.col("i.instalment_id"))
+                & (F.col("lf.par_region") == F.col("i.par_region")), "inner")
     return j.select(
-        F.col("o.consumer_consumer_uuid").alias("consumer_uuid"),
-        F.col("o.country_code").alias("country_code"),
-        F.col("o.order_transaction_id").alias("order_id"),
+        F.col("i.consumer_uuid").alias("consumer_uuid"),
+        F.col("i.country_code").alias("country_code"),
+        F.col("i.order_id").alias("order_id"),
         F.col("lf.payment_schedule_id").alias("instalment_id"),
         F.col("lf.key_late_fee_id").alias("late_fee_id"),
         F.col("lf.event_info_event_time").alias("event_time"),
@@ -55,13 +50,13 @@ def _entry(event_type: str, **amounts):
     return cols
 
 
-def fe15_latefee_events(late_fee_payment: DataFrame, payment_processed: DataFrame, late_fee_waived: DataFrame,
+def fe15_latefee_events(late_fee_payment: DataFrame, payments: DataFrame, late_fee_waived: DataFrame,
                         late_fee_refunded: DataFrame, fe14: DataFrame, ctx: Ctx) -> DataFrame:
     """Ledger: PAYMENT, INVOICED, WAIVED, REFUNDED rows (each part distinct,
     bag union across parts)."""
     lf = fe14.alias("lf")
     p = scan(late_fee_payment, ctx, HORIZON_LONG).alias("p")
-    pp = successful_payments(payment_processed, ctx).alias("pp")
+    pp = payments.alias("pp")  # see successful_payments
     pay = (p.join(pp, F.col("pp.key_payment_id") == F.col("p.payment_id"), "inner")
            .join(lf, F.col("lf.late_fee_id") == F.col("p.key_late_fee_id"), "left")
            .select(F.col("pp.consumer_uuid"), F.col("lf.country_code"), F.col("lf.instalment_id"),

@@ -77,6 +77,7 @@ def test_fully_discounted_instalment_is_full_waived(spark, ctx):
 
 
 def test_fee_paid_on_rejected_order_stays_in_ledger(spark, ctx):
+    from instalytics.plans.instalments import successful_payments
     from instalytics.plans.latefees import fe15_latefee_events
 
     d = date(2001, 7, 20)
@@ -88,7 +89,7 @@ def test_fee_paid_on_rejected_order_stays_in_ledger(spark, ctx):
     fe14 = spark.createDataFrame([], "consumer_uuid string, country_code string, order_id long, instalment_id long, "
                                      "late_fee_id long, event_time long, amount_invoiced decimal(20,2), "
                                      "par_region string")  # the fee's order was not approved: no invoice row
-    rows = fe15_latefee_events(pay, processed, empty["late_fee_waived"], empty["late_fee_refunded"], fe14,
+    rows = fe15_latefee_events(pay, successful_payments(processed, ctx), empty["late_fee_waived"], empty["late_fee_refunded"], fe14,
                                ctx).collect()
     assert len(rows) == 1
     r = rows[0]

@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from instalytics.functions.text import blank_to_null, classify_note, json_text
+from instalytics.operators.ranges import with_sub_range
 from instalytics.operators import (
     anti_join,
     asof_latest,
@@ -103,18 +104,22 @@ def test_text_helpers(spark):
     assert got["v"][0] == ""  # no ticket reference: empty text, as the warehouse's REGEXP_SUBSTR
 
 
-def test_previous_value_bucketed_equals_plain(spark):
+@pytest.mark.parametrize("days", [1, 40])
+def test_previous_value_equals_plain_window(spark, days):
     rnd = random.Random(11)
     rows = []
     for i in range(3000):
         k = "hot" if i % 3 else f"c{i % 17}"           # one key with two thirds of the rows
-        t = rnd.choice([None] + [rnd.randint(0, 40 * 86_400_000) for _ in range(30)])
+        t = rnd.choice([None] + [rnd.randint(0, days * 86_400_000) for _ in range(30)])
         rows.append((k, t, rnd.choice([None, "1.00", "2.50", "2.50", "7.00"]), rnd.choice(["GB", "FR"])))
     df = spark.createDataFrame(rows, "k string, t long, v string, cc string")
-    plain = previous_value(df, ["k"], "t", "v", "p", "decimal(10,2)", tiebreak=["v", "cc"])
-    buck = previous_value(df, ["k"], "t", "v", "p", "decimal(10,2)", tiebreak=["v", "cc"],
-                          bucket=F.floor(F.col("t") / F.lit(86_400_000)))
-    assert plain.exceptAll(buck).count() == 0 and buck.exceptAll(plain).count() == 0
+    w = Window.partitionBy("k").orderBy(*[F.col(c).desc_nulls_first() for c in ("t", "v", "cc")])
+    plain = df.withColumn("p", F.coalesce(F.lead("v").over(w), F.lit("0")).cast("decimal(10,2)"))
+    got = previous_value(df, ["k"], "t", "v", "p", "decimal(10,2)", tiebreak=["v", "cc"], buckets=16)
+    assert plain.exceptAll(got).count() == 0 and got.exceptAll(plain).count() == 0
+    # the hot key is spread, even within one day
+    spread = with_sub_range(df, "t", "b", 16).groupBy("k", "b").count().agg(F.max("count")).first()[0]
+    assert spread <= 3000 / 16 * 2
 
 
 def test_number_in_group_spreads_a_hot_key_and_equals_row_number(spark):
