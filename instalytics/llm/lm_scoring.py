@@ -2,9 +2,9 @@
 
 Learning: token counts over all training documents, aggregated by Spark; the
 recurrent model (``recurrent_lm``) is trained where the documents are, each
-task on its share of a hash-chosen part of them (``1 / PART`` of the training
-documents in each of ``ROUNDS`` rounds, so what is learned from grows with the
-corpus), and the weights are averaged after each round, weighted by tokens.
+task on its own ones, in ``ROUNDS`` rounds that between them take every training
+document once (dealt by a hash of id and text, so that rows without an id are
+spread as well); the weights are averaged after each round, weighted by tokens.
 
 Scoring: one pass over all texts, states carried through the whole text. The
 ``DICTIONARY`` most frequent words and the model are broadcast (bounded);
@@ -30,7 +30,6 @@ from . import recurrent_lm as lm
 from .common import crc_mod, staged, table
 
 DICTIONARY = 100_000
-PART = 24
 ROUNDS = 3
 MEETINGS = 64
 LN10 = float(np.log(10.0))
@@ -85,7 +84,7 @@ def train(training: DataFrame, v: lm.Vocabulary) -> dict:
     sc = training.sparkSession.sparkContext
     weights, words = lm.fresh(v), sc.broadcast(v)
     for k in range(ROUNDS):
-        some = training.where(F.pmod(F.xxhash64("doc_id"), F.lit(PART)) == k).select("text")
+        some = training.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == k).select("text")
         start = sc.broadcast(weights)
 
         def local(batches, start=start):

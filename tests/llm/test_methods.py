@@ -203,6 +203,16 @@ def test_model_is_a_distribution_and_does_not_depend_on_neighbours():
     assert np.allclose(together, alone, rtol=1e-4)
 
 
+def test_the_model_learns_from_every_training_document(spark):
+    from instalytics.llm import recurrent_lm as lm
+
+    d = spark.createDataFrame([(None if i == 3 else i, "one two three " * 20 + str(i)) for i in range(4)], "doc_id long, text string").cache()
+    v = lm_scoring.vocabulary(lm_scoring.token_counts(d))
+    for i in range(4):
+        weights = lm_scoring.train(d.where(f"text LIKE '% {i}'"), v)
+        assert not np.array_equal(weights["U"], lm.fresh(v)["U"]), i
+
+
 def _class_shares(v, p):
     from instalytics.llm import recurrent_lm as lm
 
