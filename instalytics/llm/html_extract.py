@@ -4,12 +4,14 @@ A page becomes a sequence of text nodes, each with its root-to-leaf tag path.
 For each path the text length and the punctuation per node are summed over the
 page; the two ratios, smoothed over neighbouring nodes in page order and fused
 (their geometric mean), score the nodes, and nodes above a threshold taken from the
-page's own scores are content. The main text is then every text node, content
-or short, of the smallest element that holds nearly all content, so that a
-heading or a short paragraph inside the article is not lost. Inside and
-outside, elements that are no text of the article are left out: scripts,
-styles, navigation, headers, footers, sidebars, forms, and elements whose class,
-id or role names one of these, adverts, notices or reader comments.
+page's own scores are selected. The region is the smallest element that holds
+all selected nodes, widened to the article around it. The main text is the selected
+nodes, the rest of containers (div, section, article) whose text is selected by half
+or more, and short runs of text between them, so that a heading or a short paragraph is not lost. Left out by
+their tag: scripts, styles, navigation, footers, asides, controls. Forms, page
+headers and elements whose class, id or role names navigation, sidebars, adverts, notices
+or reader comments are left out unless half of the page's selected text or more is inside
+and no article or main element beside them has selected text.
 
 Character references are decoded, white space inside a block becomes one
 space, blocks are joined by one line feed. Null or empty html, or a page
@@ -34,8 +36,10 @@ BLOCK = frozenset("""address article aside blockquote body caption center dd det
 figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody
 td tfoot th thead tr ul""".split())
 CLOSES_P = BLOCK - {"body", "html", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "legend", "option"}
-HIDDEN = frozenset("""script style noscript template head title nav footer aside form button select textarea option iframe object svg
-math canvas audio video dialog menu noframes datalist input label fieldset""".split())
+HIDDEN = frozenset("""script style noscript template head title nav footer aside button select textarea option iframe object svg
+math canvas audio video dialog menu noframes datalist input label""".split())
+FORM = frozenset(("form", "fieldset"))
+CONTAINER = frozenset(("div", "section", "article", "main", "body", "html", ""))
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
             "option": {"option"}, "tbody": {"tbody", "thead", "tr", "td", "th"}, "thead": {"tr"}, "tfoot": {"tbody", "tr", "td", "th"}}
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"},
@@ -52,10 +56,10 @@ SPACE = re.compile(r"\s+")
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "path", "hidden", "start")
+    __slots__ = ("tag", "parent", "path", "hidden", "named")
 
-    def __init__(self, tag, parent, hidden, start):
-        self.tag, self.parent, self.hidden, self.start = tag, parent, hidden, start
+    def __init__(self, tag, parent, hidden, named):
+        self.tag, self.parent, self.hidden, self.named = tag, parent, hidden, named
         self.path = (parent.path + "/" if parent else "") + tag
 
 
@@ -64,7 +68,7 @@ class _Page(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack = [_Element("", None, False, 0)]
+        self.stack = [_Element("", None, False, False)]
         self.nodes: list[tuple[_Element, int, str]] = []
         self.block = 0
 
@@ -98,19 +102,19 @@ class _Page(HTMLParser):
         hidden = top.hidden or tag in HIDDEN
         # the header of a page is furniture, that of an article holds its heading
         in_article = any(e.tag in ("article", "main") for e in self.stack)
-        hidden = hidden or (tag == "header" and not in_article)
+        named = tag in FORM or (tag == "header" and not in_article)
         if not hidden and tag not in ("html", "body", "article", "main"):
             for name, value in attrs:
                 if name in ("hidden", "aria-hidden") and (name == "hidden" or value == "true"):
                     hidden = True
                 elif value and name in ("class", "id", "role") and (FURNITURE.search(value) or (not in_article and HEADER.search(value))):
-                    hidden = True
+                    named = True
         if tag in BLOCK:
             self.block += 1
         if tag == "br":
             self.nodes.append((top, self.block, " "))
         if tag not in VOID:
-            self.stack.append(_Element(tag, top, hidden, len(self.nodes)))
+            self.stack.append(_Element(tag, top, hidden, named))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)  # "<p/>" opens a p
@@ -149,53 +153,105 @@ def _scores(nodes: list[tuple[_Element, int, str]]) -> list[float]:
     return [(p * q) ** 0.5 for p, q in zip(smooth(a), smooth(b), strict=True)]
 
 
-def _region(nodes, scores) -> _Element | None:
-    """The smallest element holding nearly all content, widened to the article around it."""
-    if not nodes:
-        return None
+def _selected(nodes) -> list[bool]:
+    """Whether a node's score reaches the threshold of the page."""
+    scores = _scores(nodes)
+    if not scores:
+        return []
     mean = sum(scores) / len(scores)
     spread = (sum((s - mean) ** 2 for s in scores) / len(scores)) ** 0.5
     limit = min(mean, 0.8 * spread) if spread else 0.0
+    return [s >= limit for s in scores]
+
+
+def _masses(nodes, chosen) -> tuple[dict, int]:
+    """Selected characters inside each element, and in all."""
     mass, total = defaultdict(int), 0
-    for (e, _, text), s in zip(nodes, scores, strict=True):
-        n = len(text.strip())
-        if s >= limit and n:
+    for (e, _, text), on in zip(nodes, chosen, strict=True):
+        if on:
+            n = len(text.strip())
             total += n
             while e is not None:
                 mass[e] += n
                 e = e.parent
+    return mass, total
+
+
+def _shown(nodes):
+    """The nodes without those of named elements that hold less than half of the
+    selected text, or lie beside an article with selected text."""
+    if not any(e.named for x in nodes for e in _line(x[0])):
+        return nodes
+    texts = [x for x in nodes if x[2].strip()]
+    mass, total = _masses(texts, _selected(texts))
+    few = {e for x in nodes for e in _line(x[0]) if e.named and 2 * mass.get(e, 0) < max(1, total)}
+    articles = [a for a in mass if a.tag in ("article", "main") and few.isdisjoint(_line(a))]
+    beside = {e for e in mass if e.named and any(e not in _line(a) and a not in _line(e) for a in articles)}
+    return [x for x in nodes if not any(e in few or e in beside for e in _line(x[0]))]
+
+
+def _line(e):
+    """An element and those around it."""
+    while e is not None:
+        yield e
+        e = e.parent
+
+
+def _region(nodes, chosen) -> _Element | None:
+    """The smallest element holding all selected nodes, widened to the article around it."""
+    mass, total = _masses(nodes, chosen)
     if not total:
         return None
-    best = None
-    for e, n in mass.items():
-        if n >= 0.9 * total and (best is None or len(e.path) > len(best.path)):
-            best = e
-    # a lone block or inline element: its siblings belong to the same text
-    at = best
-    while at is not None:
+    best = max((e for e, n in mass.items() if n == total), key=lambda e: len(e.path))
+    for at in _line(best):
         if at.tag in ("article", "main"):
             return at
-        at = at.parent
+    # a lone block or inline element: its siblings belong to the same text
     while best.parent is not None and best.tag not in ("div", "section", "td", "body", "html", ""):
         best = best.parent
     return best
 
 
+def _container(e: _Element) -> _Element:
+    return next(x for x in _line(e) if x.tag in CONTAINER)
+
+
+def _filled(nodes, chosen, whole: bool) -> list[bool]:
+    """``chosen`` with the rest of containers whose text is selected by half or
+    more, and with runs between two chosen nodes that are shorter than these together.
+    ``whole``: the nodes are those of an article, a run at its ends needs one neighbour."""
+    size = [len(x[2].strip()) for x in nodes]
+    home = [_container(x[0]) for x in nodes]
+    most = defaultdict(int)
+    for c, n, on in zip(home, size, chosen, strict=True):
+        most[c] += n if on else -n
+    out = [on or most[c] >= 0 for c, on in zip(home, chosen, strict=True)]
+    at = [i for i, on in enumerate(out) if on]
+    for lo, hi in zip([-1, *at], [*at, len(nodes)], strict=True):
+        ends = [i for i in (lo, hi) if 0 <= i < len(nodes)]
+        if (len(ends) == 2 or whole) and sum(size[lo + 1 : hi]) < sum(size[i] for i in ends):
+            out[lo + 1 : hi] = [True] * (hi - lo - 1)
+    return out
+
+
 def extract(html: str | None) -> str:
     if not html:
         return ""
     page = _Page()
     page.feed(html)
     page.close()
-    nodes = [x for x in page.nodes if not x[0].hidden]
-    inside = [x for x in nodes if x[2].strip()]
-    region = _region(inside, _scores(inside))
+    nodes = _shown([x for x in page.nodes if not x[0].hidden])
+    texts = [x for x in nodes if x[2].strip()]
+    chosen = _selected(texts)
+    region = _region(texts, chosen)
+    if region is None:
+        return ""
+    within = [any(e is region for e in _line(x[0])) for x in nodes]
+    inside = [i for i, on in enumerate(chosen) if any(e is region for e in _line(texts[i][0]))]
+    keep = iter(_filled([texts[i] for i in inside], [chosen[i] for i in inside], region.tag in ("article", "main")))
     blocks: dict[int, list[str]] = {}
-    for e, block, text in nodes:
-        at = e
-        while at is not None and at is not region:
-            at = at.parent
-        if at is region and region is not None:
+    for (_, block, text), on in zip(nodes, within, strict=True):
+        if on and (not text.strip() or next(keep)):
             blocks.setdefault(block, []).append(text)
     out = (SPACE.sub(" ", "".join(parts)).strip() for parts in blocks.values())
     return "\n".join(x for x in out if x)

@@ -263,6 +263,25 @@ def test_extracts_the_article_alone():
     assert html_extract.extract(PAGE.replace("<main>", '<div class="body">').replace("</main>", "</div>")) == html_extract.extract(PAGE)
 
 
+def test_extracts_all_selected_nodes():
+    lead, body = "The lead, in short.", "A sentence, of the body; with marks. " * 6
+    page = f"<body><div><div class=lead><p>{lead}</p></div><div class=body><p>{body}</p><p>{body}</p></div></div></body>"
+    text = "\n".join([lead, body.strip(), body.strip()])
+    assert html_extract.extract(page) == text
+    # a long list without marks is not the article's for lying in it; its ends are smoothed with their neighbours
+    links = "<div><ul>" + "<li><a>Another page of this site</a>" * 40 + "</ul></div>"
+    got = html_extract.extract(f"<article><div><p>{body}</p></div>{links}<div><p>{body}</p></div></article>").split("\n")
+    assert got[0] == got[-1] == body.strip() and len(got) <= 4
+
+
+@pytest.mark.parametrize("name", ["content-sidebar-wrap", "with-sidebar", "no-sidebar", "has-banner"])
+def test_a_name_or_form_does_not_hide_the_content(name):
+    body = "A sentence, of the body; with marks. " * 6
+    side = "<div class=sidebar><p>Side text, with marks.</p></div>"
+    assert html_extract.extract(f"<body><div class={name}><p>{body}</p>{side}</div></body>") == body.strip()
+    assert html_extract.extract(f"<body><form><div><p>{body}</p>{side}</div></form></body>") == body.strip()
+
+
 def test_extracts_from_odd_pages():
     assert html_extract.extract(None) == html_extract.extract("") == html_extract.extract("<html><body></body></html>") == ""
     assert html_extract.extract("plain text, no markup") == "plain text, no markup"
