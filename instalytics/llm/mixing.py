@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from .common import staged, table
 
 CAP = (1, 4)
+WHOLE = (1, 1)  # natural shares: no source is cut
 BLOCK_ROWS = 64
 RESOLUTION = 1000
 BROADCAST_SOURCES = 100_000
@@ -112,17 +113,20 @@ def _small(df: DataFrame, sources: int) -> DataFrame:
     return F.broadcast(df) if sources <= BROADCAST_SOURCES else df
 
 
-def mix(docs: DataFrame, cap: tuple[int, int] = CAP, block_rows: int = BLOCK_ROWS, resolution: int = RESOLUTION) -> DataFrame:
-    """One row per document: doc_id, source, weight, block, release, deadline,
-    slot, place (of the document inside its block), in_mixture."""
-    rows = docs.select("doc_id", "source")
-    weights = weights_of(rows, cap, resolution)
+def _scheduled(rows: DataFrame, weights: DataFrame, block_rows: int) -> DataFrame:
+    """``rows`` with block, _idx, _start (of the period), _at and _j of the schedule."""
     sources = weights.count()
     plan = staged(period_schedule(weights), "mix-period")
     d = numbered(rows).join(_small(weights.drop("n"), sources), "_src")
     d = d.withColumn("block", F.expr(f"_idx div {block_rows}")).withColumn("_c", F.expr("block div _parts")).withColumn("_j", F.col("block") % F.col("_parts"))
-    d = d.join(_small(plan, sources), ["_src", "_j"])
-    start = F.col("_c") * F.col("_period")
+    return d.join(_small(plan, sources), ["_src", "_j"]).withColumn("_start", F.col("_c") * F.col("_period"))
+
+
+def mix(docs: DataFrame, cap: tuple[int, int] = CAP, block_rows: int = BLOCK_ROWS, resolution: int = RESOLUTION) -> DataFrame:
+    """One row per document: doc_id, source, weight, block, release, deadline,
+    slot, place (of the document inside its block), in_mixture."""
+    rows = docs.select("doc_id", "source")
+    d, start = _scheduled(rows, weights_of(rows, cap, resolution), block_rows), F.col("_start")
     return d.select(
         "doc_id", "source", (F.col("_parts") / F.col("_period")).alias("weight"), F.col("block"),
         (start + F.expr("(_j * _period) div _parts")).alias("release"),
@@ -132,13 +136,15 @@ def mix(docs: DataFrame, cap: tuple[int, int] = CAP, block_rows: int = BLOCK_ROW
         (F.col("_idx") < F.col("_quota")).alias("in_mixture"))
 
 
-def mixture(docs: DataFrame, cap: tuple[int, int] = CAP) -> DataFrame:
-    """The documents of the mixture, all columns: what a capped source has
-    above its target goes, every other document stays."""
-    weights = weights_of(docs, cap)
+def mixture(docs: DataFrame, cap: tuple[int, int] = WHOLE, block_rows: int = BLOCK_ROWS, resolution: int = RESOLUTION) -> DataFrame:
+    """The documents of the mixture, all columns, in the order of the schedule's
+    slots and of the places inside them. By default each source's target is its
+    natural share, under which every document stays; with a smaller ``cap``
+    what a capped source has above its target goes."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")  # whatever the columns are called
-    d = numbered(docs.select(row, "doc_id", "source", F.xxhash64("text").alias("text")))
-    return d.join(_small(weights.select("_src", "_quota"), weights.count()), "_src").where("_idx < _quota").select("_row.*")
+    rows = docs.select(row, "doc_id", "source", F.xxhash64("text").alias("text"))
+    d = _scheduled(rows, weights_of(docs, cap, resolution), block_rows).where("_idx < _quota")
+    return d.orderBy(F.col("_start") + F.col("_at"), F.col("_idx") % block_rows).select("_row.*")
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import re
 import pytest
 
 import corpus_pipeline as cp
-from instalytics.llm import language_id
+from instalytics.llm import language_id, mixing
 from instalytics.llm.common import staged, table
 
 SF = "/root/testdata/sf0.001"
@@ -88,6 +88,15 @@ def test_mixing_stage_caps_the_largest_source(stages):
     assert all(b[s] == a[s] or b[s] <= total / 4 for s in a)
 
 
+def test_mixing_stage_keeps_all_in_slot_order(spark):
+    rows = [(i, f"text {i}", "a" if i < 700 else "b" if i < 900 else "c") for i in range(1000)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [r.doc_id for r in cp.mix_sources(spark, d, SF).collect()]
+    plan = {r.doc_id: (r.slot, r.place) for r in mixing.mix(d, mixing.WHOLE).collect()}
+    assert got == sorted(plan, key=plan.get) and sorted(got) == list(range(1000))
+    assert len({plan[i][0] for i in got}) == 17  # blocks of 64: 11 + 4 + 2
+
+
 def test_sharding_stage(stages):
     _, before, after = stages[4]
     got, texts = _rows(after), {d: r.text for d, r in _rows(before).items()}
