@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html_extract, language_id, line_dedup, lm_scoring, mixing, ngram_join, quality_rules, sharding, token_output
+from . import (decontaminate, filter_audit, html_extract, language_id, line_dedup, lm_scoring, mixing, ngram_join, quality_rules, ranked_search, sharding,
+               token_output, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": mixing.op1_mixing,
@@ -19,6 +20,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": language_id.op8_language_id,
     "op9_benchmark_decontamination": decontaminate.op9_benchmark_decontamination,
     "op10_html_extraction": html_extract.op10_html_extraction,
+    "op11_url_filter": url_filter.op11_url_filter,
+    "op12_ranked_search": ranked_search.op12_ranked_search,
+    "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -26,4 +30,7 @@ ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": quality_rules.SQL,
     "op3_line_dedup": line_dedup.SQL,
     "op9_benchmark_decontamination": decontaminate.SQL,
+    "op11_url_filter": url_filter.SQL,
+    "op12_ranked_search": ranked_search.SQL,
+    "op13_filter_audit": filter_audit.SQL,
 }

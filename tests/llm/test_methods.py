@@ -26,7 +26,7 @@ def texts():
 @pytest.mark.parametrize("name", registry.ORACLE_SQL)
 def test_matches_its_oracle(spark, name):
     con = duckdb_conn(SF)
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "pages", "labels"):
         con.execute(f"CREATE OR REPLACE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     r = compare(registry.QUERIES[name](spark, SF), con, registry.ORACLE_SQL[name])
     assert r["columns_match"] and r["types_match"] and r["values_match"], r
