@@ -15,9 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from .context import Ctx, default_ctx
 from .oracle.sql import oracle_query
 from .plans.features import FeatureSet
-from .plans.materialize import checkpoint_root, write_snapshot
+from .plans.materialize import checkpoint_root
+from .plans.snapshot import SnapshotTable
+from .plans.store import RunStore, run_key
 from .session import ensure_checkpoint_dir
-from .sources.testdata import build_sources, staged_sources
+from .sources.testdata import TEST_TABLES, build_sources, staged_sources
 
 FEATURES = {
     "fe01_instal_invoice": "fe01",
@@ -57,11 +59,20 @@ FEATURES = {
 
 
 def feature_set(spark: SparkSession, sf_dir: str, ctx: Ctx | None = None) -> FeatureSet:
+    """The features over the test tables. With ``ctx.materialize`` the adapted
+    sources and the re-used intermediates are in the run's store, where later
+    queries with the same tables and context find them."""
     ctx = ctx or default_ctx(materialize=True)
-    if ctx.materialize:
-        ensure_checkpoint_dir(spark)
-        return FeatureSet(staged_sources(spark, sf_dir, ctx), ctx)
-    return FeatureSet(build_sources(spark, sf_dir, ctx), ctx)
+    if not ctx.materialize:
+        return FeatureSet(build_sources(spark, sf_dir, ctx), ctx)
+    store = run_store(spark, sf_dir, ctx)
+    return FeatureSet(staged_sources(spark, sf_dir, ctx, store), ctx, store)
+
+
+def run_store(spark: SparkSession, sf_dir: str, ctx: Ctx | None = None) -> RunStore:
+    ensure_checkpoint_dir(spark)
+    tables = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in TEST_TABLES]
+    return RunStore(spark, run_key(spark, tables, ctx or default_ctx(materialize=True)))
 
 
 def _feature_query(key: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -73,13 +84,15 @@ def _feature_query(key: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def sk05_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The master written as a partitioned snapshot under the shared folder,
-    and that snapshot read back."""
+    """The run's partition of a snapshot table under the shared folder, first
+    published empty, then replaced by the master, and that snapshot read back."""
     fs = feature_set(spark, sf_dir)
-    path = f"{checkpoint_root(spark)}/instalytics/snapshot-{uuid.uuid4().hex}"
     df = fs["fe33"]
-    write_snapshot(df, path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = SnapshotTable(spark, f"{checkpoint_root(spark)}/instalytics/snapshot-{uuid.uuid4().hex}", df.schema)
+    owned = [{"par_region": fs.ctx.region, "par_process_date": fs.ctx.today}]
+    table.replace(df.where("false"), owned)
+    table.replace(df, owned)
+    return table.read()
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

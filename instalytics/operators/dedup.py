@@ -44,35 +44,30 @@ def number_in_group(df: DataFrame, keys, order, name: str, tiebreak=(), buckets:
     """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order ASC NULLS LAST)``
     as BIGINT, always in two levels.
 
-    The range of the first order column (numeric) is cut at approximate
-    quantiles of all rows (``buckets``, else as many as shuffle partitions);
-    rows are numbered per (key, sub-range) and offset by the row count of the
-    key's earlier sub-ranges (a running sum over at most ``buckets`` + 1 rows
-    per key). A key with a third of all rows is thus
-    spread over its share of the sub-ranges. Equal values share a sub-range,
-    nulls have one of their own, and a null key is a group."""
+    The range of the first order column is cut at quantiles of all rows
+    (``buckets``, else as many as shuffle partitions); rows are numbered per
+    (key, sub-range) and offset by the row count of the key's earlier sub-ranges
+    (a running sum over at most ``buckets`` + 1 rows per key). A key with a third
+    of all rows is thus spread over its share of the sub-ranges. Equal values
+    share a sub-range, nulls have one of their own, and a null key is a group.
+
+    Key and sub-range are one struct, which is never null: the offsets join on
+    it by plain equality, so the rows stay where the window put them."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     order_cols = [_c(c) for c in list(order) + list(tiebreak)]
     cols = df.columns
-    rows = with_sub_range(df.withColumn("_first", order_cols[0]), "_first", "_sub", buckets).drop("_first")
-    inside = Window.partitionBy(*keys, "_sub").orderBy(*[c.asc_nulls_last() for c in order_cols])
+    rows = with_sub_range(df.withColumn("_first", order_cols[0]), "_first", "_sub", buckets)
+    rows = rows.select(*cols, _group_struct(keys, "_sub"))
+    inside = Window.partitionBy("_g").orderBy(*[c.asc_nulls_last() for c in order_cols])
     rows = rows.withColumn("_local", F.row_number().over(inside))
-    sizes = rows.groupBy(*keys, "_sub").agg(F.count(F.lit(1)).alias("_cnt"))
-    earlier = Window.partitionBy(*keys).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
-    offs = sizes.select(*keys, "_sub", F.coalesce(F.sum("_cnt").over(earlier), F.lit(0)).alias("_off"))
-    rows = _join_null_safe(rows, offs, [*keys, "_sub"])
-    return rows.select(*cols, (F.col("_off") + F.col("_local")).cast("bigint").alias(name))
+    sizes = rows.groupBy("_g").agg(F.count(F.lit(1)).alias("_cnt"))
+    earlier = Window.partitionBy(*[f"_g.k{i}" for i in range(len(keys))]).orderBy("_g.sub").rowsBetween(Window.unboundedPreceding, -1)
+    offs = sizes.select("_g", F.coalesce(F.sum("_cnt").over(earlier), F.lit(0)).alias("_off"))
+    return rows.join(offs, "_g").select(*cols, (F.col("_off") + F.col("_local")).cast("bigint").alias(name))
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Inner join on ``on`` where null equals null (a null key is a group)."""
-    r = right.select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(on)],
-                     *[c for c in right.columns if c not in on])
-    cond = None
-    for i, c in enumerate(on):
-        t = F.col(c).eqNullSafe(F.col(f"_r{i}"))
-        cond = t if cond is None else cond & t
-    return left.join(r, cond, "inner").drop(*[f"_r{i}" for i in range(len(on))])
+def _group_struct(keys: list[str], sub: str) -> Column:
+    return F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.col(sub).alias("sub")).alias("_g")
 
 
 def previous_value(df: DataFrame, keys, time_col, value_col, name: str, dtype: str, default=0, tiebreak=(),
@@ -86,34 +81,20 @@ def previous_value(df: DataFrame, keys, time_col, value_col, name: str, dtype: s
     a hot key is spread even if all its rows are of one day. The oldest row of
     a sub-range takes its predecessor from a summary -- the newest value of
     each (key, sub-range), shifted by one with a window over at most
-    ``buckets`` + 1 rows per key -- joined back on (key, sub-range)."""
+    ``buckets`` + 1 rows per key -- which joins on the struct of key and
+    sub-range that the window is partitioned by, so the rows are not moved
+    again."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    order_cols = [time_col, *tiebreak]
-    order = [_c(c).desc_nulls_first() for c in order_cols]
+    order = [_c(c).desc_nulls_first() for c in [time_col, *tiebreak]]
     val = _c(value_col)
     cols = df.columns
-    b = with_sub_range(df, time_col, "_bk", buckets)
-    w = Window.partitionBy(*keys, "_bk").orderBy(*order)
-    # one window pass per (key, bucket): the next row (a struct, null only when
-    # there is none) and the row's position (1 = newest row of the bucket)
-    b = b.select("*", F.lead(F.struct(val.alias("v")), 1).over(w).alias("_nx"),
-                 F.row_number().over(w).alias("_rn"))
-    kb = [*keys, "_bk"]
-    newest = b.where(F.col("_rn") == 1).select(*kb, F.struct(val.alias("v")).alias("_nv"))
-    wb = Window.partitionBy(*keys).orderBy(F.col("_bk").desc())
-    edge = newest.select(*[F.col(c).alias(f"_e{i}") for i, c in enumerate(kb)],
-                         F.lead("_nv", 1).over(wb).alias("_pb"))
-    # only the oldest row of each (key, bucket) looks across buckets: a join of
-    # one row per bucket with one row per bucket (null-safe: null keys form
-    # their own partition)
-    oldest = b.where(F.col("_nx").isNull())
-    cond = None
-    for i, c in enumerate(kb):
-        t = F.col(c).eqNullSafe(F.col(f"_e{i}"))
-        cond = t if cond is None else cond & t
-    oldest = oldest.join(edge, cond, "left").select(*cols, F.col("_pb.v").alias("_pv"), F.col("_pb").isNotNull()
-                                                     .alias("_has"))
-    inner = b.where(F.col("_nx").isNotNull()).select(*cols, F.col("_nx.v").alias("_pv"), F.lit(True).alias("_has"))
+    b = with_sub_range(df, time_col, "_bk", buckets).select(*cols, _group_struct(keys, "_bk"))
+    w = Window.partitionBy("_g").orderBy(*order)
+    # the next row (a struct, null only when there is none) and the row's position
+    b = b.select("*", F.lead(F.struct(val.alias("v")), 1).over(w).alias("_nx"), F.row_number().over(w).alias("_rn"))
+    newest = b.where(F.col("_rn") == 1).select("_g", F.struct(val.alias("v")).alias("_nv"))
+    older = Window.partitionBy(*[f"_g.k{i}" for i in range(len(keys))]).orderBy(F.col("_g.sub").desc())
+    edge = newest.select("_g", F.lead("_nv", 1).over(older).alias("_pb")).where(F.col("_pb").isNotNull())
+    rows = b.join(edge, "_g", "left").withColumn("_p", F.coalesce("_nx", "_pb"))
     dflt = F.lit(default).cast(dtype)
-    out = F.when(F.col("_has"), F.coalesce(F.col("_pv").cast(dtype), dflt)).otherwise(dflt)
-    return inner.unionByName(oldest).select(*cols, out.alias(name))
+    return rows.select(*cols, F.coalesce(F.col("_p.v").cast(dtype), dflt).alias(name))

@@ -2,25 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+SAMPLE_PER_RANGE = 100
+SAMPLE_MOST = 1_000_000
+SEED = 17
+
 
 def range_count(df: DataFrame) -> int:
     """As many sub-ranges as the session has shuffle partitions."""
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def with_sub_range(df: DataFrame, column: str, name: str, buckets: int | None = None, accuracy: int = 10000) -> DataFrame:
-    """``df`` and ``name``: the number of cut points below ``column``. The cuts
-    are approximate quantiles of all rows (a scalar subquery: one small array,
-    no job at plan construction), so each sub-range holds about its share of
-    the rows whatever the keys are. Equal values share a sub-range; nulls have
-    the last one, of their own."""
+def cut_points(df: DataFrame, column: str, ranges: int, length: int) -> Column:
+    """A scalar: ``ranges - 1`` ascending cut points of the column, padded with
+    nulls to ``length``. They are quantiles of all rows up to
+    ``SAMPLE_PER_RANGE`` rows a range (at most ``SAMPLE_MOST``), and of a
+    Bernoulli sample of that size beyond, as a range partitioner takes them: one
+    bounded array whatever the size of the table, no job at plan construction.
+    An unlucky sample makes a sub-range larger, never a result wrong."""
+    v = df.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
+    want = min(ranges * SAMPLE_PER_RANGE, SAMPLE_MOST)
+    rows = v.agg(F.count(F.lit(1))).scalar()
+    some = v.where(F.rand(SEED) * rows < want).agg(F.array_sort(F.collect_list("v")).alias("s"))
+    at = F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: F.get("s", F.floor(i.cast("long") * F.size("s") / ranges).cast("int")))
+    pad = F.array_repeat(F.lit(None).cast(df.schema[column].dataType), length - ranges + 1)
+    return some.select(F.concat(at, pad)).scalar()
+
+
+def with_sub_range(df: DataFrame, column: str, name: str, buckets: int | None = None) -> DataFrame:
+    """``df`` and ``name``: the number of cut points below ``column`` (see
+    ``cut_points``), so each sub-range holds about its share of the rows
+    whatever the keys are. Equal values share a sub-range; nulls have the last
+    one, of their own.
+
+    The cut is found by binary search, one projection a step, all inside
+    generated code: 14 comparisons a row for 16,000 sub-ranges. The cuts are read
+    twice from ``df`` (one column): where it is costly to compute, it should be
+    staged first."""
     n, v = buckets or range_count(df), F.col(column)
-    probs = [i / n for i in range(1, n)]
-    cuts = df.where(v.isNotNull()).agg(F.percentile_approx(v, probs, accuracy).alias("q")).scalar()
-    rows = df.select("*", F.coalesce(cuts, F.array().cast(ArrayType(df.schema[column].dataType))).alias("_cuts"))
-    below = F.size(F.filter("_cuts", lambda c: c < v))
-    return rows.withColumn(name, F.when(v.isNull(), F.size("_cuts") + 1).otherwise(below)).drop("_cuts")
+    steps = (n - 1).bit_length()
+    cuts = cut_points(df, column, n, (1 << steps) - 1)
+    empty = F.array().cast(ArrayType(df.schema[column].dataType))
+    rows = df.withColumn(name, F.lit(0))
+    for step in (1 << i for i in reversed(range(steps))):
+        # a cut that is missing (null) is above every value
+        below = F.get(F.coalesce(cuts, empty), F.col(name) + F.lit(step - 1)) < v
+        rows = rows.withColumn(name, F.col(name) + F.when(below, F.lit(step)).otherwise(F.lit(0)))
+    return rows.withColumn(name, F.when(v.isNull(), F.lit(n)).otherwise(F.col(name)))

@@ -5,11 +5,10 @@ single task. Here:
 
 1. ``dv`` = distinct values with their row counts (hash aggregate, map-side
    combine: a value held by a third of all rows is still one row);
-2. approximate quantiles of the distinct values give ``buckets - 1`` cut
-   points (as many buckets as shuffle partitions, unless stated), attached as a scalar subquery (one small array, evaluated once,
-   no job at plan-construction time and nothing collected by hand);
-3. each distinct value gets the bucket = number of cut points below it;
-   equal values share a bucket, so ties stay exact;
+2. quantiles of the distinct values give ``buckets - 1`` cut points (as many
+   buckets as shuffle partitions, unless stated; see ``ranges.cut_points``);
+3. each distinct value gets the bucket = number of cut points below it, by
+   binary search; equal values share a bucket, so ties stay exact;
 4. per-bucket totals (<= buckets + 1 rows, a proven bound -> broadcast)
    give the count of rows in all earlier buckets;
 5. inside a bucket a running sum over distinct values gives the rows with a
@@ -25,11 +24,10 @@ from pyspark.sql import functions as F
 from .ranges import range_count, with_sub_range
 
 
-def percent_rank_global(df: DataFrame, value_col: str, name: str = "pct_rank", buckets: int | None = None,
-                        accuracy: int = 10000) -> DataFrame:
+def percent_rank_global(df: DataFrame, value_col: str, name: str = "pct_rank", buckets: int | None = None) -> DataFrame:
     v = F.col(value_col)
     dv = df.groupBy(value_col).agg(F.count(F.lit(1)).alias("_cnt"))
-    dv = with_sub_range(dv, value_col, "_b", buckets or range_count(df), accuracy)
+    dv = with_sub_range(dv, value_col, "_b", buckets or range_count(df))
 
     bt = dv.groupBy("_b").agg(F.sum("_cnt").alias("_bcnt"))
     earlier = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -42,6 +40,5 @@ def percent_rank_global(df: DataFrame, value_col: str, name: str = "pct_rank", b
     smaller = Window.partitionBy("_b").orderBy(v.asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     rank = F.lit(1) + F.col("_before") + F.coalesce(F.sum("_cnt").over(smaller), F.lit(0))
     pr = F.when(F.col("_n") > 1, (rank - 1).cast("double") / (F.col("_n") - 1).cast("double")).otherwise(F.lit(0.0))
-    dv = dv.select(F.col(value_col).alias("_v"), pr.alias(name))
-    out = df.join(dv, df[value_col].eqNullSafe(dv["_v"]), "left").drop("_v")
-    return out
+    dv = dv.select(F.struct(v.alias("v")).alias("_v"), pr.alias(name))
+    return df.select("*", F.struct(v.alias("v")).alias("_v")).join(dv, "_v", "left").select(*df.columns, name)

@@ -74,9 +74,8 @@ def op_left_join_residual(spark, sf):
     base = fs["fe01"].select("instalment_id", "order_id", "consumer_uuid", "country_code")
     ev = fs["fe04"].select(F.col("instalment_id").alias("e_iid"), F.col("order_id").alias("e_oid"),
                            F.col("consumer_uuid").alias("e_uuid"), "payment_id", "event_time")
-    j = left_join_residual(base, ev, (base["instalment_id"] == ev["e_iid"]) & (base["order_id"] == ev["e_oid"])
-                           & (base["consumer_uuid"] == ev["e_uuid"]),
-                           in_local_window(ev["event_time"], base["country_code"], ctx, 90))
+    j = left_join_residual(base, ev, [("instalment_id", "e_iid"), ("order_id", "e_oid"), ("consumer_uuid", "e_uuid")],
+                           lambda b, e: in_local_window(e["event_time"], b["country_code"], ctx, 90))
     return j.select("instalment_id", "order_id", "payment_id", "event_time")
 
 
@@ -86,9 +85,8 @@ def op_range_left_join(spark, sf):
     line = fs["fe08"].select("consumer_consumer_uuid", "line_change_ts_360d")
     ovd = fs["fe23"].where(F.col("ovd_expt") == 0).select("consumer_uuid", "country_code", "key_payment_schedule_id",
                                                           "ovd_ts")
-    j = line.join(ovd, (line["consumer_consumer_uuid"] == ovd["consumer_uuid"])
-                  & (local_date(ovd["country_code"], ovd["ovd_ts"], ctx) >= F.to_date(line["line_change_ts_360d"])),
-                  "left")
+    j = left_join_residual(line, ovd, [("consumer_consumer_uuid", "consumer_uuid")],
+                           lambda n, o: local_date(o["country_code"], o["ovd_ts"], ctx) >= F.to_date(n["line_change_ts_360d"]))
     return j.select("consumer_consumer_uuid", "key_payment_schedule_id", "ovd_ts")
 
 

@@ -66,17 +66,16 @@ def fe20_cust_account_limit(limit_daily: DataFrame, ctx: Ctx, keep_empty: bool =
                              "c_prior_credit_limit_{}d")
 
 
-def fe21_cust_approved_order_d180(order: DataFrame, ctx: Ctx) -> DataFrame:
-    """Approved spend in the last 180 local days and its percentile among
-    consumers with such spend: 1 = top 1 %, 100 = lowest."""
+def approved_spend(order: DataFrame, ctx: Ctx) -> DataFrame:
+    """Approved spend per consumer in the last 180 local days."""
     o = orders_in_window(order, ctx, HORIZON_HALF).where(F.col("status") == "APPROVED")
-    spend = o.groupBy(F.col("consumer_consumer_uuid").alias("consumer_uuid")).agg(
+    return o.groupBy(F.col("consumer_consumer_uuid").alias("consumer_uuid")).agg(
         F.sum(F.col("consumer_total_amount_amount").cast(D10)).cast(D20).alias("c_order_amt_180d"))
-    return _percentile(spend, ctx)
 
 
-def _percentile(spend: DataFrame, ctx: Ctx) -> DataFrame:
-    """Percent rank of the spend among these consumers: 1 = top 1 %, 100 = lowest."""
+def fe21_cust_approved_order_d180(spend: DataFrame) -> DataFrame:
+    """``approved_spend`` and its percentile among consumers with such spend:
+    1 = top 1 %, 100 = lowest."""
     ranked = percent_rank_global(spend, "c_order_amt_180d", "pct_rank")
     pr = F.col("pct_rank")
     return ranked.select(
@@ -97,7 +96,7 @@ def fe22_cust_base(consumer: DataFrame, ctx: Ctx) -> DataFrame:
 
 
 __all__ = ["fe18_cust_pymt_method", "fe19_cust_order_d180", "fe20_cust_account_limit",
-           "fe21_cust_approved_order_d180", "fe22_cust_base", "order_rollup", "fe19_from_rollup", "fe21_from_rollup"]
+           "approved_spend", "fe21_cust_approved_order_d180", "fe22_cust_base", "order_rollup", "fe19_from_rollup", "fe21_from_rollup"]
 
 
 def order_rollup(order: DataFrame, ctx: Ctx) -> DataFrame:
@@ -133,6 +132,5 @@ def fe19_from_rollup(rollup: DataFrame) -> DataFrame:
         "consumer_uuid", "c_order_cnt_180d", "c_topaz_decl_insufficent_funds_cnt_180d", "c_order_attempt_cnt_180d")
 
 
-def fe21_from_rollup(rollup: DataFrame, ctx: Ctx) -> DataFrame:
-    spend = rollup.where(F.col("_has_spend") == 1).select("consumer_uuid", "c_order_amt_180d")
-    return _percentile(spend, ctx)
+def fe21_from_rollup(rollup: DataFrame) -> DataFrame:
+    return fe21_cust_approved_order_d180(rollup.where(F.col("_has_spend") == 1).select("consumer_uuid", "c_order_amt_180d"))

@@ -1,13 +1,18 @@
 """All 33 features over one set of sources, built lazily and at most once.
 
 ``FeatureSet(src, ctx)["fe23"]`` returns the DataFrame of FE23, building
-its inputs first. With ``ctx.materialize`` the re-used intermediates are
-written under the session's checkpoint directory and read back, which cuts
-their lineage (a lost executor then re-reads files instead of re-running the
-upstream joins)."""
+its inputs first. With a ``RunStore`` the re-used intermediates are written
+once and read back, which cuts their lineage (a lost executor then re-reads
+files instead of re-running the upstream joins) and lets other features and
+sessions of the same run find them; with ``ctx.materialize`` alone they are
+written for this set only."""
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,22 +20,41 @@ from ..context import Ctx
 from ..sources.bundle import Sources
 from . import consumer, instalments, latefees, limits, master, overdue, utilisation
 from .materialize import materialize
+from .store import RunStore
 
 # Intermediates read by several features.
-REUSED = ("payments", "fe01", "fe05", "fe06", "fe08", "fe09", "fe14", "fe23", "fe26", "fe31", "orders_rollup")
+REUSED = ("payments", "instalments", "spend", "fe01", "fe05", "fe06", "fe08", "fe09", "fe14", "fe23", "fe26", "fe31", "orders_rollup")
+
+
+# Stored by key: the overdue joins read FE05 by instalment without an exchange of it.
+BUCKETED = {"fe05": ("instalment_id",)}
+# What the master reads of these, each from other sources: written at the same time.
+MASTER_READS = ("fe23", "fe26", "fe31", "fe14", "fe09", "orders_rollup")
 
 
 class FeatureSet:
-    def __init__(self, src: Sources, ctx: Ctx):
-        self.src, self.ctx, self._cache = src, ctx, {}
+    def __init__(self, src: Sources, ctx: Ctx, store: RunStore | None = None):
+        self.src, self.ctx, self.store = src, ctx, store
+        self._cache, self._locks, self._all = {}, defaultdict(threading.RLock), threading.Lock()
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._cache:
-            df = getattr(self, "_" + name)()
-            if self.ctx.materialize and name in REUSED:
-                df = materialize(df, name)
-            self._cache[name] = df
-        return self._cache[name]
+        with self._all:
+            lock = self._locks[name]
+        with lock:  # features depend on each other without cycles
+            if name not in self._cache:
+                self._cache[name] = self._kept(name) if name in REUSED else getattr(self, "_" + name)()
+            return self._cache[name]
+
+    def _kept(self, name: str) -> DataFrame:
+        build = getattr(self, "_" + name)
+        if self.store is not None:
+            return self.store.table(name, build, BUCKETED.get(name, ()))
+        return materialize(build(), name) if self.ctx.materialize else build()
+
+    def prefetch(self, names) -> None:
+        """Build these at the same time; what two of them need is built once."""
+        with ThreadPoolExecutor(len(names)) as pool:
+            list(pool.map(self.__getitem__, names))
 
     def result(self, name: str) -> DataFrame:
         """The feature as a result: its inputs are materialised, itself not."""
@@ -40,8 +64,11 @@ class FeatureSet:
         return {n: self[n] for n in names}
 
     # -- instalments
+    def _instalments(self):
+        return instalments.instalment_rows(self.src.payment_scheduled, self.src.order, self.ctx)
+
     def _fe01(self):
-        return instalments.fe01_instal_invoice(self.src.payment_scheduled, self.src.order, self.ctx)
+        return instalments.fe01_instal_invoice(self["instalments"])
 
     def _fe02(self):
         return instalments.fe02_due_date_history(self.src.due_date_changed, self["fe01"], self.ctx)
@@ -85,7 +112,7 @@ class FeatureSet:
 
     # -- late fees
     def _fe14(self):
-        return latefees.fe14_latefee_invoice(self.src.late_fee_applied, self["fe01"], self.ctx)
+        return latefees.fe14_latefee_invoice(self.src.late_fee_applied, self["instalments"], self.ctx)
 
     def _fe15(self):
         s = self.src
@@ -112,8 +139,11 @@ class FeatureSet:
         # master form: only the wanted days are scanned (same 0 defaults)
         return consumer.fe20_cust_account_limit(self.src.limit_daily, self.ctx, keep_empty=False)
 
+    def _spend(self):
+        return consumer.approved_spend(self.src.order, self.ctx)
+
     def _fe21(self):
-        return consumer.fe21_cust_approved_order_d180(self.src.order, self.ctx)
+        return consumer.fe21_cust_approved_order_d180(self["spend"])
 
     def _fe22(self):
         return consumer.fe22_cust_base(self.src.consumer, self.ctx)
@@ -164,10 +194,12 @@ class FeatureSet:
         return consumer.fe19_from_rollup(self["orders_rollup"])
 
     def _fe21m(self):
-        return consumer.fe21_from_rollup(self["orders_rollup"], self.ctx)
+        return consumer.fe21_from_rollup(self["orders_rollup"])
 
     # -- master
     def _fe33(self):
+        if self.store is not None or self.ctx.materialize:
+            self.prefetch(MASTER_READS)
         names = {"fe22": "fe22", "fe10": "fe10m", "fe17": "fe17", "fe18": "fe18", "fe19": "fe19m", "fe20m": "fe20m",
                  "fe21": "fe21m", "fe24": "fe24", "fe25": "fe25", "fe27": "fe27", "fe28": "fe28", "fe29": "fe29",
                  "fe30": "fe30", "fe32": "fe32"}

@@ -21,14 +21,14 @@ def approved_orders(order: DataFrame, ctx: Ctx, days: int | None) -> DataFrame:
     return scan(order, ctx, days).where(F.col("status") == "APPROVED")
 
 
-def fe01_instal_invoice(payment_scheduled: DataFrame, order: DataFrame, ctx: Ctx) -> DataFrame:
+def instalment_rows(payment_scheduled: DataFrame, order: DataFrame, ctx: Ctx) -> DataFrame:
     """Approved-order instalments of the last 450 ingestion days, de-duplicated,
-    with local times and the instalment's position in its order."""
+    with local times."""
     base = scan(payment_scheduled, ctx, HORIZON_LONG).alias("b")
     o = approved_orders(order, ctx, HORIZON_LONG).alias("o")
     j = base.join(o, (F.col("o.order_transaction_id") == F.col("b.order_transaction_id"))
                   & (F.col("o.par_region") == F.col("b.par_region")), "inner")
-    rows = j.select(
+    return j.select(
         F.col("o.consumer_consumer_uuid").alias("consumer_uuid"),
         F.col("o.country_code").alias("country_code"),
         F.col("b.key_payment_schedule_id").alias("instalment_id"),
@@ -42,9 +42,15 @@ def fe01_instal_invoice(payment_scheduled: DataFrame, order: DataFrame, ctx: Ctx
         F.col("o.first_payment_up_front").alias("first_payment_up_front"),
         F.col("o.consumer_total_amount_amount").cast(D20).alias("consumer_amount"),
     ).distinct()
-    # De-duplication groups on all columns, so a hot order is spread by its
-    # instalments before it is numbered. Region is a single value here, so
-    # numbering per (order, region) equals numbering per order.
+
+
+def fe01_instal_invoice(rows: DataFrame) -> DataFrame:
+    """``instalment_rows`` and the instalment's position in its order.
+
+    The rows come de-duplicated (grouped on all columns, so a hot order was
+    spread by its instalments) and, in a materialised run, staged: the cut points
+    read one column of the files and the join runs once. Region is a single
+    value here, so numbering per (order, region) equals numbering per order."""
     return number_in_group(rows, ["order_id", "par_region"], ["instalment_id"], "instalment_seq_id",
                            tiebreak=["invoice_event_time", "inv_amount", "original_due_date", "consumer_uuid"])
 

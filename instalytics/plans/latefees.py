@@ -16,11 +16,11 @@ D20 = "decimal(20,2)"
 WINDOWS = (360, 90)
 
 
-def fe14_latefee_invoice(late_fee_applied: DataFrame, fe01: DataFrame, ctx: Ctx) -> DataFrame:
-    """Late fees charged on instalments of approved orders (FE01 holds these,
-    of the same 450 ingestion days)."""
+def fe14_latefee_invoice(late_fee_applied: DataFrame, rows: DataFrame, ctx: Ctx) -> DataFrame:
+    """Late fees charged on instalments of approved orders (``instalment_rows``
+    holds these, of the same 450 ingestion days)."""
     lf = scan(late_fee_applied, ctx, HORIZON_LONG).alias("lf")
-    i = fe01.select("instalment_id", "par_region", "consumer_uuid", "country_code", "order_id").alias("i")
+    i = rows.select("instalment_id", "par_region", "consumer_uuid", "country_code", "order_id").alias("i")
     j = lf.join(i, (F.col("lf.payment_schedule_id") == F.col("i.instalment_id"))
                 & (F.col("lf.par_region") == F.col("i.par_region")), "inner")
     return j.select(

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..context import NO_DATE, NO_DATETIME, Ctx
-from ..operators.dedup import latest_per_key
-from ..operators.joins import assert_unique, star_join
+from ..operators.joins import star_union
 
 D10 = "decimal(10,2)"
 D20 = "decimal(20,2)"
@@ -51,24 +50,18 @@ def fe33_consumer_master(f: dict[str, DataFrame], ctx: Ctx) -> DataFrame:
 
     The base and every side must hold a consumer once; the run fails
     otherwise. FE17 and FE20 are per country: a consumer's row of the base's
-    country is taken (null equals null), else that of the greatest country."""
-    base = assert_unique(f["fe22"], ["consumer_uuid"])
-    home = f["fe22"].select("consumer_uuid", F.col("country_code").alias("_home"))
+    country is taken (null equals null), else that of the greatest country. All
+    sides meet in one union and one aggregate (``star_union``)."""
+    key = "consumer_uuid"
 
-    def one_country(name, cols):
-        d = f[name].join(home, "consumer_uuid")
-        d = d.select("consumer_uuid", F.col("country_code").eqNullSafe(F.col("_home")).alias("_same"), "country_code", *cols)
-        return latest_per_key(d, ["consumer_uuid"], ["_same"], ["country_code"]).select("consumer_uuid", *cols), ["consumer_uuid"]
-
-    def side(name, cols, keys=("consumer_uuid",)):
-        return f[name].select(*keys, *cols), list(keys)
+    def side(name, cols):
+        return f[name].select(key, *cols)
 
     sides = [
         side("fe18", ["c_best_payment_type"]),
         side("fe19", ["c_order_cnt_180d", "c_topaz_decl_insufficent_funds_cnt_180d", "c_order_attempt_cnt_180d"]),
         side("fe10", ["c_latest_approved_credit_limit"]),
         side("fe27", ["c_ontime_pymt_cnt_180d"]),
-        one_country("fe17", [c for c in f["fe17"].columns if c.startswith("c_")]),
         side("fe28", ["c_ontime_pymt_cnt_llate_180d", "c_day_late_pymt_max_cnt_180d", "c_day_late_pymt_tot_cnt_180d"]),
         side("fe24", ["c_earliest_late_pymt_due_date_360d", "c_latest_late_pymt_due_date_360d"]),
         side("fe25", ["c_latest_instal_due_date_360d", "c_latest_instal_postpone_due_date_360d"]),
@@ -76,9 +69,12 @@ def fe33_consumer_master(f: dict[str, DataFrame], ctx: Ctx) -> DataFrame:
         side("fe32", ["c_max_util_amt_after_limit_change_180d"]),
         side("fe30", ["c_day_late_pymt_max_cnt_after_limit_change_360d"]),
         side("fe21", ["c_order_amt_180d", "c_order_amt_percentile_180d"]),
-        one_country("fe20m", [f"c_prior_credit_limit_{k}d" for k in ctx.offsets]),
     ]
-    j = star_join(base, sides, check_unique=True)
+    by_country = [
+        side("fe17", ["country_code", *[c for c in f["fe17"].columns if c.startswith("c_")]]),
+        side("fe20m", ["country_code", *[f"c_prior_credit_limit_{k}d" for k in ctx.offsets]]),
+    ]
+    j = star_union(f["fe22"], key, sides, by_country)
     out = [
         "par_region",
         F.lit(ctx.today).alias("par_process_date"),

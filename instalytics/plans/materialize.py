@@ -1,4 +1,4 @@
-"""Lineage cuts and the snapshot sink."""
+"""Lineage cuts."""
 
 from __future__ import annotations
 
@@ -25,10 +25,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_root(spark)}/instalytics/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def write_snapshot(df: DataFrame, path: str, partition_cols=("par_region", "par_process_date")) -> None:
-    """Replace the run's partitions of the snapshot table (idempotent re-run):
-    dynamic partition overwrite keeps other regions / dates intact."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_cols).parquet(path))

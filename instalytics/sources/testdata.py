@@ -68,12 +68,13 @@ def _utc_date(ms: Column) -> Column:
 
 def read_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The test tables are single-file, single-row-group Parquet, which Spark
-    reads as one partition; a round-robin repartition right after the scan
-    (column-pruned and filtered first by Catalyst) spreads the adapter work
-    over all cores. Warehouse tables (``bundle.read_warehouse``) are many
-    files and need no such step."""
+    reads as one partition: orders and lineitem are dealt by order key right
+    after the scan, which is also the exchange of their join. Warehouse tables
+    (``bundle.read_warehouse``) are many files and need no such step."""
     n = spark.sparkContext.defaultParallelism
-    return {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet").repartition(n) for t in TEST_TABLES}
+    keys = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
+    tables = {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in TEST_TABLES}
+    return {t: df.repartition(n, keys[t]) if t in keys else df for t, df in tables.items()}
 
 
 def build_sources(spark: SparkSession, sf_dir: str, ctx: Ctx, stage=None) -> Sources:
@@ -334,22 +335,7 @@ def build_sources(spark: SparkSession, sf_dir: str, ctx: Ctx, stage=None) -> Sou
     return Sources(**{k: stage(v, k) for k, v in out.items()})
 
 
-_STAGED: dict = {}
-
-
-def staged_sources(spark: SparkSession, sf_dir: str, ctx: Ctx) -> Sources:
+def staged_sources(spark: SparkSession, sf_dir: str, ctx: Ctx, store) -> Sources:
     """Adapted sources whose expensive shared intermediates (orders with
-    derived keys, and lineitem joined to them) are written once per session
-    under the checkpoint folder and read back as multi-file Parquet. Later
-    calls with the same inputs re-use the files."""
-    from ..plans.materialize import materialize
-
-    def stage(df, name):
-        if name in ("o", "line"):
-            return materialize(df.repartition(spark.sparkContext.defaultParallelism), "src-" + name)
-        return df
-
-    key = (spark.sparkContext.applicationId, sf_dir, ctx.as_of, ctx.region, ctx.cutover, ctx.tz_map)
-    if key not in _STAGED:
-        _STAGED[key] = build_sources(spark, sf_dir, ctx, stage=stage)
-    return _STAGED[key]
+    derived keys, and lineitem joined to them) are in the run's store."""
+    return build_sources(spark, sf_dir, ctx, stage=lambda df, name: store.table(f"src-{name}", lambda: df) if name in ("o", "line") else df)

@@ -89,22 +89,3 @@ def test_rerun_is_identical(spark):
 def test_order_rollup_forms_equal_standalone(fs, plain, rolled):
     a, b = fs[plain], fs[rolled].select(*fs[plain].columns)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-
-def test_snapshot_sink_is_idempotent_per_date(spark, fs):
-    """Writing the master twice for the same date replaces that date's
-    partition (no duplicates) and keeps other dates."""
-    import tempfile
-
-    from instalytics.plans.materialize import write_snapshot
-
-    path = tempfile.mkdtemp(prefix="instalytics-snap-") + "/master"
-    m = fs["fe33"]
-    n = m.count()
-    older = m.withColumn("par_process_date", F.date_sub("par_process_date", 1))
-    write_snapshot(older, path)
-    write_snapshot(m, path)
-    write_snapshot(m, path)
-    back = spark.read.parquet(path)
-    assert back.count() == 2 * n
-    assert back.groupBy("par_process_date").count().where(F.col("count") != n).count() == 0

@@ -7,7 +7,7 @@ import pytest
 
 from instalytics import default_ctx
 from instalytics.plans.features import FeatureSet
-from instalytics.plans.materialize import write_snapshot
+from instalytics.plans.snapshot import SnapshotTable
 from instalytics.sources.bundle import read_warehouse
 from instalytics.sources.testdata import build_sources
 
@@ -28,8 +28,9 @@ def warehouse(spark, ctx, tmp_path_factory):
 def test_master_from_the_warehouse_equals_the_master_from_the_adapters(spark, warehouse, fs, tmp_path):
     ctx = default_ctx()
     master = FeatureSet(read_warehouse(spark, warehouse), ctx)["fe33"]
-    write_snapshot(master, str(tmp_path / "snap"))
-    got = spark.read.schema(master.schema).parquet(str(tmp_path / "snap"))
+    table = SnapshotTable(spark, str(tmp_path / "snap"), master.schema)
+    table.replace(master, [{"par_region": ctx.region, "par_process_date": ctx.today}])
+    got = table.read()
     want = fs["fe33"].select(*got.columns)
     assert got.count() == want.count() > 0
     assert got.exceptAll(want).count() == 0
