@@ -19,6 +19,9 @@ NOTES = (
 TICKET = "#[^/ ]*"
 NO_RULE = "Others"
 
+# Status reasons that count as an order attempt
+ATTEMPTS = ("APPROVED", "INSUFFICIENT_FUNDS", "INVALID_PAYMENT_DETAILS", "FRAUD_RULE_BREACH", "DECLINED")
+
 # Columns of the master in order: name (that of the feature, mostly with _v3), feature, default (~: a space), type
 MASTER = """
 c_best_payment_type                                 fe18    'DEBIT'                VARCHAR

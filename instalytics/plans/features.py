@@ -52,7 +52,10 @@ class FeatureSet:
         return materialize(build(), name) if self.ctx.materialize else build()
 
     def prefetch(self, names) -> None:
-        """Build these at the same time; what two of them need is built once."""
+        """Build these at the same time, where they are written; what two of them
+        need is built once."""
+        if self.store is None and not self.ctx.materialize:
+            return
         with ThreadPoolExecutor(len(names)) as pool:
             list(pool.map(self.__getitem__, names))
 
@@ -83,6 +86,7 @@ class FeatureSet:
         return instalments.fe04_instal_events(self.src.instalment_payment, self["payments"], self["fe01"], self.ctx)
 
     def _fe05(self):
+        self.prefetch(("fe01", "payments"))
         return instalments.fe05_instal_events_agg(self["fe01"], self["fe04"], self["fe03"], self.ctx)
 
     # -- limits
@@ -116,6 +120,7 @@ class FeatureSet:
 
     def _fe15(self):
         s = self.src
+        self.prefetch(("fe14", "payments"))
         return latefees.fe15_latefee_events(s.late_fee_payment, self["payments"], s.late_fee_waived,
                                             s.late_fee_refunded, self["fe14"], self.ctx)
 
@@ -176,6 +181,7 @@ class FeatureSet:
 
     # -- utilisation
     def _fe31(self):
+        self.prefetch(("fe08", "fe09"))
         return utilisation.fe31_util_d180(self["fe08"], self["fe13"], self.ctx)
 
     def _fe32(self):
@@ -198,8 +204,7 @@ class FeatureSet:
 
     # -- master
     def _fe33(self):
-        if self.store is not None or self.ctx.materialize:
-            self.prefetch(MASTER_READS)
+        self.prefetch(MASTER_READS)
         names = {"fe22": "fe22", "fe10": "fe10m", "fe17": "fe17", "fe18": "fe18", "fe19": "fe19m", "fe20m": "fe20m",
                  "fe21": "fe21m", "fe24": "fe24", "fe25": "fe25", "fe27": "fe27", "fe28": "fe28", "fe29": "fe29",
                  "fe30": "fe30", "fe32": "fe32"}

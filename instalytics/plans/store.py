@@ -55,6 +55,11 @@ class RunStore:
         # an entry whose rows were cleared away is no entry
         return entry if files.exists(self.spark, f"{self.path}/{entry['folder']}/_SUCCESS") else None
 
+    def folder(self, name: str) -> str | None:
+        """The folder of that table's rows, if it is in the store."""
+        entry = self._entry(name)
+        return entry and entry["folder"]
+
     def table(self, name: str, build: Callable[[], DataFrame], bucket_by: tuple[str, ...] = ()) -> DataFrame:
         """The table of that name; ``build`` is called only if it is not there.
 
