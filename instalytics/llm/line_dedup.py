@@ -6,8 +6,8 @@ by aggregation, so a hot line moves one sketch per task. Where the estimate is
 too near the threshold to decide (within three standard errors) the distinct
 sites are counted exactly. Boilerplate lines are removed from all documents.
 
-Lines are split at \\n and compared without surrounding white space; lines of
-fewer than ``min_chars`` characters are never boilerplate. Lines are known by
+Lines are split at \\n and compared without surrounding white space; every line
+with a word counts, whatever its length, and blank lines never do. Lines are known by
 a 128-bit hash. A null source is a site of its own. Null or empty text has no
 lines and stays as it is. Equal rows give equal results, one each. Extra
 columns are not read.
@@ -21,19 +21,18 @@ from pyspark.sql import functions as F
 from .common import staged, table
 
 MIN_SITES = 8
-MIN_CHARS = 20
 LG_K = 10
 HOT_SHARE = 1000
 
 KEY = ["_a", "_b"]
 
 
-def lines_of(docs: DataFrame, min_chars: int) -> DataFrame:
-    """_id, _h (hash of the text), _site, _pos and the line hash _a, _b of every line long enough."""
+def lines_of(docs: DataFrame) -> DataFrame:
+    """_id, _h (hash of the text), _site, _pos and the line hash _a, _b of every line with a word."""
     d = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_h"),
                     F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("_site"),
                     F.posexplode(F.split("text", "\n")).alias("_pos", "_raw"))
-    d = d.withColumn("_line", F.btrim("_raw", F.lit(" \t\r\x0b\x0c"))).where(F.length("_line") >= min_chars)
+    d = d.withColumn("_line", F.btrim("_raw", F.lit(" \t\r\x0b\x0c"))).where(F.length("_line") > 0)
     return d.select("_id", "_h", "_site", "_pos", F.xxhash64("_line").alias("_a"), F.xxhash64(F.lit(1), F.col("_line")).alias("_b"))
 
 
@@ -51,9 +50,9 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     return sure.unionByName(exact)
 
 
-def remove_lines(docs: DataFrame, min_sites: int = MIN_SITES, min_chars: int = MIN_CHARS) -> DataFrame:
+def remove_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """One row per document: doc_id, n_lines, n_removed and the cleaned text."""
-    lines = lines_of(docs, min_chars)
+    lines = lines_of(docs)
     bad = staged(boilerplate(lines, min_sites), "line-boilerplate")
     total = bad.agg(F.sum("n")).first()[0] or 0
     # lines with over a thousandth of the boilerplate rows: fewer than a thousand, broadcast; no other is hot

@@ -1,19 +1,26 @@
 """Token-id files: documents tokenized, written in doc_id order and read back.
 
 A file holds documents that follow each other in ascending doc_id; files are
-numbered in that order. Layout, little-endian: ``MAGIC``, number of documents
-and of blocks (uint64), the token count of each document (uint32), of each
-block its token count, crc32 and words (uint32), then the payloads of the
-blocks (see ``range_coder``). Documents run on across blocks.
+numbered in that order. Layout, little-endian: ``MAGIC``, number of documents,
+of blocks and of tokens (uint64), of each document its id (int64), whether it
+has one (uint8) and its token count (uint32), of each block its token count,
+crc32 and words (uint32), then the payloads of the blocks (see
+``range_coder``). Documents run on across blocks.
 
 Files are written to the shared checkpoint folder under a temporary name and
 renamed, so a retried task replaces its own file by equal bytes. What was
 written is listed by a small table (one row per file), from which reading
 starts. Texts are cut before spaces, where the tokenizer cuts as well, and each
 different word is encoded once per task, so the ids are those of the whole
-text; a text where a cut could part a run of white space is encoded as it is.
+text; a text where a cut could part a run of white space, or that holds one of
+the tokenizer's special tokens (taken as the library does by default), is encoded
+as it is.
 
-Null text counts as empty; its document is the end id alone. Null ids come
+Reading takes everything from the files: ids and counts of documents, their
+tokens, and where a file begins from the token numbers in the heads of the files
+before it; the table gives their paths and order.
+
+Ids are integers. Null text counts as empty; its document is the end id alone. Null ids come
 first; equal ids stand in the order of a checksum of their text. A row per
 document row, repeated ones included. An empty table writes nothing.
 """
@@ -37,7 +44,8 @@ from pyspark.sql import functions as F
 from . import range_coder
 from .common import shared_path, staged, table
 
-MAGIC = b"IDS\x01"
+MAGIC = b"IDS\x02"
+HEAD = 28
 END = 0
 FILE_BYTES = 24 << 20
 WORDS = 400_000
@@ -53,7 +61,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, list[int]] = {}
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
@@ -62,6 +70,8 @@ class Encoder:
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Token counts of the texts (no nulls), the end id included, and all ids."""
         whole = pc.match_substring_regex(texts, RUN)
+        for token in self.special:
+            whole = pc.or_(whole, pc.match_substring(texts, token))
         parts = pc.split_pattern(pc.if_else(whole, "", texts), " ")
         coded = parts.flatten().dictionary_encode()
         words = [" " + w for w in coded.dictionary.to_pylist()]
@@ -89,10 +99,11 @@ def _open(path: str):
     return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
 
 
-def write_file(path: str, counts: np.ndarray, ids: np.ndarray) -> int:
-    """Writes one file; its size in bytes."""
+def write_file(path: str, docs: pa.Array, counts: np.ndarray, ids: np.ndarray) -> int:
+    """Writes one file of documents (int64 ids, null or not); its size in bytes."""
     blocks = range_coder.encode(ids)
-    head = [MAGIC, struct.pack("<QQ", len(counts), len(blocks)), counts.astype("<u4").tobytes()]
+    head = [MAGIC, struct.pack("<QQQ", len(counts), len(blocks), len(ids)), pc.fill_null(docs, 0).to_numpy().astype("<i8").tobytes(),
+            docs.is_valid().to_numpy(zero_copy_only=False).astype("u1").tobytes(), counts.astype("<u4").tobytes()]
     head += [struct.pack("<III", n, crc, len(data) // 4) for n, crc, data in blocks]
     raw = b"".join(head + [data for _, _, data in blocks])
     fs, name = _open(path)
@@ -103,16 +114,28 @@ def write_file(path: str, counts: np.ndarray, ids: np.ndarray) -> int:
     return len(raw)
 
 
-def read_file(path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Token counts of the documents, and all ids. Raises ValueError on damage."""
+def read_tokens(path: str) -> int:
+    """The number of tokens in a file, from its head."""
+    fs, name = _open(path)
+    with fs.open_input_stream(name) as f:
+        raw = f.read(HEAD)
+    if raw[:4] != MAGIC:
+        raise ValueError(f"{path}: no id file")
+    return struct.unpack_from("<QQQ", raw, 4)[2]
+
+
+def read_file(path: str) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Ids of the documents, their token counts, and all token ids. Raises ValueError on damage."""
     fs, name = _open(path)
     with fs.open_input_stream(name) as f:
         raw = f.read()
     if raw[:4] != MAGIC:
         raise ValueError(f"{path}: no id file")
-    docs, n = struct.unpack_from("<QQ", raw, 4)
-    counts = np.frombuffer(raw, "<u4", docs, 20)
-    at = 20 + 4 * docs
+    docs, n, total = struct.unpack_from("<QQQ", raw, 4)
+    known = np.frombuffer(raw, "u1", docs, HEAD + 8 * docs) == 0
+    keys = pa.array(np.frombuffer(raw, "<i8", docs, HEAD), mask=known)
+    counts = np.frombuffer(raw, "<u4", docs, HEAD + 9 * docs)
+    at = HEAD + 13 * docs
     info = np.frombuffer(raw, "<u4", 3 * n, at).reshape(n, 3).tolist()
     at += 12 * n
     blocks = []
@@ -120,19 +143,17 @@ def read_file(path: str) -> tuple[np.ndarray, np.ndarray]:
         blocks.append((tokens, crc, raw[at : at + 4 * words]))
         at += 4 * words
     ids = range_coder.decode(blocks)
-    if at != len(raw) or len(ids) != int(counts.sum()):
+    if at != len(raw) or not len(ids) == total == int(counts.sum()):
         raise ValueError(f"{path}: length does not match")
-    return counts, ids
+    return keys, counts, ids
 
 
 def write_ids(docs: DataFrame, tokenizer_path: str, folder: str, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """Writes ``docs`` (doc_id, text) and returns the list of files: part, path,
-    doc_ids (in order), tokens, bytes."""
+    """Writes ``docs`` (doc_id, text) and returns the list of files: part, path, bytes."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     files = max(1, -(-size // file_bytes))
-    kind = docs.schema["doc_id"].dataType.simpleString()
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", text.alias("text"), F.crc32(text).alias("tie"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.crc32(text).alias("tie"))
     rows = (rows.repartitionByRange(files, F.col("doc_id").asc_nulls_first())
             .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie").select("doc_id", "text"))
 
@@ -151,36 +172,38 @@ def write_ids(docs: DataFrame, tokenizer_path: str, folder: str, file_bytes: int
         counts, flat = np.concatenate(counts), np.concatenate(ids)
         del ids
         path = f"{folder}/part-{part:06d}.ids"
-        written = write_file(path, counts, flat)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([part], pa.int32()), pa.array([path]), pa.array([keys.to_pylist()], pa.list_(keys.type)),
-             pa.array([len(flat)], pa.int64()), pa.array([written], pa.int64())], names=["part", "path", "doc_ids", "tokens", "bytes"])
+        written = write_file(path, keys, counts, flat)
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([path]), pa.array([written], pa.int64())], names=["part", "path", "bytes"])
 
-    return staged(rows.mapInArrow(run, f"part int, path string, doc_ids array<{kind}>, tokens long, bytes long"), "id-files")
+    return staged(rows.mapInArrow(run, "part int, path string, bytes long"), "id-files")
 
 
 def read_ids(files: DataFrame) -> DataFrame:
     """One row per document, from the files: doc_id, start, n_tokens, ids_crc32."""
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
-    order = files.select("part", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base"))
-    src = files.join(order, "part").select("part", "path", "doc_ids", "base")
-    kind = src.schema["doc_ids"].dataType.elementType.simpleString()
     n = max(1, files.count())
-    src = src.repartitionByRange(n, "part")
+    paths = files.select("part", "path").repartitionByRange(n, "part")
+
+    def heads(batches):
+        for batch in batches:
+            tokens = [read_tokens(p) for p in batch.column("path").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tokens, pa.int64())], names=["part", "path", "tokens"])
+
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    sized = staged(paths.mapInArrow(heads, "part int, path string, tokens long"), "id-heads")
+    src = sized.select("part", "path", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("base")).repartitionByRange(n, "part")
 
     def run(batches):
         for batch in batches:
-            for k in range(batch.num_rows):
-                counts, ids = read_file(batch.column("path")[k].as_py())
+            for path, base in zip(batch.column("path").to_pylist(), batch.column("base").to_pylist(), strict=True):
+                keys, counts, ids = read_file(path)
                 ends = np.cumsum(counts, dtype=np.int64)
                 starts = ends - counts
                 raw = ids.astype("<u4").tobytes()
                 crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_ids")[k].values, pa.array(starts + batch.column("base")[k].as_py()), pa.array(counts.astype(np.int64)), pa.array(crc, pa.int64())],
-                    names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                yield pa.RecordBatch.from_arrays([keys, pa.array(starts + base), pa.array(counts.astype(np.int64)), pa.array(crc, pa.int64())],
+                                                 names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return src.mapInArrow(run, f"doc_id {kind}, start long, n_tokens long, ids_crc32 long")
+    return src.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,7 +40,7 @@ def _write(spark, d):
 OPS = {
     "mix": lambda s, d: mixing.mix(d),
     "quality": lambda s, d: quality_rules.apply_rules(d),
-    "lines": lambda s, d: line_dedup.remove_lines(d, min_sites=2, min_chars=3),
+    "lines": lambda s, d: line_dedup.remove_lines(d, min_sites=2),
     "classes": lambda s, d: ngram_join.similarity_classes(d),
     "shards": lambda s, d: sharding.shard_documents(d, 4),
     "ids": _write,

@@ -154,8 +154,8 @@ def test_ids_of_whole_texts_round_trip(spark, texts):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    more = dict(texts) | {-1: "it's  two  spaces\n\n and\ttabs <|endoftext|> 12x", 5000: None}
+    more = dict(texts) | {-1: "it's  two  spaces\n\n and\ttabs <|endoftext|> 12x", 5000: None, 5001: "a <|endoftext|> b",
+                          5002: "<|endoftext|>", 5003: "one<|endoftext|>two words <|endoftext|>  x", 5004: "< |endoftext| >", 5005: ""}
     files = token_output.write_ids(spark.createDataFrame(list(more.items()), "doc_id long, text string"), path, shared_path(spark, "test-ids"), 1 << 17)
     assert files.count() > 1
     got = {r.doc_id: r for r in token_output.read_ids(files).collect()}
