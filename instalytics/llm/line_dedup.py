@@ -80,7 +80,7 @@ SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text, coalesce('s' || source, 'n') AS site FROM documents),
 l AS (SELECT rid, site, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d),
 k AS (SELECT rid, site, raw, pos, trim(raw, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS line FROM l),
-bad AS (SELECT line FROM k WHERE length(line) >= 20 GROUP BY line HAVING count(DISTINCT site) >= 8),
+bad AS (SELECT line FROM k WHERE length(line) > 0 GROUP BY line HAVING count(DISTINCT site) >= 8),
 m AS (SELECT k.*, bad.line IS NOT NULL AS gone FROM k LEFT JOIN bad ON bad.line = k.line)
 SELECT doc_id, CASE WHEN length(any_value(text)) > 0 THEN count(pos) ELSE 0 END::BIGINT AS n_lines,
        count(*) FILTER (WHERE gone)::BIGINT AS n_removed,
