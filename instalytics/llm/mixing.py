@@ -1,9 +1,12 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-The target weight of a source is its natural share, but no source may take
-more than ``cap`` of the mixture: a larger one is cut to that share, the
-others keep all they have (if there are too few sources to hold the cap, none
-is cut). Weights are rounded to ``a`` parts of ``resolution`` (at least one
+Target weights are given for each source, and then the mixture either stops
+when the first source runs out, or sources that run out are repeated until all
+documents of every named source are in it; sources not named are not in the
+mixture. Without given weights, the target of a source is its natural share, but
+no source may take more than ``cap`` of the mixture: a larger one is cut to that
+share, the others keep all they have (if there are too few sources to hold the
+cap, none is cut). Weights are rounded to ``a`` parts of ``resolution`` (at least one
 part each, the rest by largest remainder), which is the period of the schedule.
 
 Documents of a source stand in the order of a hash of their id and form blocks
@@ -12,7 +15,8 @@ floor(i W / a) and due by slot ceil((i + 1) W / a); every slot takes the
 released block with the earliest deadline. All windows close at the end of a
 period, so the schedule repeats: one period is computed, by a fold over its
 slots on a single row whose size depends on ``resolution`` and the number of
-sources only, and joined to the blocks. As long as every source has blocks,
+sources only (the fold is one task and walks all sources at each slot, which
+bounds the sources to some thousands), and joined to the blocks. As long as every source has blocks,
 any prefix of the stream differs from the target by less than one block for
 each source. When a source runs out, its slots stay empty.
 
@@ -43,7 +47,7 @@ def _src(source: Column) -> Column:
 
 def target_weights(counts: DataFrame, cap: tuple[int, int] = CAP, resolution: int = RESOLUTION) -> DataFrame:
     """counts: _src, n. Adds _quota (documents in the mixture), _parts and
-    _period. Windows here run over one row per source."""
+    _period by natural shares. Windows here run over one row per source."""
     num, den = cap
     by_size = Window.orderBy(F.desc("n"), "_src")
     every = Window.partitionBy()
@@ -56,15 +60,45 @@ def target_weights(counts: DataFrame, cap: tuple[int, int] = CAP, resolution: in
     c = c.withColumn("_cut", F.min("_fits").over(every))
     c = c.withColumn("_to", F.max(F.when(F.col("_k") == F.col("_cut"), F.col("_level"))).over(every))
     c = c.withColumn("_quota", F.when(F.col("_k") < F.col("_cut"), F.least("n", "_to")).otherwise(F.col("n")))
-    c = c.withColumn("_s", F.count(F.lit(1)).over(every)).withColumn("_m", F.sum("_quota").over(every))
+    return _in_parts(c, "_quota", resolution)
+
+
+def _in_parts(c: DataFrame, weight: str, resolution: int) -> DataFrame:
+    """Rounds the integer weights to parts of a period. Windows run over one row per source."""
+    every = Window.partitionBy()
+    c = c.withColumn("_s", F.count(F.lit(1)).over(every)).withColumn("_m", F.sum(weight).over(every))
     c = c.withColumn("_period", F.greatest(F.lit(resolution), 4 * F.col("_s")).cast("long"))
-    share = (F.col("_period") - F.col("_s")) * F.col("_quota")
-    c = c.withColumn("_base", 1 + F.expr("((_period - _s) * _quota) div _m")).withColumn("_left", share % F.col("_m"))
+    share = (F.col("_period") - F.col("_s")) * F.col(weight)
+    c = c.withColumn("_base", 1 + F.expr(f"((_period - _s) * {weight}) div _m")).withColumn("_left", share % F.col("_m"))
     c = c.withColumn("_more", F.col("_period") - F.sum("_base").over(every))
     turn = F.row_number().over(Window.orderBy(F.desc("_left"), "_src"))
     return c.withColumn("_parts", F.col("_base") + F.when(turn <= F.col("_more"), 1).otherwise(0)).select("_src", "n", "_quota", "_parts", "_period")
 
 
+def given_weights(counts: DataFrame, weights: dict[str | None, float], repeat: bool = False, resolution: int = RESOLUTION) -> DataFrame:
+    """counts: _src, n. As ``target_weights``, for stated weights (any positive
+    numbers; only their ratios count). The mixture holds _quota documents of a
+    source: with ``repeat`` as many as let the source that is longest against its
+    weight stand in it once, so that the others recur, else as many as the
+    shortest allows; then a named source without documents leaves it empty."""
+    if any(not w > 0 for w in weights.values()):
+        raise ValueError("target weights are positive numbers")
+    total = sum(weights.values())
+    # in parts of a million million, at least one: whole numbers from here on
+    rows = [("n" if s is None else f"s{s}", max(1, round(1e12 * w / total))) for s, w in weights.items()]
+    w = counts.sparkSession.createDataFrame(rows, "_src string, _w long")
+    c = w.join(counts, "_src", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    if repeat:
+        c = c.where("n > 0")
+    every = Window.partitionBy()
+    reach = F.col("n") / F.col("_w")
+    c = c.withColumn("_reach", (F.max(reach) if repeat else F.min(reach)).over(every))
+    exact = F.col("_reach") * F.col("_w")
+    quota = F.ceil(exact - 1e-6) if repeat else F.least(F.col("n"), F.floor(exact + 1e-6))
+    # whole numbers small enough that the share of a period fits in 64 bits
+    return _in_parts(c.withColumn("_quota", quota.cast("long")).withColumn("_w", F.expr("greatest(1L, _w div 1000000)")), "_w", resolution)
+
+
 def period_schedule(weights: DataFrame) -> DataFrame:
     """_src, _j, _at: the slot of block _j of each source within one period."""
     one = weights.groupBy().agg(F.array_sort(F.collect_list(F.struct("_src", "_parts"))).alias("s"), F.max("_period").alias("w"))
@@ -104,46 +138,63 @@ def numbered(docs: DataFrame) -> DataFrame:
     return d.withColumn("_idx", F.col("_from") + F.col("_i") - 1).drop("_h", "_b", "_i", "_from")
 
 
-def weights_of(docs: DataFrame, cap: tuple[int, int] = CAP, resolution: int = RESOLUTION) -> DataFrame:
+def weights_of(docs: DataFrame, cap: tuple[int, int] = CAP, resolution: int = RESOLUTION,
+               weights: dict[str | None, float] | None = None, repeat: bool = False) -> DataFrame:
     counts = docs.groupBy(_src(F.col("source")).alias("_src")).agg(F.count(F.lit(1)).alias("n"))
-    return staged(target_weights(counts, cap, resolution), "mix-weights")
+    by = target_weights(counts, cap, resolution) if weights is None else given_weights(counts, weights, repeat, resolution)
+    return staged(by, "mix-weights")
 
 
 def _small(df: DataFrame, sources: int) -> DataFrame:
     return F.broadcast(df) if sources <= BROADCAST_SOURCES else df
 
 
-def _scheduled(rows: DataFrame, weights: DataFrame, block_rows: int) -> DataFrame:
-    """``rows`` with block, _idx, _start (of the period), _at and _j of the schedule."""
+def _scheduled(rows: DataFrame, weights: DataFrame, block_rows: int, repeat: bool = False) -> DataFrame:
+    """``rows`` of the sources with a weight, with block, _idx, _start (of the
+    period), _at and _j of the schedule; with ``repeat`` a row for each epoch."""
     sources = weights.count()
     plan = staged(period_schedule(weights), "mix-period")
-    d = numbered(rows).join(_small(weights.drop("n"), sources), "_src")
+    d = numbered(rows).join(_small(weights.withColumnRenamed("n", "_size"), sources), "_src")
+    if repeat:
+        d = d.withColumn("epoch", F.explode(F.expr("sequence(0L, greatest(_quota - _idx - 1, 0L) div _size)")))
+        d = d.withColumn("_idx", F.col("_idx") + F.col("epoch") * F.col("_size"))
     d = d.withColumn("block", F.expr(f"_idx div {block_rows}")).withColumn("_c", F.expr("block div _parts")).withColumn("_j", F.col("block") % F.col("_parts"))
     return d.join(_small(plan, sources), ["_src", "_j"]).withColumn("_start", F.col("_c") * F.col("_period"))
 
 
-def mix(docs: DataFrame, cap: tuple[int, int] = CAP, block_rows: int = BLOCK_ROWS, resolution: int = RESOLUTION) -> DataFrame:
+def mix(docs: DataFrame, cap: tuple[int, int] = CAP, block_rows: int = BLOCK_ROWS, resolution: int = RESOLUTION,
+        weights: dict[str | None, float] | None = None, repeat: bool = False) -> DataFrame:
     """One row per document: doc_id, source, weight, block, release, deadline,
-    slot, place (of the document inside its block), in_mixture."""
+    slot, place (of the document inside its block), in_mixture. With given
+    ``weights``, documents of sources not named have weight 0 and no slot; with
+    ``repeat`` a document has a row for each time it stands in the mixture, with
+    its epoch (from 0)."""
     rows = docs.select("doc_id", "source")
-    d, start = _scheduled(rows, weights_of(rows, cap, resolution), block_rows), F.col("_start")
-    return d.select(
+    by = weights_of(rows, cap, resolution, weights, repeat)
+    d, start = _scheduled(rows, by, block_rows, repeat), F.col("_start")
+    out = d.select(
         "doc_id", "source", (F.col("_parts") / F.col("_period")).alias("weight"), F.col("block"),
         (start + F.expr("(_j * _period) div _parts")).alias("release"),
         (start + F.expr("((_j + 1) * _period + _parts - 1) div _parts")).alias("deadline"),
         (start + F.col("_at")).alias("slot"),
         (F.col("_idx") % block_rows).alias("place"),
-        (F.col("_idx") < F.col("_quota")).alias("in_mixture"))
+        (F.col("_idx") < F.col("_quota")).alias("in_mixture"), *(["epoch"] if repeat else []))
+    if weights is None:
+        return out
+    rest = rows.join(F.broadcast(by.select(F.col("_src").alias("_s"))), _src(F.col("source")) == F.col("_s"), "left_anti")
+    return out.unionByName(rest.select("doc_id", "source", F.lit(0.0).alias("weight"), F.lit(False).alias("in_mixture")), allowMissingColumns=True)
 
 
-def mixture(docs: DataFrame, cap: tuple[int, int] = WHOLE, block_rows: int = BLOCK_ROWS, resolution: int = RESOLUTION) -> DataFrame:
+def mixture(docs: DataFrame, cap: tuple[int, int] = WHOLE, block_rows: int = BLOCK_ROWS, resolution: int = RESOLUTION,
+            weights: dict[str | None, float] | None = None, repeat: bool = False) -> DataFrame:
     """The documents of the mixture, all columns, in the order of the schedule's
     slots and of the places inside them. By default each source's target is its
     natural share, under which every document stays; with a smaller ``cap``
-    what a capped source has above its target goes."""
+    what a capped source has above its target goes, with ``weights`` what the
+    stated mixture does not hold, and with ``repeat`` documents recur."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")  # whatever the columns are called
     rows = docs.select(row, "doc_id", "source", F.xxhash64("text").alias("text"))
-    d = _scheduled(rows, weights_of(docs, cap, resolution), block_rows).where("_idx < _quota")
+    d = _scheduled(rows, weights_of(docs, cap, resolution, weights, repeat), block_rows, repeat).where("_idx < _quota")
     return d.orderBy(F.col("_start") + F.col("_at"), F.col("_idx") % block_rows).select("_row.*")
 
 

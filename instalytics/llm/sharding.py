@@ -16,7 +16,10 @@ fixed number of shards the capacity is the least one, by bisection, at which
 best fit needs no more bins; items above the fair share get bins of their own
 first. ``pack`` with a capacity instead minimises the number of shards.
 
-Slots number a shard's documents from 0 without gaps, by two-level counting.
+Slots number a shard's documents from 0 without gaps, by two-level counting: in
+the order of a hash of their ids, or in the order in which the rows stand in
+their files (``in_file_order``), so that an order that was written, as that of a
+mixture, is the order inside every shard.
 Null text: no bytes, the group of the empty text. Equal rows keep one slot
 each. Extra columns are not read. An empty table gives an empty result.
 """
@@ -26,6 +29,7 @@ from __future__ import annotations
 import math
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -143,10 +147,10 @@ def _text_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
 
 
-def light_rows(docs: DataFrame) -> DataFrame:
+def light_rows(docs: DataFrame, *more: Column) -> DataFrame:
     """What packing needs of a document: id, size, checksum and group."""
     t = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select("doc_id", (_text_bytes(t) + ROW_BYTES).alias("size"), F.crc32(t).alias("text_crc32"), F.md5(t).alias("grp"))
+    return docs.select("doc_id", (_text_bytes(t) + ROW_BYTES).alias("size"), F.crc32(t).alias("text_crc32"), F.md5(t).alias("grp"), *more)
 
 
 def _pack_items(items: DataFrame, shards: int | None, capacity: int | None) -> DataFrame:
@@ -190,23 +194,41 @@ def with_shard(rows: DataFrame, placed: tuple[DataFrame, DataFrame]) -> DataFram
     return rows.join(hot, "grp").unionByName(rows.join(hot, "grp", "left_anti").join(small, "grp"))
 
 
-def with_slot(rows: DataFrame, order: list[str]) -> DataFrame:
-    """Numbers the rows of each shard from 0: counts of (shard, bucket) give
-    the offsets, row numbers inside a bucket the rest."""
-    d = rows.withColumn("_b", F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 3), 16, 10).cast("int"))
+def id_bucket() -> Column:
+    return F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 3), 16, 10).cast("int")
+
+
+def has_file_order(docs: DataFrame) -> bool:
+    """Whether ``docs`` is read from files that Spark numbered (``part-00000...``)."""
+    try:
+        docs.select(docs.metadataColumn("_metadata").getField("row_index"))
+        return True
+    except AnalysisException:
+        return False
+
+
+def with_slot(rows: DataFrame, order: list[str], bucket: Column | None = None) -> DataFrame:
+    """Numbers the rows of each shard from 0 by bucket, then ``order``: counts
+    of (shard, bucket) give the offsets, row numbers inside a bucket the rest."""
+    d = rows.withColumn("_b", id_bucket() if bucket is None else bucket)
     d = staged(d, "shard-rows")
     n = d.groupBy("shard", "_b").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("shard").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    n = n.withColumn("_from", F.coalesce(F.sum("_n").over(before), F.lit(0))).select("shard", "_b", "_from")  # at most shards * 4096 rows
+    n = n.withColumn("_from", F.coalesce(F.sum("_n").over(before), F.lit(0))).select("shard", "_b", "_from")  # at most shards * buckets rows
     inside = Window.partitionBy("shard", "_b").orderBy(*order)
     return (d.withColumn("_i", F.row_number().over(inside)).join(n, ["shard", "_b"])
             .withColumn("slot", F.col("_from") + F.col("_i") - 1).drop("_b", "_i", "_from"))
 
 
-def shard_documents(docs: DataFrame, shards: int = 40) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 40, in_file_order: bool = False) -> DataFrame:
     """doc_id, size, text_crc32, grp, shard, slot."""
-    rows = staged(light_rows(docs), "shard-light")
-    return with_slot(with_shard(rows, place_groups(rows, shards)), ["doc_id", "text_crc32"])
+    if not in_file_order:
+        rows = staged(light_rows(docs), "shard-light")
+        return with_slot(with_shard(rows, place_groups(rows, shards)), ["doc_id", "text_crc32"])
+    meta = docs.metadataColumn("_metadata")
+    file = F.regexp_extract(meta.getField("file_name"), r"part-(\d+)", 1).cast("long")
+    rows = staged(light_rows(docs, file.alias("_file"), meta.getField("row_index").alias("_at")), "shard-light")
+    return with_slot(with_shard(rows, place_groups(rows, shards)), ["_at"], F.col("_file")).drop("_file", "_at")
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,6 +51,42 @@ def test_schedule_keeps_every_prefix_within_a_block(spark):
         assert all(abs(seen[k] - weight[k] * (t + 1)) < 1 for k in sizes)
 
 
+def _in_order(rows):
+    return [r.source for r in sorted((r for r in rows if r.in_mixture), key=lambda r: (r.slot, r.place))]
+
+
+def test_given_weights_stop_at_the_first_source_that_runs_out(spark):
+    sizes = {"a": 600, "b": 90, "c": 500, None: 40}
+    d = spark.createDataFrame([(i, s) for s, n in sizes.items() for i in range(n)], "doc_id long, source string")
+    rows = mixing.mix(d, block_rows=1, resolution=100, weights={"a": 2, "b": 1, None: 1}).collect()
+    assert len(rows) == 1230
+    kept = collections.Counter(r.source for r in rows if r.in_mixture)
+    assert kept == {"a": 80, "b": 40, None: 40}
+    assert {(r.weight, r.slot) for r in rows if r.source == "c"} == {(0.0, None)}
+    seen = collections.Counter()
+    for t, s in enumerate(_in_order(rows)):
+        seen[s] += 1
+        assert all(abs(seen[k] - w * (t + 1)) < 1 for k, w in (("a", 0.5), ("b", 0.25), (None, 0.25)))
+    assert not any(r.in_mixture for r in mixing.mix(d, weights={"a": 1, "unknown": 1}).collect())
+    with pytest.raises(ValueError, match="positive"):
+        mixing.mix(d, weights={"a": 0})
+
+
+def test_given_weights_repeat_sources_that_run_out(spark):
+    sizes = {"a": 300, "b": 30, "c": 7}
+    d = spark.createDataFrame([(1000 * j + i, s) for j, (s, n) in enumerate(sizes.items()) for i in range(n)], "doc_id long, source string")
+    rows = [r for r in mixing.mix(d, block_rows=1, resolution=100, weights={"a": 0.5, "b": 0.4, "c": 0.1}, repeat=True).collect() if r.in_mixture]
+    times = collections.Counter(r.doc_id for r in rows)
+    of = collections.Counter(r.source for r in rows)
+    assert of == {"a": 300, "b": 240, "c": 60} and set(times) == {r.doc_id for r in d.collect()}
+    for s, n in sizes.items():
+        mine = [times[r.doc_id] for r in d.where(f"source = '{s}'").collect()]
+        assert max(mine) - min(mine) <= 1 and sum(mine) == of[s]
+    assert {(r.doc_id, r.epoch) for r in rows} == {(i, e) for i, n in times.items() for e in range(n)}
+    docs = d.selectExpr("*", "'t' AS text")
+    assert collections.Counter(r.source for r in mixing.mixture(docs, weights={"a": 0.5, "b": 0.4, "c": 0.1}, repeat=True).collect()) == of
+
+
 def _links(texts):
     sets = {}
     for d, t in texts.items():

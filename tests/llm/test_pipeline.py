@@ -81,13 +81,6 @@ def test_decontamination_stage(spark, stages):
     assert set(_rows(after)) == keep
 
 
-def test_mixing_stage_caps_the_largest_source(stages):
-    _, before, after = stages[3]
-    a, b = (collections.Counter(r.source for r in _rows(x).values()) for x in (before, after))
-    total = sum(b.values())
-    assert all(b[s] == a[s] or b[s] <= total / 4 for s in a)
-
-
 def test_mixing_stage_keeps_all_in_slot_order(spark):
     rows = [(i, f"text {i}", "a" if i < 700 else "b" if i < 900 else "c") for i in range(1000)]
     d = spark.createDataFrame(rows, "doc_id long, text string, source string")
@@ -105,3 +98,20 @@ def test_sharding_stage(stages):
     for r in got.values():
         slots[r.shard].append(r.slot)
     assert all(0 <= k < 40 for k in slots) and all(sorted(v) == list(range(len(v))) for v in slots.values())
+
+
+def test_slots_of_a_shard_follow_the_schedule(spark, stages, monkeypatch):
+    """Each shard's slots are in the order of the schedule, so another schedule gives other slots."""
+    _, before, after = stages[4]
+    want = {r.doc_id: (r.slot, r.place) for r in mixing.mix(before, mixing.WHOLE).collect()}
+    by_shard = collections.defaultdict(list)
+    for r in after.collect():
+        by_shard[r.shard].append((r.slot, want[r.doc_id]))
+    for rows in by_shard.values():
+        order = [w for _, w in sorted(rows)]
+        assert order == sorted(order)
+    docs = stages[3][1]
+    monkeypatch.setattr(cp.mixing, "mixture", lambda d: d.orderBy("doc_id"))
+    other = cp.shard(spark, staged(cp.mix_sources(spark, docs, SF), "other"), SF)
+    assert {(r.doc_id, r.shard) for r in other.collect()} == {(r.doc_id, r.shard) for r in after.collect()}
+    assert {(r.doc_id, r.slot) for r in other.collect()} != {(r.doc_id, r.slot) for r in after.collect()}
