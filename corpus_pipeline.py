@@ -31,8 +31,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The shard and slot of every document of the mixture."""
-    return sharding.shard_documents(docs).drop("grp")
+    """The shard and slot of every document of the mixture; inside a shard they
+    stand in the order of the schedule, in which the stage before wrote them."""
+    return sharding.shard_documents(docs, in_file_order=sharding.has_file_order(docs)).drop("grp")
 
 
 STAGES = [
