@@ -1,13 +1,15 @@
 """Time columns: epoch ms -> UTC / local wall clock, local-day windows.
 
 All results are ``TIMESTAMP_NTZ`` / ``DATE`` and none depends on the session
-time zone. Zones enter as literals (one ``CASE`` branch per country in the
-context map), so each conversion resolves its zone once, stays inside
-whole-stage codegen and parses no zone string per row.
+time zone. Up to ``LITERAL_ZONES`` zones enter as literals, one ``CASE`` branch
+per zone, so that each is resolved once; more are looked up in one map literal,
+since that many branches would outgrow a generated method. What depends on the
+run clock alone (local dates, bounds of windows) has one branch per different
+value: a few dozen at most, however many countries there are.
 
 Local-day windows are not evaluated by converting every row: for each country
 the window is a half-open epoch-ms range computed on the driver, so the filter
-is an OR of (country = c AND lo <= ms < hi) terms that Parquet can push down.
+is an OR of (country in cs AND lo <= ms < hi) terms that Parquet can push down.
 """
 
 from __future__ import annotations
@@ -41,29 +43,49 @@ def epoch_ms(ts) -> Column:
     return F.timestamp_diff("MILLISECOND", epoch_ntz(), _c(ts))
 
 
-def by_country(country, ctx: Ctx, fn, default) -> Column:
-    """``CASE country WHEN c THEN fn(c) ... ELSE default END``."""
-    country = _c(country)
-    expr = None
+LITERAL_ZONES = 16
+
+
+def _grouped(ctx: Ctx, value) -> list[tuple]:
+    """(value, its countries): the countries of the context by equal values."""
+    groups: dict = {}
     for c in ctx.countries:
-        cond = country == F.lit(c)
-        expr = F.when(cond, fn(c)) if expr is None else expr.when(cond, fn(c))
+        groups.setdefault(value(c), []).append(c)
+    return list(groups.items())
+
+
+def _one_of(country: Column, countries: list[str]) -> Column:
+    return country == F.lit(countries[0]) if len(countries) == 1 else country.isin(countries)
+
+
+def by_country(country, ctx: Ctx, value, fn, default) -> Column:
+    """``fn(value(country))`` with one branch per different value, ``default``
+    for other countries and null."""
+    country, expr = _c(country), None
+    for v, countries in _grouped(ctx, value):
+        cond = _one_of(country, countries)
+        expr = F.when(cond, fn(v)) if expr is None else expr.when(cond, fn(v))
     return default if expr is None else expr.otherwise(default)
 
 
+def zone_of(country, ctx: Ctx) -> Column:
+    """The zone's name, by one look-up in a map literal (UTC outside the map)."""
+    pairs = [F.lit(x) for c in ctx.countries for x in (c, ctx.zone_name(c))]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), _c(country)), F.lit("UTC"))
+
+
 def local_micros(country, ms, ctx: Ctx) -> Column:
     """Epoch ms -> local wall clock as microseconds since 1970-01-01 00:00.
 
     ``from_utc_timestamp`` with a literal zone keeps its resolved zone and
     only adds the zone offset of that instant to the raw microseconds (no
-    session time zone involved); ``unix_micros`` reads the raw value back.
-    One literal-zone branch per country."""
+    session time zone involved); ``unix_micros`` reads the raw value back."""
     ms = _c(ms)
     secs = ms - ms % 1000
     utc = F.timestamp_millis(secs)
-    return by_country(
-        country, ctx, lambda c: F.unix_micros(F.from_utc_timestamp(utc, ctx.zone_name(c))), secs * 1000
-    )
+    if len({ctx.zone_name(c) for c in ctx.countries}) > LITERAL_ZONES:
+        return F.unix_micros(F.from_utc_timestamp(utc, zone_of(country, ctx)))
+    return by_country(country, ctx, ctx.zone_name, lambda z: F.unix_micros(F.from_utc_timestamp(utc, z)), secs * 1000)
 
 
 def local_ts(country, ms, ctx: Ctx) -> Column:
@@ -77,28 +99,19 @@ def local_date(country, ms, ctx: Ctx) -> Column:
 
 def local_today(country, ctx: Ctx) -> Column:
     """Local date of the run clock, per row country (a literal per branch)."""
-    return by_country(
-        country, ctx, lambda c: F.lit(ctx.local_today(c)), F.lit(ctx.local_today(None))
-    )
+    return by_country(country, ctx, ctx.local_today, F.lit, F.lit(ctx.local_today(None)))
 
 
 def local_now(country, ctx: Ctx) -> Column:
     """Local wall clock of the run clock, per row country."""
-    return by_country(
-        country,
-        ctx,
-        lambda c: F.lit(ctx.local_now(c)).cast("timestamp_ntz"),
-        F.lit(ctx.local_now(None)).cast("timestamp_ntz"),
-    )
+    return by_country(country, ctx, ctx.local_now, lambda t: F.lit(t).cast("timestamp_ntz"), F.lit(ctx.local_now(None)).cast("timestamp_ntz"))
 
 
 def local_today_minus(country, ctx: Ctx, days: int) -> Column:
-    return by_country(
-        country,
-        ctx,
-        lambda c: F.lit(ctx.local_today(c) - timedelta(days=days)),
-        F.lit(ctx.local_today(None) - timedelta(days=days)),
-    )
+    def value(c):
+        return ctx.local_today(c) - timedelta(days=days)
+
+    return by_country(country, ctx, value, F.lit, F.lit(value(None)))
 
 
 def in_local_window(ms, country, ctx: Ctx, days: int, end: int = -1) -> Column:
@@ -110,9 +123,8 @@ def in_local_window(ms, country, ctx: Ctx, days: int, end: int = -1) -> Column:
     """
     ms, country = _c(ms), _c(country)
     terms = []
-    for c in ctx.countries:
-        lo, hi = ctx.window_ms(c, days, end)
-        terms.append((country == F.lit(c)) & (ms >= F.lit(lo)) & (ms < F.lit(hi)))
+    for (lo, hi), countries in _grouped(ctx, lambda c: ctx.window_ms(c, days, end)):
+        terms.append(_one_of(country, countries) & (ms >= F.lit(lo)) & (ms < F.lit(hi)))
     lo, hi = ctx.window_ms(None, days, end)
     other = country.isNull() | ~country.isin(ctx.countries)
     terms.append(other & (ms >= F.lit(lo)) & (ms < F.lit(hi)))

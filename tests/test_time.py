@@ -4,6 +4,7 @@ property test around DST changes)."""
 from datetime import date, datetime, timedelta, timezone
 from zoneinfo import ZoneInfo
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -66,3 +67,52 @@ def test_local_date_and_window_match_zoneinfo(spark, ctx, ms, cc):
     assert r.t == local
     assert r.w == inside
     assert r.today == today
+
+
+def _world(n):
+    """``n`` made-up countries over as many zones as there are."""
+    from zoneinfo import available_timezones
+
+    zones = sorted(z for z in available_timezones() if z.startswith(("Africa/", "America/", "Asia/", "Australia/", "Europe/", "Pacific/")))
+    step = max(1, len(zones) // n)
+    return tuple((f"X{i:03d}", z) for i, z in enumerate(zones[::step][:n]))
+
+
+@pytest.mark.parametrize("n", [5, 200])
+def test_many_zones_equal_python(spark, n):
+    """Local times and windows of every country against zoneinfo, with literal
+    branches and with the map."""
+    import random
+    from datetime import datetime, timedelta, timezone
+
+    from instalytics import default_ctx
+    from instalytics.functions.timecols import in_local_window, local_today, local_ts
+
+    ctx = default_ctx(tz_map=_world(n))
+    assert len(ctx.countries) == n
+    rnd = random.Random(n)
+    rows = [(rnd.choice([*ctx.countries, None, "??"]), int(ctx.as_of_utc.timestamp() * 1000) - rnd.randrange(200 * 86_400_000)) for _ in range(1500)]
+    df = spark.createDataFrame(rows, "cc string, ms long")
+    got = df.select("cc", "ms", local_ts("cc", "ms", ctx).alias("l"), local_today("cc", ctx).alias("t"), in_local_window("ms", "cc", ctx, 90).alias("w")).collect()
+    for r in got:
+        at = datetime.fromtimestamp(r.ms // 1000, timezone.utc).astimezone(ctx.zone(r.cc)).replace(tzinfo=None)
+        today = ctx.local_today(r.cc)
+        assert r.l == at and r.t == today
+        assert r.w == (today - timedelta(days=90) <= at.date() <= today - timedelta(days=1)), r
+
+
+def test_many_zones_stay_in_generated_code(spark):
+    from pyspark.sql import functions as F
+
+    from instalytics import default_ctx
+    from instalytics.functions.timecols import in_local_window, local_ts
+
+    ctx = default_ctx(tz_map=_world(200))
+    df = spark.range(1000).select(F.concat(F.lit("X"), F.lpad((F.col("id") % 200).cast("string"), 3, "0")).alias("cc"), (F.col("id") * 10**9).alias("ms"))
+    out = df.where(in_local_window("ms", "cc", ctx, 90) | (F.col("ms") > 0)).select(local_ts("cc", "ms", ctx).alias("l"))
+    jvm = spark._jvm.org.apache.spark.sql.execution
+    code = jvm.debug.package.codegenStringSeq(out._jdf.queryExecution().executedPlan())
+    stats = [code.apply(i)._3() for i in range(code.size())]
+    # a method beyond 64 KB makes Spark give up the generated code; beyond 8 KB the JVM does not compile it
+    assert stats and all(0 < s.maxMethodCodeSize() < 65_535 for s in stats)
+    assert out.count() == 999
