@@ -3,9 +3,12 @@ tables (or features Spark derives from them), with an oracle in DuckDB SQL."""
 
 from __future__ import annotations
 
+import uuid
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
-from .context import Ctx, default_ctx
+from .context import HORIZON_HALF, Ctx, default_ctx
 from .functions.conditional import count_when, max_when, min_when, sum_when
 from .functions.text import blank_to_null, classify_note, json_text
 from .functions.timecols import days_late, in_local_window, local_date, local_today, local_ts, utc_ts
@@ -17,8 +20,10 @@ from .operators.reshape import pivot_day_offsets, union_aligned
 from .oracle.features import _note_case
 from .oracle.sql import with_ctes
 from .oracle.text import Sql
+from .plans.daystates import days_between, fe18_from_states, fe19_from_states, order_states, payment_states, spend_from_states
 from .plans.instalments import successful_payments
 from .plans.limits import latest_approved_order, limit_asof, value_changes
+from .plans.materialize import checkpoint_root
 from .sources.testdata import build_sources
 
 D10 = "decimal(10,2)"
@@ -225,12 +230,43 @@ def op_top_sample(spark, sf):
             .limit(100).select("order_transaction_id", "consumer_consumer_uuid", "consumer_total_amount_amount"))
 
 
+def _state_path(spark, name):
+    return f"{checkpoint_root(spark)}/instalytics/states-{name}-{uuid.uuid4().hex}"
+
+
+def op_day_states_orders(spark, sf):
+    """FE19 and FE21's spend from day states: the history, then day by day the
+    last two days, and the expired ones dropped."""
+    fs = _fs(spark, sf)
+    ctx, order = fs.ctx, fs.src.order
+    states = order_states(spark, _state_path(spark, "orders"))
+    first, last = ctx.horizon(HORIZON_HALF + 1), ctx.today
+    states.update(order, ctx, days_between(first, last - timedelta(days=2)))
+    for day in (last - timedelta(days=1), last):
+        states.update(order, ctx, [day])
+    states.expire(ctx, ctx.horizon(HORIZON_HALF))
+    read = states.read(ctx)
+    return fe19_from_states(read, ctx).join(spend_from_states(read, ctx), "consumer_uuid", "left")
+
+
+def op_day_states_payment_type(spark, sf):
+    """FE18 from day states: the history merged into one, then two days, merged in turn."""
+    fs = _fs(spark, sf)
+    ctx, paid = fs.ctx, fs.src.payment_processed
+    states = payment_states(spark, _state_path(spark, "payments"))
+    states.update_merged(paid, ctx, ctx.horizon(2))
+    states.update(paid, ctx, [ctx.horizon(1)])
+    states.merge_until(ctx, ctx.horizon(1))
+    states.update(paid, ctx, [ctx.today])
+    return fe18_from_states(states.read(ctx), ctx)
+
+
 OP_QUERIES = {f.__name__: f for f in [
     op_latest_per_key, op_number_in_group, op_previous_value, op_percent_rank_global, op_asof_latest,
     op_left_join_residual, op_range_left_join, op_anti_join, op_presence_flag, op_star_join, op_conditional_agg,
     op_count_distinct_when, op_pivot_day_offsets, op_distinct_rows, op_union_aligned, op_append, op_local_window,
     op_epoch_local_time, op_days_between, op_blank_to_null_cast, op_json_path, op_classify_note,
-    op_greatest_coalesce, op_top_sample,
+    op_greatest_coalesce, op_top_sample, op_day_states_orders, op_day_states_payment_type,
 ]}
 
 
@@ -339,4 +375,6 @@ FROM src_limit_change_backfill"""
     s["op_top_sample"] = """
 SELECT order_transaction_id, consumer_consumer_uuid, consumer_total_amount_amount FROM src_order
 WHERE status = 'APPROVED' ORDER BY consumer_total_amount_amount DESC, order_transaction_id ASC LIMIT 100"""
+    s["op_day_states_orders"] = "SELECT fe19.*, fe21_amt.c_order_amt_180d FROM fe19 LEFT JOIN fe21_amt USING (consumer_uuid)"
+    s["op_day_states_payment_type"] = "SELECT * FROM fe18"
     return {k: with_ctes(v, ctx) for k, v in s.items()}
