@@ -99,10 +99,13 @@ def fe04_instal_events(instalment_payment: DataFrame, payments: DataFrame, fe01:
     ``payments``: see ``successful_payments``."""
     p = scan(instalment_payment, ctx, HORIZON_LONG).alias("p")
     pp = payments.alias("pp")
-    inst = fe01.select("consumer_uuid", "country_code", "instalment_id", "order_id", "par_region").alias("i")
-    j = (p.join(pp, (F.col("pp.key_payment_id") == F.col("p.key_payment_id"))
-                & (F.col("pp.event_info_event_time") == F.col("p.event_time")), "inner")
-         .join(inst, F.col("i.instalment_id") == F.col("p.key_payment_schedule_id"), "inner"))
+    # FE01 holds the run's region only; stating it marks FE01 as a selective side, so that
+    # Spark may filter the payments by a Bloom filter of its instalments before their exchange
+    inst = fe01.where(F.col("par_region") == ctx.region).select("consumer_uuid", "country_code", "instalment_id", "order_id",
+                                                                "par_region").alias("i")
+    j = (p.join(inst, F.col("i.instalment_id") == F.col("p.key_payment_schedule_id"), "inner")
+         .join(pp, (F.col("pp.key_payment_id") == F.col("p.key_payment_id"))
+               & (F.col("pp.event_info_event_time") == F.col("p.event_time")), "inner"))
     disc = F.coalesce(F.col("pp.payment_method_discount_name"), F.lit(""))
     return j.select(
         F.col("i.consumer_uuid").alias("consumer_uuid"),

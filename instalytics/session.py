@@ -62,6 +62,12 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512MB",
+    # Spark's own runtime Bloom filters: instalments of the run against the payments of all orders.
+    # 2^30 bits (128 MB) hold about 100 million ids at 10 bits each; more ids filter less and nothing else
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "64GB",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "100000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "1073741824",
     # broadcast only on sizes measured at run time
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",

@@ -89,3 +89,33 @@ def test_rerun_is_identical(spark):
 def test_order_rollup_forms_equal_standalone(fs, plain, rolled):
     a, b = fs[plain], fs[rolled].select(*fs[plain].columns)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_payments_are_filtered_by_the_instalments_before_their_exchange(spark):
+    """With the cluster's settings (and no least scan size) Spark puts a Bloom
+    filter of FE01's instalments on the payments' scan; fewer rows are shuffled
+    and the result is the same."""
+    from instalytics import catalog
+    from instalytics.session import CLUSTER_CONF
+
+    fs = catalog.feature_set(spark, "/root/testdata/sf0.001")
+    fs["fe01"], fs["payments"]
+    plain = fs._fe04()
+    rows = sorted(map(str, plain.collect()))
+    conf = {k: v for k, v in CLUSTER_CONF.items() if "bloomFilter" in k}
+    conf["spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"] = "0"
+    conf["spark.sql.adaptive.enabled"] = "false"
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = fs._fe04()
+        lines = plan(df).splitlines()
+        at = [i for i, line in enumerate(lines) if "might_contain" in line and "_iid" in line and "Filter" in line]
+        assert at, "\n".join(lines)
+        above = [line for line in lines[: at[0]] if "Exchange hashpartitioning(key_payment_schedule_id" in line]
+        assert above, "\n".join(lines)
+        assert sorted(map(str, df.collect())) == rows
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
