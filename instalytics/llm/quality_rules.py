@@ -5,8 +5,12 @@ Each line is judged alone. It fails by the symbol rule (too many of
 shouted), the navigation rule (a list of links: several separators between
 few words, or a menu phrase), the punctuation rule (a long line that holds no
 sentence end at all) or the boilerplate rule (a phrase of legal notices,
-cookie banners and the like). Failed lines are removed; a document is rejected
-if the failed lines hold more than ``max_lost`` of its word characters.
+cookie banners and the like). Symbols, capitals, separators and sentence ends
+are judged alike in every language; phrases are parameters, with lists for
+English, Spanish, French and German. Failed lines are removed, all others stay as
+they are, blank ones too; a document is rejected if the failed lines hold more
+than ``max_lost`` of its word characters. A text's lines are judged a second time
+only if one of them fails, so the cost is in proportion to the text.
 
 The base figures (words, symbols, repeated lines, repeated 8-word windows) are
 exact but for the windows, which are compared by a 64-bit hash within the one
@@ -16,6 +20,8 @@ columns are not read. Equal rows give equal results, one each.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,14 +31,25 @@ WORD_GAP = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 
-# fixed phrases of the line rules
-MENU = ("skip to content", "main menu", "sign in", "log in", "read more", "back to top", "next page", "previous page", "site map")
-NOTICE = ("all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy", "we use cookies",
-          "accept cookies", "enable javascript", "subscribe to our newsletter", "unsubscribe", "lorem ipsum")
+# fixed phrases of the line rules, by language, in lower case
+MENU = (
+    "skip to content", "main menu", "sign in", "log in", "read more", "back to top", "next page", "previous page", "site map",
+    "saltar al contenido", "iniciar sesión", "leer más", "volver arriba", "página siguiente", "mapa del sitio",
+    "aller au contenu", "se connecter", "lire la suite", "haut de page", "page suivante", "plan du site",
+    "zum inhalt springen", "anmelden", "weiterlesen", "nach oben", "nächste seite", "seitenübersicht",
+)
+NOTICE = (
+    "all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy", "we use cookies",
+    "accept cookies", "enable javascript", "subscribe to our newsletter", "unsubscribe", "lorem ipsum",
+    "todos los derechos reservados", "política de privacidad", "política de cookies", "utilizamos cookies", "aceptar cookies",
+    "tous droits réservés", "politique de confidentialité", "conditions d'utilisation", "nous utilisons des cookies", "accepter les cookies",
+    "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "wir verwenden cookies", "cookies akzeptieren",
+)
 
 
 def _any_phrase(phrases: tuple[str, ...]) -> str:
-    return "(?i)\\b(" + "|".join(phrases) + ")\\b"
+    """Any of the phrases as whole words, for ``rlike`` on lower-cased text."""
+    return r"(^|[^\p{L}\p{N}_])(" + "|".join(re.escape(p) for p in phrases) + r")($|[^\p{L}\p{N}_])"
 
 
 def _words(text: Column) -> Column:
@@ -43,7 +60,7 @@ def _word_chars(words: Column) -> Column:
     return F.length(F.array_join(words, "")).cast("long")
 
 
-def line_fails(line: Column, max_symbols: float = 0.1) -> Column:
+def line_fails(line: Column, max_symbols: float = 0.1, menu_phrases: tuple[str, ...] = MENU) -> Column:
     """True where a line with a word fails a rule (but for the boilerplate
     rule); the cheap tests come first."""
     words = F.regexp_count(line, F.lit(WORD_GAP)) + 1
@@ -51,7 +68,7 @@ def line_fails(line: Column, max_symbols: float = 0.1) -> Column:
     shouted = ~line.rlike(r"\p{Ll}") & line.rlike(r"\p{Lu}\p{Lu}") & (words >= 3)
     marks = F.regexp_count(line, F.lit("[|>»·•]"))
     links = line.rlike("[|>»·•]") & (marks >= 2) & (4 * marks >= words)
-    menu = (F.length(line) <= 60) & line.rlike(_any_phrase(MENU)) & (words <= 6)
+    menu = (F.length(line) <= 60) & (words <= 6) & F.lower(line).rlike(_any_phrase(menu_phrases))
     endless = (F.length(line) >= 120) & ~line.rlike(r"[.!?…;:。！？]") & (words >= 60)
     return symbols | shouted | links | menu | endless
 
@@ -90,18 +107,31 @@ def measure(docs: DataFrame) -> DataFrame:
         F.coalesce(cover, F.lit(0)).cast("long").alias("n_repeat_words"))
 
 
-def apply_rules(docs: DataFrame, max_lost: float = 0.5, max_symbols: float = 0.1) -> DataFrame:
+def apply_rules(docs: DataFrame, max_lost: float = 0.5, max_symbols: float = 0.1,
+                menu_phrases: tuple[str, ...] = MENU, notice_phrases: tuple[str, ...] = NOTICE) -> DataFrame:
     """One row per document: base figures, lines and word characters lost to
-    the line rules, the cleaned text and the verdict."""
+    the line rules, the cleaned text and the verdict. Phrases in lower case."""
     d = measure(docs).withColumn("_low", F.lower("_t"))
     noticed = F.lit(False)
-    for phrase in NOTICE:
+    for phrase in notice_phrases:
         noticed = noticed | F.contains(F.col("_low"), F.lit(phrase))
+
+    def fails(x: Column) -> Column:
+        return line_fails(x, max_symbols, menu_phrases)
+
+    def fails_or_notice(x: Column) -> Column:
+        return fails(x) | F.lower(x).rlike(_any_phrase(notice_phrases))
+
     # phrases of notices are looked for line by line only in texts that hold one
-    d = d.withColumn("_bad", F.when(noticed, F.filter("_lines", lambda x: line_fails(x, max_symbols) | x.rlike(_any_phrase(NOTICE))))
-                     .otherwise(F.filter("_lines", lambda x: line_fails(x, max_symbols))))
-    clean = F.when(F.size("_bad") == 0, F.array_join("_lines", "\n")).otherwise(
-        F.array_join(F.filter("_lines", lambda x: ~F.array_contains("_bad", x)), "\n"))
+    d = d.withColumn("_noticed", noticed)
+    d = d.withColumn("_bad", F.when(F.col("_noticed"), F.filter("_lines", fails_or_notice)).otherwise(F.filter("_lines", fails)))
+    every = F.split("_t", "\n")
+
+    def stays(bad):
+        return lambda x: ~x.rlike(r"[^\x20\x09-\x0D]") | ~bad(x)
+
+    left = F.when(F.col("_noticed"), F.filter(every, stays(fails_or_notice))).otherwise(F.filter(every, stays(fails)))
+    clean = F.when(F.size("_bad") == 0, F.col("_t")).otherwise(F.array_join(left, "\n"))
     lost = F.when(F.size("_bad") == 0, F.lit(0)).otherwise(_word_chars(_words(F.array_join("_bad", "\n"))))
     base = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return (d.withColumn("n_lines", F.size("_lines").cast("long"))
@@ -110,13 +140,13 @@ def apply_rules(docs: DataFrame, max_lost: float = 0.5, max_symbols: float = 0.1
             .withColumn("clean_text", clean)
             .withColumn("base_failed", base)
             .withColumn("kept", ~base & (F.col("lost_chars") <= F.lit(max_lost) * F.col("word_chars")))
-            .drop("_t", "_low", "_lines", "_bad"))
+            .drop("_t", "_low", "_lines", "_noticed", "_bad"))
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_failed_lines",
-        "lost_chars", "base_failed", "kept")
+        "lost_chars", "clean_text", "base_failed", "kept")
 
 
 SQL = r"""
@@ -129,27 +159,29 @@ w AS (
 win AS (SELECT rid, p, array_to_string(w[p:p + 7], ' ') AS g FROM (SELECT rid, w, unnest(generate_series(1, len(w) - 7)) AS p FROM w WHERE len(w) >= 8)),
 rep AS (SELECT rid, p FROM win QUALIFY count(*) OVER (PARTITION BY rid, g) >= 2),
 cov AS (SELECT rid, count(DISTINCT q) AS n FROM (SELECT rid, unnest(generate_series(p, p + 7)) AS q FROM rep) GROUP BY rid),
-line AS (SELECT rid, unnest(lines) AS l, contains(lower(t), 'all rights reserved') OR contains(lower(t), 'terms of use') OR contains(lower(t), 'terms of service')
-           OR contains(lower(t), 'privacy policy') OR contains(lower(t), 'cookie policy') OR contains(lower(t), 'we use cookies') OR contains(lower(t), 'accept cookies')
-           OR contains(lower(t), 'enable javascript') OR contains(lower(t), 'subscribe to our newsletter') OR contains(lower(t), 'unsubscribe') OR contains(lower(t), 'lorem ipsum') AS noticed
-         FROM w),
+line AS (SELECT rid, unnest(string_split(t, chr(10))) AS l, generate_subscripts(string_split(t, chr(10)), 1) AS pos FROM d),
 fig AS (
-  SELECT rid, l, noticed, len(regexp_extract_all(l, '[\x20\x09-\x0D]+')) + 1 AS words, len(regexp_extract_all(l, '[#*$%&|<>]')) AS sym,
-         len(regexp_extract_all(l, '[|>»·•]')) AS marks
+  SELECT rid, pos, l, regexp_matches(l, '[^\x20\x09-\x0D]') AS has, len(regexp_extract_all(l, '[\x20\x09-\x0D]+')) + 1 AS words,
+         len(regexp_extract_all(l, '[#*$%&|<>]')) AS sym, len(regexp_extract_all(l, '[|>»·•]')) AS marks
   FROM line),
-bad AS (
-  SELECT rid, count(*) AS n, sum(length(regexp_replace(l, '[\x20\x09-\x0D]+', '', 'g'))) AS chars FROM fig
-  WHERE (sym > 0 AND sym > 0.1 * length(l))
+judged AS (
+  SELECT rid, pos, l, has AND (
+        (sym > 0 AND sym > 0.1 * length(l))
      OR (NOT regexp_matches(l, '\p{Ll}') AND regexp_matches(l, '\p{Lu}\p{Lu}') AND words >= 3)
      OR (marks >= 2 AND 4 * marks >= words)
-     OR (length(l) <= 60 AND words <= 6 AND regexp_matches(l, '(?i)\b(skip to content|main menu|sign in|log in|read more|back to top|next page|previous page|site map)\b'))
+     OR (length(l) <= 60 AND words <= 6 AND regexp_matches(lower(l), '(^|[^\p{L}\p{N}_])(skip to content|main menu|sign in|log in|read more|back to top|next page|previous page|site map|saltar al contenido|iniciar sesión|leer más|volver arriba|página siguiente|mapa del sitio|aller au contenu|se connecter|lire la suite|haut de page|page suivante|plan du site|zum inhalt springen|anmelden|weiterlesen|nach oben|nächste seite|seitenübersicht)($|[^\p{L}\p{N}_])'))
      OR (length(l) >= 120 AND words >= 60 AND NOT regexp_matches(l, '[.!?…;:。！？]'))
-     OR (noticed AND regexp_matches(l, '(?i)\b(all rights reserved|terms of use|terms of service|privacy policy|cookie policy|we use cookies|accept cookies|enable javascript|subscribe to our newsletter|unsubscribe|lorem ipsum)\b'))
-  GROUP BY rid)
+     OR regexp_matches(lower(l), '(^|[^\p{L}\p{N}_])(all rights reserved|terms of use|terms of service|privacy policy|cookie policy|we use cookies|accept cookies|enable javascript|subscribe to our newsletter|unsubscribe|lorem ipsum|todos los derechos reservados|política de privacidad|política de cookies|utilizamos cookies|aceptar cookies|tous droits réservés|politique de confidentialité|conditions d''utilisation|nous utilisons des cookies|accepter les cookies|alle rechte vorbehalten|datenschutzerklärung|nutzungsbedingungen|wir verwenden cookies|cookies akzeptieren)($|[^\p{L}\p{N}_])')) AS bad
+  FROM fig),
+bad AS (
+  SELECT rid, count(*) FILTER (bad) AS n, coalesce(sum(length(regexp_replace(l, '[\x20\x09-\x0D]+', '', 'g'))) FILTER (bad), 0) AS chars,
+         coalesce(string_agg(l, chr(10) ORDER BY pos) FILTER (NOT bad), '') AS clean
+  FROM judged GROUP BY rid)
 SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
        len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
        coalesce(cov.n, 0)::BIGINT AS n_repeat_words, len(lines)::BIGINT AS n_lines, coalesce(bad.n, 0)::BIGINT AS n_failed_lines,
-       coalesce(bad.chars, 0)::BIGINT AS lost_chars, len(w) < 20 OR 100 * coalesce(cov.n, 0) > 30 * len(w) AS base_failed,
+       coalesce(bad.chars, 0)::BIGINT AS lost_chars, CASE WHEN bad.n > 0 THEN bad.clean ELSE t END AS clean_text,
+       len(w) < 20 OR 100 * coalesce(cov.n, 0) > 30 * len(w) AS base_failed,
        NOT (len(w) < 20 OR 100 * coalesce(cov.n, 0) > 30 * len(w)) AND coalesce(bad.chars, 0) <= 0.5 * length(array_to_string(w, '')) AS kept
 FROM w LEFT JOIN cov USING (rid) LEFT JOIN bad USING (rid)
 """

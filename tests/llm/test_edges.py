@@ -68,6 +68,8 @@ def test_defined_results(spark, docs):
     q = {r.doc_id: r for r in quality_rules.apply_rules(docs).collect()}
     assert q[0].n_words == q[1].n_words == q[2].n_words == 0 and q[0].base_failed and not q[0].kept
     assert q[7].n_dup_lines == 59 and q[7].base_failed
+    # what holds no failed line stays as it is, blank lines too
+    assert q[0].clean_text == q[1].clean_text == "" and q[2].clean_text == TEXTS[2] and q[7].clean_text == TEXTS[7] and q[8].clean_text == ""
     lang = {r.doc_id: r for r in language_id.classify(docs, language_id.fit(docs)).collect()}
     assert [lang[i].lang_pred for i in (0, 1, 2, 8)] == ["und"] * 4 and lang[0].score == 0 and lang[3].lang_pred == "en"
     c = {r.doc_id: r for r in ngram_join.similarity_classes(docs).collect()}
@@ -87,3 +89,16 @@ def test_pipeline_stages_take_the_same_rows(spark, docs, empty, stage, tmp_path)
         assert out.columns == docs.columns
     assert 0 < out.count() <= docs.count()
     assert f(spark, empty, str(tmp_path)).count() == 0
+
+
+def test_cleaned_text_in_four_languages(spark):
+    keep = "A plain line of text that stays.\n\n  \nUna línea que queda.\nEine Zeile, die bleibt."
+    gone = ["Read more", "Tous droits réservés.", "Leer más", "Datenschutzerklärung", "HOME NEWS SPORT NOW", "a | b | c", "Wir verwenden Cookies", "#### $$$$"]
+    stay = ["spread moreover", "unanmeldenden Wort", "tout droits réservés"]
+    rows = [(1, keep), (2, "\n".join([gone[0], *keep.split("\n"), *gone[1:], *stay])), (3, "\n".join(gone)), (4, "\n".join(gone * 2000))]
+    q = {r.doc_id: r for r in quality_rules.apply_rules(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert q[1].clean_text == keep and q[1].n_failed_lines == 0
+    assert q[2].clean_text == "\n".join([keep, *stay]) and q[2].n_failed_lines == len(gone)
+    assert q[3].clean_text == "" and q[4].clean_text == "" and q[4].n_failed_lines == 2000 * len(gone)
+    own = quality_rules.apply_rules(spark.createDataFrame([(1, "Klikk her\nread more")], "doc_id long, text string"), menu_phrases=("klikk her",), notice_phrases=())
+    assert own.first().clean_text == "read more"
