@@ -6,17 +6,21 @@ page; the two ratios, smoothed over neighbouring nodes in page order and fused
 (their geometric mean), score the nodes, and nodes above a threshold taken from the
 page's own scores are selected. The region is the smallest element that holds
 all selected nodes, widened to the article around it. The main text is the selected
-nodes, the rest of containers (div, section, article) whose text is selected by half
-or more, and short runs of text between them, so that a heading or a short paragraph is not lost. Left out by
-their tag: scripts, styles, navigation, footers, asides, controls. Forms, page
-headers and elements whose class, id or role names navigation, sidebars, adverts, notices
-or reader comments are left out unless half of the page's selected text or more is inside
-and no article or main element beside them has selected text.
+nodes, the rest of the article (in other regions: of the containers, div or section,
+that hold a selected node), and short runs of text between these, so that a heading, a
+list or a short paragraph is not lost; of that rest, groups made half or more of links
+stay out, as menus do. Left out by their tag: scripts, styles, navigation, footers,
+asides, controls. Forms, page headers and elements whose class, id or role names
+navigation, sidebars, adverts or notices are left out unless half of the page's selected
+text or more is inside and no article or main element beside them has selected text.
+Elements named as reader comments are left out however long they are, if anything
+selected lies outside them.
 
 Character references are decoded, white space inside a block becomes one
 space, blocks are joined by one line feed. Null or empty html, or a page
 without text: the empty text. Equal rows give equal results, one each. Extra
-columns are not read. Whole pages are read; every page is one row of its task.
+columns are not read. Whole pages are read; every page is one row of its task. The
+time is in proportion to the page, however deep its elements nest.
 """
 
 from __future__ import annotations
@@ -39,6 +43,7 @@ CLOSES_P = BLOCK - {"body", "html", "caption", "tbody", "td", "tfoot", "th", "th
 HIDDEN = frozenset("""script style noscript template head title nav footer aside button select textarea option iframe object svg
 math canvas audio video dialog menu noframes datalist input label""".split())
 FORM = frozenset(("form", "fieldset"))
+GROUP = frozenset("ul ol menu dl table div section article main body html".split()) | {""}
 CONTAINER = frozenset(("div", "section", "article", "main", "body", "html", ""))
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
             "option": {"option"}, "tbody": {"tbody", "thead", "tr", "td", "th"}, "thead": {"tr"}, "tfoot": {"tbody", "tr", "td", "th"}}
@@ -50,17 +55,28 @@ FURNITURE = re.compile(
     r"sidebar\w*|side-?bar|rail|complementary|nav|navbar|navigation|menus?|breadcrumbs?|pagination|pager|toolbar|masthead|"
     r"footer\w*|contentinfo|comments?|commentlist|comment-?list|disqus\w*|repl(?:y|ies)|respond|"
     r"share|sharing|social|related|recommend\w*|newsletter|subscribe|subscription|popup|modal|overlay|login|signup|search|widgets?)(?![a-z])", re.I)
+# names that are those of reader comments as a whole
+COMMENTS = re.compile(r"(?:user-?|reader-?)?(?:comments?|comment-?list|comments?[-_](?:area|section|list|wrap\w*|threads?|container|block|box)|"
+                      r"disqus\w*|repl(?:y|ies)|respond|responses)", re.I)
 HEADER = re.compile(r"(?<![a-z])(site|page|top)?[-_]?header(?![a-z])", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？؛،]")
 SPACE = re.compile(r"\s+")
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "path", "hidden", "named")
+    """An open or closed element; what its ancestors say is taken over when it opens."""
 
-    def __init__(self, tag, parent, hidden, named):
-        self.tag, self.parent, self.hidden, self.named = tag, parent, hidden, named
-        self.path = (parent.path + "/" if parent else "") + tag
+    __slots__ = ("tag", "parent", "path", "depth", "hidden", "named", "comments", "article", "link", "block_at", "home", "group",
+                 "mass", "above", "below", "out", "within")
+
+    def __init__(self, tag, parent, path, hidden, named, comments):
+        self.tag, self.parent, self.path, self.hidden, self.named, self.comments = tag, parent, path, hidden, named, comments
+        self.depth = parent.depth + 1 if parent else 0
+        self.article = tag in ("article", "main") or (parent is not None and parent.article)
+        self.link = tag == "a" or (parent is not None and parent.link)
+        self.block_at = self.depth if tag in BLOCK else parent.block_at if parent else 0  # stack place of the nearest block
+        self.home = self if tag in CONTAINER else parent.home
+        self.group = self if tag in GROUP else parent.group
 
 
 class _Page(HTMLParser):
@@ -68,64 +84,63 @@ class _Page(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack = [_Element("", None, False, False)]
+        root = _Element("", None, 0, False, False, False)
+        self.stack, self.elements = [root], [root]  # elements: parents before children
+        self.open: dict[str, list[int]] = defaultdict(list)  # stack places of each tag
+        self.paths: dict[tuple[int, str], int] = {}
         self.nodes: list[tuple[_Element, int, str]] = []
         self.block = 0
 
     def _pop_to(self, depth: int) -> None:
         for e in self.stack[depth:]:
+            self.open[e.tag].pop()
             if e.tag in BLOCK:
                 self.block += 1
         del self.stack[depth:]
 
+    def _last(self, tags) -> int:
+        return max((self.open[t][-1] for t in tags if self.open[t]), default=0)
+
     def _implied_end(self, tag: str) -> None:
-        if tag in CLOSES_P:
-            for i in range(len(self.stack) - 1, 0, -1):
-                t = self.stack[i].tag
-                if t == "p":
-                    self._pop_to(i)
-                    break
-                if t in BLOCK:
-                    break
-        if tag in SIBLINGS:
-            for i in range(len(self.stack) - 1, 0, -1):
-                t = self.stack[i].tag
-                if t in SIBLINGS[tag]:
-                    self._pop_to(i)
-                    break
-                if t in SCOPE[tag]:
-                    break
+        if tag in CLOSES_P and self.stack[at := self.stack[-1].block_at].tag == "p":
+            self._pop_to(at)
+        if tag in SIBLINGS and (at := self._last(SIBLINGS[tag])) > self._last(SCOPE[tag]):
+            self._pop_to(at)
 
     def handle_starttag(self, tag, attrs):
         self._implied_end(tag)
         top = self.stack[-1]
         hidden = top.hidden or tag in HIDDEN
         # the header of a page is furniture, that of an article holds its heading
-        in_article = any(e.tag in ("article", "main") for e in self.stack)
-        named = tag in FORM or (tag == "header" and not in_article)
+        named = tag in FORM or (tag == "header" and not top.article)
+        comments = False
         if not hidden and tag not in ("html", "body", "article", "main"):
             for name, value in attrs:
                 if name in ("hidden", "aria-hidden") and (name == "hidden" or value == "true"):
                     hidden = True
-                elif value and name in ("class", "id", "role") and (FURNITURE.search(value) or (not in_article and HEADER.search(value))):
-                    named = True
+                elif value and name in ("class", "id", "role"):
+                    if FURNITURE.search(value) or (not top.article and HEADER.search(value)):
+                        named = True
+                    comments = comments or any(COMMENTS.fullmatch(x) for x in value.split())
         if tag in BLOCK:
             self.block += 1
         if tag == "br":
             self.nodes.append((top, self.block, " "))
         if tag not in VOID:
-            self.stack.append(_Element(tag, top, hidden, named))
+            path = self.paths.setdefault((top.path, tag), len(self.paths) + 1)
+            e = _Element(tag, top, path, hidden, named, comments)
+            self.open[tag].append(len(self.stack))
+            self.stack.append(e)
+            self.elements.append(e)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)  # "<p/>" opens a p
 
     def handle_endtag(self, tag):
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag == tag:
-                self._pop_to(i)
-                return
-            if self.stack[i].tag in ("td", "th", "table") and tag not in BLOCK:
-                return
+        at = self._last((tag,))
+        # the end of an inline element does not reach out of a table cell
+        if at and (tag in BLOCK or at > self._last(("td", "th", "table"))):
+            self._pop_to(at)
 
     def handle_data(self, data):
         self.nodes.append((self.stack[-1], self.block, data))
@@ -164,68 +179,85 @@ def _selected(nodes) -> list[bool]:
     return [s >= limit for s in scores]
 
 
-def _masses(nodes, chosen) -> tuple[dict, int]:
-    """Selected characters inside each element, and in all."""
-    mass, total = defaultdict(int), 0
+def _weigh(page, nodes, chosen) -> int:
+    """Sets the selected characters inside each element; returns those of the page."""
+    for e in page.elements:
+        e.mass = 0
+    total = 0
     for (e, _, text), on in zip(nodes, chosen, strict=True):
         if on:
-            n = len(text.strip())
-            total += n
-            while e is not None:
-                mass[e] += n
-                e = e.parent
-    return mass, total
-
-
-def _shown(nodes):
-    """The nodes without those of named elements that hold less than half of the
-    selected text, or lie beside an article with selected text."""
-    if not any(e.named for x in nodes for e in _line(x[0])):
+            e.mass += len(text.strip())
+            total += len(text.strip())
+    for e in reversed(page.elements):
+        if e.parent is not None:
+            e.parent.mass += e.mass
+    return total
+
+
+def _without(page, nodes, drop):
+    """The nodes outside the elements for which ``drop`` holds, and outside those left out before."""
+    for e in page.elements:
+        e.out = drop(e) or (e.parent is not None and e.parent.out)
+    return [x for x in nodes if not x[0].out]
+
+
+def _shown(page, nodes):
+    """The nodes without reader comments, and without those of named elements that
+    hold less than half of the selected text, or lie beside an article with
+    selected text."""
+    if any(e.comments for e in page.elements):
+        texts = [x for x in nodes if x[2].strip()]
+        total = _weigh(page, texts, _selected(texts))
+        nodes = _without(page, nodes, lambda e: e.comments and e.mass < total)
+    if not any(e.named for e in page.elements):
         return nodes
     texts = [x for x in nodes if x[2].strip()]
-    mass, total = _masses(texts, _selected(texts))
-    few = {e for x in nodes for e in _line(x[0]) if e.named and 2 * mass.get(e, 0) < max(1, total)}
-    articles = [a for a in mass if a.tag in ("article", "main") and few.isdisjoint(_line(a))]
-    beside = {e for e in mass if e.named and any(e not in _line(a) and a not in _line(e) for a in articles)}
-    return [x for x in nodes if not any(e in few or e in beside for e in _line(x[0]))]
-
-
-def _line(e):
-    """An element and those around it."""
-    while e is not None:
-        yield e
-        e = e.parent
-
-
-def _region(nodes, chosen) -> _Element | None:
+    total = _weigh(page, texts, _selected(texts))
+    for e in page.elements:
+        e.out = (e.named and 2 * e.mass < max(1, total)) or (e.parent is not None and e.parent.out)
+    # articles with selected text around, inside and beside each element
+    for e in page.elements:
+        e.above = (e.parent.above if e.parent is not None else 0) + (e.tag in ("article", "main") and e.mass > 0 and not e.out)
+        e.below = 0
+    count = 0
+    for e in reversed(page.elements):
+        own = e.tag in ("article", "main") and e.mass > 0 and not e.out
+        count += own
+        e.below += own
+        if e.parent is not None:
+            e.parent.below += e.below
+    return _without(page, nodes, lambda e: e.named and (2 * e.mass < max(1, total) or (e.mass > 0 and count > e.above + e.below)))
+
+
+def _region(page, nodes, chosen) -> _Element | None:
     """The smallest element holding all selected nodes, widened to the article around it."""
-    mass, total = _masses(nodes, chosen)
+    total = _weigh(page, nodes, chosen)
     if not total:
         return None
-    best = max((e for e, n in mass.items() if n == total), key=lambda e: len(e.path))
-    for at in _line(best):
+    best = max((e for e in page.elements if e.mass == total), key=lambda e: e.depth)
+    at = best
+    while at is not None:
         if at.tag in ("article", "main"):
             return at
+        at = at.parent
     # a lone block or inline element: its siblings belong to the same text
     while best.parent is not None and best.tag not in ("div", "section", "td", "body", "html", ""):
         best = best.parent
     return best
 
 
-def _container(e: _Element) -> _Element:
-    return next(x for x in _line(e) if x.tag in CONTAINER)
-
-
 def _filled(nodes, chosen, whole: bool) -> list[bool]:
-    """``chosen`` with the rest of containers whose text is selected by half or
-    more, and with runs between two chosen nodes that are shorter than these together.
-    ``whole``: the nodes are those of an article, a run at its ends needs one neighbour."""
+    """``chosen`` with the rest of the text: of the article (``whole``), else of
+    containers that hold a chosen node. Of that rest, groups made half or more of
+    links stay out, unless in a run between chosen nodes that is shorter than
+    these together (in an article, a run at its ends needs one neighbour)."""
     size = [len(x[2].strip()) for x in nodes]
-    home = [_container(x[0]) for x in nodes]
-    most = defaultdict(int)
-    for c, n, on in zip(home, size, chosen, strict=True):
-        most[c] += n if on else -n
-    out = [on or most[c] >= 0 for c, on in zip(home, chosen, strict=True)]
+    links, held = defaultdict(int), set()
+    for (e, _, _), n, on in zip(nodes, size, chosen, strict=True):
+        links[e.group] += n if e.link else -n
+        if on:
+            held.add(e.home)
+    out = [on or ((whole or e.home in held) and links[e.group] < 0) for (e, _, _), on in zip(nodes, chosen, strict=True)]
     at = [i for i, on in enumerate(out) if on]
     for lo, hi in zip([-1, *at], [*at, len(nodes)], strict=True):
         ends = [i for i in (lo, hi) if 0 <= i < len(nodes)]
@@ -240,18 +272,19 @@ def extract(html: str | None) -> str:
     page = _Page()
     page.feed(html)
     page.close()
-    nodes = _shown([x for x in page.nodes if not x[0].hidden])
+    nodes = _shown(page, [x for x in page.nodes if not x[0].hidden])
     texts = [x for x in nodes if x[2].strip()]
     chosen = _selected(texts)
-    region = _region(texts, chosen)
+    region = _region(page, texts, chosen)
     if region is None:
         return ""
-    within = [any(e is region for e in _line(x[0])) for x in nodes]
-    inside = [i for i, on in enumerate(chosen) if any(e is region for e in _line(texts[i][0]))]
-    keep = iter(_filled([texts[i] for i in inside], [chosen[i] for i in inside], region.tag in ("article", "main")))
+    for e in page.elements:
+        e.within = e is region or (e.parent is not None and e.parent.within)
+    inside = [(x, on) for x, on in zip(texts, chosen, strict=True) if x[0].within]
+    keep = iter(_filled([x for x, _ in inside], [on for _, on in inside], region.tag in ("article", "main")))
     blocks: dict[int, list[str]] = {}
-    for (_, block, text), on in zip(nodes, within, strict=True):
-        if on and (not text.strip() or next(keep)):
+    for e, block, text in nodes:
+        if e.within and (not text.strip() or next(keep)):
             blocks.setdefault(block, []).append(text)
     out = (SPACE.sub(" ", "".join(parts)).strip() for parts in blocks.values())
     return "\n".join(x for x in out if x)

@@ -304,7 +304,12 @@ def test_extracts_all_selected_nodes():
     page = f"<body><div><div class=lead><p>{lead}</p></div><div class=body><p>{body}</p><p>{body}</p></div></div></body>"
     text = "\n".join([lead, body.strip(), body.strip()])
     assert html_extract.extract(page) == text
-    # a long list without marks is not the article's for lying in it; its ends are smoothed with their neighbours
+    # a list of the article stays whole, in an article and in a named div
+    items = [f"item {i} of the list without marks" for i in range(30)]
+    listed = f"<p>{body}</p><ul>{''.join(f'<li>{x}' for x in items)}</ul><p>{body}</p>"
+    for around in ("<article>{}</article>", "<div class=post>{}</div>"):
+        assert html_extract.extract(f"<body>{around.format(listed)}</body>") == "\n".join([body.strip(), *items, body.strip()])
+    # a long list of links is not the article's for lying in it; its ends are smoothed with their neighbours
     links = "<div><ul>" + "<li><a>Another page of this site</a>" * 40 + "</ul></div>"
     got = html_extract.extract(f"<article><div><p>{body}</p></div>{links}<div><p>{body}</p></div></article>").split("\n")
     assert got[0] == got[-1] == body.strip() and len(got) <= 4
@@ -318,6 +323,35 @@ def test_a_name_or_form_does_not_hide_the_content(name):
     assert html_extract.extract(f"<body><form><div><p>{body}</p>{side}</div></form></body>") == body.strip()
 
 
+@pytest.mark.parametrize("page", [
+    "<article>{body}<section id=comments>{comments}</section></article>", "<article>{body}</article><div class='comments-area wide'>{comments}</div>",
+    "<div><div class=post>{body}</div><div id=comments>{comments}</div></div>", "<main>{body}<ol class=commentlist>{comments}</ol></main>"])
+def test_reader_comments_stay_out_however_long(page):
+    body = "<p>A sentence, of the body; with marks. It is the article's own, and short.</p>"
+    comments = "".join(f"<div class=comment><p>Reader {i} writes, at length, on this and that; and more. {'Well, yes. ' * 30}</p></div>" for i in range(8))
+    assert html_extract.extract(f"<body>{page.format(body=body, comments=comments)}</body>") == body[3:-4]
+
+
+def test_a_name_that_mentions_comments_does_not_hide_the_content():
+    body = "A sentence, of the body; with marks. " * 6
+    for name in ("post comments-open", "has-comments", "comments"):
+        assert html_extract.extract(f"<body><div class='{name}'><p>{body}</p></div></body>") == body.strip()
+
+
+@pytest.mark.parametrize("piece", ["<font><p>{}</p>", "<div>{}", "<b><i>{}", "<ul><li>{}", "<span>{}</p>", "<table><tr><td>{}"])
+def test_unclosed_elements_take_linear_time(piece):
+    import time
+
+    def seconds(n):
+        page = "<body>" + "".join(piece.format(f"A line, number {i}; with marks. ") for i in range(n))
+        t = time.process_time()
+        assert html_extract.extract(page).count("with marks") == n
+        return time.process_time() - t
+
+    seconds(500)
+    assert seconds(25_000) < 25  # about a megabyte
+
+
 def test_extracts_from_odd_pages():
     assert html_extract.extract(None) == html_extract.extract("") == html_extract.extract("<html><body></body></html>") == ""
     assert html_extract.extract("plain text, no markup") == "plain text, no markup"
