@@ -64,8 +64,14 @@ def vocabulary(counts: DataFrame) -> lm.Vocabulary:
     # the driver would send the dictionary once for each task
     by_n = counts.groupBy("n").agg(F.count(F.lit(1)).alias("k"))
     more = by_n.withColumn("s", F.sum("k").over(Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    least = more.where(F.col("s") <= DICTIONARY).agg(F.min("n")).first()[0]
-    top = counts.where(F.col("n") >= (least if least is not None else 1 << 62)).collect()
+    fits = more.where(F.col("s") <= DICTIONARY).agg(F.min("n"), F.max("s")).first()
+    least, room = fits[0] if fits[0] is not None else 1 << 62, DICTIONARY - (fits[1] or 0)
+    top = counts.where(F.col("n") >= least).collect()
+    # of the words with the next lower count, more than there is room for: a share of them by hash
+    tied = by_n.where(F.col("n") < least).orderBy(F.desc("n")).first()
+    if tied is not None:
+        share = int(1_000_000 * room / tied["k"] * 0.95)
+        top += counts.where((F.col("n") == tied["n"]) & (F.pmod(F.xxhash64("token"), F.lit(1_000_000)) < share)).limit(room).collect()
     ends = counts.groupBy(F.substring("token", -2, 2).alias("s")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()
     return lm.Vocabulary({bytes(r["token"]): r["n"] for r in top}, {bytes(r["s"]): (r["n"], r["v"]) for r in ends}, total[0] or 0, total[1])
 

@@ -40,7 +40,8 @@ class Vocabulary:
     def __post_init__(self):
         order = sorted(self.counts, key=lambda w: (-self.counts[w], w))
         head = [END] + [w for w in order if w != END][: HEAD - 1]
-        rest = [w for w in order if w not in set(head)]
+        known = set(head)
+        rest = [w for w in order if w not in known]
         tail = {s: list(v) for s, v in self.suffixes.items()}
         for w in head:  # the tail classes hold the others
             if self.counts.get(w, 0):

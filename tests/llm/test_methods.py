@@ -239,6 +239,48 @@ def test_model_is_a_distribution_and_does_not_depend_on_neighbours():
     assert np.allclose(together, alone, rtol=1e-4)
 
 
+def test_backpropagation_follows_the_numerical_gradient():
+    """The first step of a pass moves each weight against the gradient of the
+    texts' log probability, as differences of the scores give it."""
+    from instalytics.llm import recurrent_lm as lm
+
+    counts = {f"w{i}".encode(): 40 - i for i in range(30)} | {lm.END: 50}
+    ends = collections.defaultdict(lambda: [0, 0])
+    for w, k in counts.items():
+        ends[w[-2:]][0] += k
+        ends[w[-2:]][1] += 1
+    v = lm.Vocabulary(counts, {s: tuple(x) for s, x in ends.items()}, sum(counts.values()), len(counts))
+    p = lm.fresh(v)
+    texts = [v.encode([b"w%d" % ((3 * i + j * j) % 30) for j in range(min(lm.STEPS, 12) - 2)] + [b"other", lm.END]) for i in range(6)]
+    places, classes = [x[0] for x in texts], [x[1] for x in texts]
+    after = lm.train(v, p, places, classes, rate=1e-3)[0]
+    checked = 0
+    for name in ("U", "E", "Wc", "Wk", "bc", "bk"):
+        moved = (after[name] - p[name]).ravel()
+        # the entries that differences of 32-bit scores can tell: a few of the used ones
+        at = np.random.default_rng(5).choice(np.flatnonzero(moved), min(60, np.count_nonzero(moved)), replace=False)
+        for i in at:
+            side = []
+            for step in (0.05, -0.05):
+                q = {k: a.copy() for k, a in p.items()}
+                q[name].ravel()[i] += step
+                side.append(lm.score(v, q, places, classes).sum())
+            slope = (side[0] - side[1]) / 0.1
+            if abs(slope) > 0.02:
+                assert np.sign(slope) == np.sign(moved[i]), (name, i, slope, moved[i])
+                checked += 1
+    assert checked > 100
+
+
+def test_dictionary_takes_a_share_of_the_words_that_tie(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "DICTIONARY", 300)
+    d = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(2000))), (2, "often often"), (3, "often two two")], "doc_id long, text string")
+    v = lm_scoring.vocabulary(lm_scoring.token_counts(d))
+    assert 200 < len(v.counts) <= 300 and v.counts[b"often"] == 3 and v.types == 2003
+    same = lm_scoring.vocabulary(lm_scoring.token_counts(d.where("doc_id = 1")))
+    assert 200 < len(same.counts) <= 300
+
+
 def test_the_model_learns_from_every_training_document(spark):
     from instalytics.llm import recurrent_lm as lm
 
