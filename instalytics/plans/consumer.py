@@ -112,7 +112,9 @@ def order_rollup(order: DataFrame, ctx: Ctx) -> DataFrame:
     approved = F.col("status") == "APPROVED"
     tok = F.col("key_token").isNotNull()
     upto_today = approved & (F.col("par_process_date") <= F.lit(ctx.today))
-    return o.groupBy(F.col("consumer_consumer_uuid").alias("consumer_uuid")).agg(
+    # by consumer and country first, all in fixed-width buffers; the greatest country
+    # (a string, which Spark aggregates by sorting) comes from these few rows
+    one = o.groupBy(F.col("consumer_consumer_uuid").alias("consumer_uuid"), "country_code").agg(
         any_when(in180).alias("_has_180d"),
         count_when(in180 & tok & approved).alias("c_order_cnt_180d"),
         count_when(in180 & tok & (F.col("status_reason") == "INSUFFICIENT_FUNDS"))
@@ -122,9 +124,15 @@ def order_rollup(order: DataFrame, ctx: Ctx) -> DataFrame:
         F.sum(F.when(in180 & approved, F.col("consumer_total_amount_amount").cast(D10))).cast(D20)
         .alias("c_order_amt_180d"),
         any_when(upto_today).alias("_has_latest"),
-        F.max(F.when(upto_today, F.col("country_code"))).alias("country_code"),
         F.max(F.when(upto_today, F.col(t))).alias("latest_order_datetime"),
     )
+    flags = ("_has_180d", "_has_spend", "_has_latest")
+    counts = ("c_order_cnt_180d", "c_topaz_decl_insufficent_funds_cnt_180d", "c_order_attempt_cnt_180d")
+    return one.groupBy("consumer_uuid").agg(
+        *[F.max(c).alias(c) for c in flags], *[F.sum(c).alias(c) for c in counts],
+        F.sum("c_order_amt_180d").cast(D20).alias("c_order_amt_180d"),
+        F.max(F.when(F.col("_has_latest") == 1, F.col("country_code"))).alias("country_code"),
+        F.max("latest_order_datetime").alias("latest_order_datetime"))
 
 
 def fe19_from_rollup(rollup: DataFrame) -> DataFrame:

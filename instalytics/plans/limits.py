@@ -120,9 +120,10 @@ def latest_approved_order(order: DataFrame, ctx: Ctx, status: str | None = "APPR
     o = scan(order, ctx).where(F.col("par_process_date") <= F.lit(ctx.today))
     if status is not None:
         o = o.where(F.col("status") == status)
-    return o.groupBy("consumer_consumer_uuid").agg(
-        F.max("country_code").alias("country_code"),
-        F.max("key_event_info_event_time").alias("latest_order_datetime"))
+    # by consumer and country first, a hash aggregate of one number, so that the greatest
+    # country (a string, which Spark aggregates by sorting) is taken from these few rows
+    one = o.groupBy("consumer_consumer_uuid", "country_code").agg(F.max("key_event_info_event_time").alias("_t"))
+    return one.groupBy("consumer_consumer_uuid").agg(F.max("country_code").alias("country_code"), F.max("_t").alias("latest_order_datetime"))
 
 
 def limit_asof(base: DataFrame, fe09: DataFrame, ctx: Ctx) -> DataFrame:

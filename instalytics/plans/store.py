@@ -23,6 +23,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from . import files
 from .materialize import checkpoint_root
@@ -92,7 +93,7 @@ class RunStore:
     def _read(self, entry: dict) -> DataFrame:
         path = f"{self.path}/{entry['folder']}"
         if not entry["buckets"]:
-            return self.spark.read.parquet(path)
+            return self.spark.read.schema(StructType.fromJson(json.loads(entry["schema"]))).parquet(path)
         # the session's catalog learns the layout of the files, whichever session wrote them
         view = f"s_{entry['folder'].replace('-', '_')}"
         if not self.spark.catalog.tableExists(view):

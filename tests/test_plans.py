@@ -119,3 +119,17 @@ def test_payments_are_filtered_by_the_instalments_before_their_exchange(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_the_order_history_is_not_sorted(spark, ctx):
+    """FE10's latest order and the rollup reduce orders by hash aggregates; what
+    is sorted is one row per consumer and country."""
+    from instalytics.plans.consumer import order_rollup
+    from instalytics.plans.limits import latest_approved_order
+    from instalytics.sources.testdata import build_sources
+
+    order = build_sources(spark, "/root/testdata/sf0.001", ctx).order
+    for df in (latest_approved_order(order, ctx), order_rollup(order, ctx)):
+        lines = df._jdf.queryExecution().sparkPlan().toString().splitlines()
+        aggs = [line for line in lines if "Aggregate(" in line]
+        assert "SortAggregate" in aggs[0] and all("HashAggregate" in a for a in aggs[2:]) and len(aggs) == 4, "\n".join(aggs)
