@@ -70,9 +70,11 @@ def feature_set(spark: SparkSession, sf_dir: str, ctx: Ctx | None = None) -> Fea
 
 
 def run_store(spark: SparkSession, sf_dir: str, ctx: Ctx | None = None) -> RunStore:
+    """The store of this application's registered queries over one set of
+    tables; it goes when the process ends, so no other application shares it."""
     ensure_checkpoint_dir(spark)
     tables = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in TEST_TABLES]
-    return RunStore(spark, run_key(spark, tables, ctx or default_ctx(materialize=True)))
+    return RunStore(spark, run_key(spark, tables, ctx or default_ctx(materialize=True), spark.sparkContext.applicationId))
 
 
 def _feature_query(key: str) -> Callable[[SparkSession, str], DataFrame]:

@@ -2,7 +2,7 @@
 
 ``RunStore`` keeps the tables that several features read below the shared
 checkpoint folder, in a folder named by a digest of the run's inputs (path,
-length and time of every file) and its context (clock, region, zones). A table
+length and time of every file), its context (clock, region, zones) and the code. A table
 is in the store once its entry file ``<name>.json`` is published; an entry names
 the folder of its rows, so a half-written table is never read, and of two
 sessions that write the same one the first to publish is kept. A later query, or
@@ -21,6 +21,8 @@ import hashlib
 import json
 import uuid
 from collections.abc import Callable
+from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -31,9 +33,22 @@ from .materialize import checkpoint_root
 _OPEN: dict[str, RunStore] = {}
 
 
-def run_key(spark: SparkSession, inputs: list[str], context) -> str:
+@lru_cache(maxsize=1)
+def _code() -> str:
+    """Digest of the package's plans, so that other code does not read what this one wrote."""
+    h = hashlib.sha256()
+    root = Path(__file__).parent.parent
+    for part in ("", "functions", "operators", "plans", "sources"):
+        for f in sorted((root / part).glob("*.py")):
+            h.update(f.name.encode() + f.read_bytes())
+    return h.hexdigest()
+
+
+def run_key(spark: SparkSession, inputs: list[str], context, owner: str = "") -> str:
+    """Digest of the inputs' files, the context and the code. With an ``owner``
+    (as an application's id) the store is for that one alone."""
     seen = [files.fingerprint(spark, p) for p in sorted(inputs)]
-    return hashlib.sha256(json.dumps([sorted(inputs), seen, str(context)], default=str).encode()).hexdigest()[:32]
+    return hashlib.sha256(json.dumps([sorted(inputs), seen, str(context), owner, _code()], default=str).encode()).hexdigest()[:32]
 
 
 class RunStore:
