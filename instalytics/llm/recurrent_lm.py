@@ -23,7 +23,8 @@ HEAD, WIDE, TAIL = 512, 32, 48
 H = 24
 STEPS = 16
 LANES = 256
-WINDOW = 128
+WINDOW = 32
+ROWS = 2048
 
 
 @dataclass
@@ -142,21 +143,50 @@ class _Grid:
 
 
 def _sigmoid(x):
-    return 1 / (1 + np.exp(-x))
+    """In place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def _step(p, x, h):
     """One step of all lanes; what backpropagation needs."""
-    e, hu = p["E"][x], h @ p["U"]
+    e, hu = p["E"].take(x, 0), h @ p["U"]
     zr = _sigmoid(e[:, : 2 * H] + hu[:, : 2 * H])
     z, r = zr[:, :H], zr[:, H:]
-    n = np.tanh(e[:, 2 * H :] + r * hu[:, 2 * H :])
-    return n + z * (h - n), z, r, n, hu[:, 2 * H :]
+    n = r * hu[:, 2 * H :]
+    n += e[:, 2 * H :]
+    np.tanh(n, out=n)
+    nxt = h - n
+    nxt *= z
+    nxt += n
+    return nxt, z, r, n, hu[:, 2 * H :]
 
 
-def _log_softmax(a):
-    a = a - a.max(1, keepdims=True)
-    return a - np.log(np.exp(a).sum(1, keepdims=True))
+def _softmax(a):
+    """In place."""
+    a -= a.max(1, keepdims=True)
+    np.exp(a, out=a)
+    a /= a.sum(1, keepdims=True)
+    return a
+
+
+def _head_rows(k, head):
+    """Rows of head words in the order of their class, and where each class begins."""
+    order = np.flatnonzero(head)
+    order = order[np.argsort(k[order], kind="stable")]
+    return order, np.searchsorted(k[order], np.arange(HEAD // WIDE + 1))
+
+
+def _head_logits(p, s, k, cuts):
+    """Logits inside their class of rows in the order of the class."""
+    out = np.empty((len(s), WIDE), np.float32)
+    for c in range(HEAD // WIDE):
+        if cuts[c] < cuts[c + 1]:
+            np.matmul(s[cuts[c] : cuts[c + 1]], p["Wk"][c], out=out[cuts[c] : cuts[c + 1]])
+    out += p["bk"][k]
+    return out
 
 
 def score(v: Vocabulary, p: dict, places: list[np.ndarray], classes: list[np.ndarray]) -> np.ndarray:
@@ -172,87 +202,118 @@ def score(v: Vocabulary, p: dict, places: list[np.ndarray], classes: list[np.nda
         hi = min(lo + WINDOW, grid.steps)
         n, live, flat = grid.window(lo, hi)
         x, new = grid.x[flat], grid.new[flat] & live
+        keep = (~new[:, :, None]).astype(np.float32)
         states = np.empty((hi - lo, n, H), np.float32)
         h = h[:n]
         for t in range(hi - lo):
-            h = np.where(new[t, :, None], np.float32(0), h)
-            states[t] = h
-            h = _step(p, x[t], h)[0]
+            np.multiply(h, keep[t], out=states[t])
+            h = _step(p, x[t], states[t])[0]
         s, flat = states[live], flat[live]
         d, k, a = grid.doc[flat], grid.cls[flat], grid.at[flat]
-        logits = s @ p["Wc"] + p["bc"]
-        ln = logits[np.arange(len(s)), k] - np.log(np.exp(logits).sum(1))
+        ln = np.empty(len(s))
+        for i in range(0, len(s), ROWS):  # what stays in the cache
+            logits = s[i : i + ROWS] @ p["Wc"]
+            logits += p["bc"]
+            ln[i : i + ROWS] = logits[np.arange(len(logits)), k[i : i + ROWS]]
+            np.exp(logits, out=logits)
+            ln[i : i + ROWS] -= np.log(logits @ np.ones(v.classes, np.float32))
         head = (a >= 0) & (a < v.n_head)
-        ln = ln.astype(np.float64) + np.where(head | (a < 0), 0.0, v.log_share[a])
-        order = np.flatnonzero(head)
-        order = order[np.argsort(k[order], kind="stable")]
-        cuts = np.searchsorted(k[order], np.arange(HEAD // WIDE + 1))
-        for c in range(HEAD // WIDE):
-            rows = order[cuts[c] : cuts[c + 1]]
-            if len(rows):
-                w = s[rows] @ p["Wk"][c] + p["bk"][c]
-                w -= w.max(1, keepdims=True)
-                ln[rows] += w[np.arange(len(rows)), a[rows] - c * WIDE] - np.log(np.exp(w).sum(1))
+        ln += np.where(head | (a < 0), 0.0, v.log_share[a])
+        order, cuts = _head_rows(k, head)
+        w = _head_logits(p, s[order], k[order], cuts)
+        w -= w.max(1, keepdims=True)
+        ln[order] += w[np.arange(len(w)), a[order] % WIDE]
+        np.exp(w, out=w)
+        ln[order] -= np.log(w @ np.ones(WIDE, np.float32))
         total += np.bincount(d, ln, len(total))
     return total
 
 
+def _packed(p: dict) -> tuple[dict, np.ndarray]:
+    """A copy of the weights in one array, and the views of each."""
+    flat = np.concatenate([a.ravel() for a in p.values()])
+    ends = np.cumsum([a.size for a in p.values()])
+    return {k: flat[end - a.size : end].reshape(a.shape) for (k, a), end in zip(p.items(), ends, strict=True)}, flat
+
+
 def train(v: Vocabulary, p: dict, places: list[np.ndarray], classes: list[np.ndarray], lanes: int = 64, rate: float = 0.01) -> tuple[dict, int]:
     """One pass over the texts from the weights ``p``; the new weights and the number of tokens."""
-    p = {k: a.copy() for k, a in p.items()}
+    p, flat_p = _packed(p)
+    g, flat_g = _packed(p)
+    m1, m2, step = np.zeros_like(flat_p), np.zeros_like(flat_p), np.empty_like(flat_p)
     if not places:
         return p, 0
     deal = lay_out([len(a) for a in places], lanes)
     grid = _Grid(deal, places, classes, v)
-    m1, m2 = {k: np.zeros_like(a) for k, a in p.items()}, {k: np.zeros_like(a) for k, a in p.items()}
     h = np.zeros((grid.lanes, H), np.float32)
     for i, lo in enumerate(range(0, grid.steps, STEPS)):
         hi = min(lo + STEPS, grid.steps)
         n, live, flat = grid.window(lo, hi)
         x, new = grid.x[flat], grid.new[flat] & live
-        h, saved, states = h[:n], [], []
+        keep = (~new[:, :, None]).astype(np.float32)
+        states, z, r, new_h, hun = (np.empty((hi - lo, n, H), np.float32) for _ in range(5))
+        h = h[:n]
         for t in range(hi - lo):
-            keep = (~new[t, :, None]).astype(np.float32)
-            h = h * keep
-            nxt, z, r, c, hun = _step(p, x[t], h)
-            saved.append((h, z, r, c, hun, keep))
-            states.append(h)
-            h = nxt
-        g = {k: np.zeros_like(a) for k, a in p.items()}
-        s, k, a = np.array(states)[live], grid.cls[flat[live]], grid.at[flat[live]]
+            np.multiply(h, keep[t], out=states[t])
+            h, z[t], r[t], new_h[t], hun[t] = _step(p, x[t], states[t])
+        flat_g[:] = 0
+        s, k, a = states[live], grid.cls[flat[live]], grid.at[flat[live]]
         size = np.float32(1 / max(1, len(s)))
-        d = np.exp(_log_softmax(s @ p["Wc"] + p["bc"]))
+        d = s @ p["Wc"]
+        d += p["bc"]
+        d = _softmax(d)
         d[np.arange(len(s)), k] -= 1
         d *= size
-        g["Wc"], g["bc"] = s.T @ d, d.sum(0)
+        g["Wc"][:], g["bc"][:] = s.T @ d, d.sum(0)
         ds = d @ p["Wc"].T
-        head = (a >= 0) & (a < v.n_head)
-        for c in np.unique(k[head]):
-            rows = np.flatnonzero(head & (k == c))
-            d = np.exp(_log_softmax(s[rows] @ p["Wk"][c] + p["bk"][c]))
-            d[np.arange(len(rows)), a[rows] - c * WIDE] -= 1
-            d *= size
-            g["Wk"][c], g["bk"][c] = s[rows].T @ d, d.sum(0)
-            ds[rows] += d @ p["Wk"][c].T
+        order, cuts = _head_rows(k, (a >= 0) & (a < v.n_head))
+        sh = s[order]
+        d = _softmax(_head_logits(p, sh, k[order], cuts))
+        d[np.arange(len(order)), a[order] % WIDE] -= 1
+        d *= size
+        dsh = np.empty_like(sh)
+        for c in range(HEAD // WIDE):
+            part = slice(cuts[c], cuts[c + 1])
+            if cuts[c] < cuts[c + 1]:
+                g["Wk"][c], g["bk"][c] = sh[part].T @ d[part], d[part].sum(0)
+                dsh[part] = d[part] @ p["Wk"][c].T
+        ds[order] += dsh
         out = np.zeros((hi - lo, n, H), np.float32)
         out[live] = ds
-        dh = np.zeros((n, H), np.float32)
+        # the factors of all steps at once; what is left for the steps is the chain of dh
+        on = live[:, :, None]
+        to_n = (1 - z) * (1 - new_h * new_h) * on
+        to_z = (states - new_h) * z * (1 - z) * on
+        to_r = hun * r * (1 - r)
+        dx, dhu = np.empty((2, hi - lo, n, 3 * H), np.float32)
+        dh, back = np.zeros((n, H), np.float32), p["U"].T.copy()
         for t in range(hi - lo - 1, -1, -1):
-            hp, z, r, c, hun, keep = saved[t]
-            on = live[t][:, None]
-            dn = np.where(on, dh * (1 - z) * (1 - c * c), 0)
-            dz = np.where(on, dh * (hp - c) * z * (1 - z), 0)
-            dr = dn * hun * r * (1 - r)
-            dx = np.concatenate([dz, dr, dn], 1).astype(np.float32)
-            dhu = np.concatenate([dz, dr, dn * r], 1).astype(np.float32)
-            np.add.at(g["E"], x[t], dx)
-            g["U"] += hp.T @ dhu
-            dh = (dh * z + dhu @ p["U"].T + out[t]) * keep
-        norm = np.sqrt(sum(float((a * a).sum()) for a in g.values()))
-        clip = min(1.0, 1.0 / (norm + 1e-9))
-        for name in p:
-            q = g[name] * np.float32(clip)
-            m1[name] = 0.9 * m1[name] + 0.1 * q
-            m2[name] = 0.99 * m2[name] + 0.01 * q * q
-            p[name] = p[name] - np.float32(rate) * (m1[name] / (1 - 0.9 ** (i + 1))) / (np.sqrt(m2[name] / (1 - 0.99 ** (i + 1))) + 1e-6)
-    return {k: a.astype(np.float32) for k, a in p.items()}, len(grid.x)
+            dn = np.multiply(dh, to_n[t], out=dx[t, :, 2 * H :])
+            np.multiply(dh, to_z[t], out=dx[t, :, :H])
+            np.multiply(dn, to_r[t], out=dx[t, :, H : 2 * H])
+            dhu[t, :, : 2 * H] = dx[t, :, : 2 * H]
+            np.multiply(dn, r[t], out=dhu[t, :, 2 * H :])
+            dh *= z[t]
+            dh += dhu[t] @ back
+            dh += out[t]
+            dh *= keep[t]
+        g["U"][:] = states.reshape(-1, H).T @ dhu.reshape(-1, 3 * H)
+        # sums by input row: rows in order, then one sum for each run
+        order = np.argsort(x, axis=None, kind="stable")
+        rows = x.ravel()[order]
+        runs = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+        g["E"][rows[runs]] = np.add.reduceat(dx.reshape(-1, 3 * H)[order], runs)
+        flat_g *= np.float32(min(1.0, 1.0 / (np.sqrt(float(flat_g @ flat_g)) + 1e-9)))
+        m1 *= np.float32(0.9)
+        m1 += np.multiply(flat_g, np.float32(0.1), out=step)
+        m2 *= np.float32(0.99)
+        np.multiply(flat_g, flat_g, out=step)
+        step *= np.float32(0.01)
+        m2 += step
+        np.multiply(m2, np.float32(1 / (1 - 0.99 ** (i + 1))), out=step)
+        np.sqrt(step, out=step)
+        step += np.float32(1e-6)
+        np.divide(m1, step, out=step)
+        step *= np.float32(rate / (1 - 0.9 ** (i + 1)))
+        flat_p -= step
+    return {k: a.copy() for k, a in p.items()}, len(grid.x)

@@ -296,7 +296,7 @@ def _class_shares(v, p):
 
     at, cls, _ = v.encode([b"w3"])
     h = lm._step(p, v.inputs(at, cls), np.zeros((1, lm.H), np.float32))[0]
-    q = np.exp(lm._log_softmax(h @ p["Wc"] + p["bc"]))[0]
+    q = lm._softmax(h @ p["Wc"] + p["bc"])[0]
     return {k: q[k] for k in range(lm.HEAD // lm.WIDE, v.classes)}
 
 
