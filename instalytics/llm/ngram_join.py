@@ -13,9 +13,11 @@ the Jaccard similarity of their sets is ``threshold`` or more.
    The number of runs follows from the target recall.
 3. Texts of a bucket whose tokens agree in ``screen`` or more are joined into
    candidate components. Within those all pairs are compared exactly, in pairs
-   of blocks of 256, so nothing is lost between texts of a component, and no
-   list of pairs is made: a block pair yields a forest of verified links and
-   the number of links of each text.
+   of blocks, so nothing is lost between texts of a component, and no list of
+   pairs is made: a block pair yields a forest of verified links and the number
+   of links of each text. Blocks hold 256 texts, in components of more than 64
+   such blocks up to 2,048, and 16 megabytes: a text is sent once to each block
+   of its component, and two blocks fit in a task.
 4. The components of verified links are the classes.
 
 One row per document: class_id (the least doc_id of the class), n_links (other
@@ -46,7 +48,7 @@ RECALL = 0.999
 SCREEN = 0.62
 LEAF = 500
 LEVELS = 3
-BLOCK = 256
+BLOCK, WIDEST, GRID, BLOCK_BYTES = 256, 2048, 64, 1 << 24
 
 _rng = np.random.default_rng(20)
 _MUL = _rng.integers(1 << 62, size=TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -103,16 +105,17 @@ def _embed(batches):
                     sig[rows, t] = np.minimum.reduceat(((flat * _MUL[t] + _ADD[t]) >> np.uint64(32)).astype(np.uint32), at)
         yield pa.RecordBatch.from_arrays(
             [pa.array([hashlib.md5(t).hexdigest() for t in texts]), batch.column("doc_id"), pa.array(wordy),
-             pa.array([s.tobytes() for s in sig], pa.binary())], names=["key", "doc_id", "wordy", "sig"])
+             pa.array([s.tobytes() for s in sig], pa.binary()), pa.array([len(t) for t in texts], pa.int64())],
+            names=["key", "doc_id", "wordy", "sig", "size"])
 
 
 def embed(docs: DataFrame) -> DataFrame:
-    """key, copies, first_id, wordy, sig of each distinct text."""
+    """key, copies, first_id, wordy, sig, size of each distinct text."""
     src = docs.select("doc_id", "text").where("text is not null")
     kind = src.schema["doc_id"].dataType.simpleString()
-    rows = src.mapInArrow(_embed, f"key string, doc_id {kind}, wordy boolean, sig binary")
+    rows = src.mapInArrow(_embed, f"key string, doc_id {kind}, wordy boolean, sig binary, size long")
     return rows.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id"),
-                                   F.max("wordy").alias("wordy"), F.min("sig").alias("sig"))
+                                   F.max("wordy").alias("wordy"), F.min("sig").alias("sig"), F.max("size").alias("size"))
 
 
 def runs_for(recall: float = RECALL, threshold: float = THRESHOLD) -> int:
@@ -269,18 +272,29 @@ def _exact(threshold):
             cols = {c: g.column(c).to_pylist() for c in ("key", "text", "copies", "side")}
             order = sorted(range(len(cols["key"])), key=lambda i, c=cols: (c["side"][i], c["key"][i]))
             keys = [cols["key"][i] for i in order]
-            side = np.array([cols["side"][i] for i in order])
             copies = np.array([cols["copies"][i] for i in order], np.int64)
             sets = [np.unique(shingles(cols["text"][i].encode(), words)) for i in order]
             size = np.array([len(s) for s in sets], np.int64)
-            common = _intersections(sets)
-            link = common >= threshold * (size[:, None] + size[None, :] - common) - 1e-9
             # side 0 and 1 are two blocks: only pairs across; side 2 is one block: all its pairs
-            link &= (side[:, None] != side[None, :]) | (side[:, None] == 2)
-            np.fill_diagonal(link, False)
+            one = cols["side"][order[0]] == 2
+            cut = len(keys) if one else sum(cols["side"][i] == 0 for i in order)
+            rest = slice(0 if one else cut, len(keys))
+            if cut == 0 or rest.start == len(keys):  # the other block is empty: no pair
+                out["key"] += keys
+                out["links"] += [0] * len(keys)
+                out["a"] += [None] * len(keys)
+                out["b"] += [None] * len(keys)
+                continue
+            common = _intersections(sets) if one else _intersections(sets[:cut], sets[rest])
+            link = common >= threshold * (size[:cut, None] + size[None, rest] - common) - 1e-9
+            if one:
+                np.fill_diagonal(link, False)
+                links = link @ copies
+            else:
+                links = np.concatenate([link @ copies[rest], copies[:cut] @ link])
             out["key"] += keys
-            out["links"] += (link @ copies).tolist()
-            edges = _stars(len(keys), ((i, np.flatnonzero(link[i, :i])) for i in range(len(keys))))
+            out["links"] += links.tolist()
+            edges = _stars(len(keys), ((i, np.flatnonzero(link[i]) + rest.start) for i in range(cut)))
             out["a"] += [None] * len(keys) + [keys[x] for x, _ in edges]
             out["b"] += [None] * len(keys) + [keys[y] for _, y in edges]
             out["key"] += [None] * len(edges)
@@ -292,35 +306,42 @@ def _exact(threshold):
     return run
 
 
-def _intersections(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all pairwise intersections; tokens of one set only are left out."""
-    n = len(sets)
-    flat = np.concatenate(sets) if n else np.zeros(0, np.uint64)
-    owner = np.repeat(np.arange(n), [len(s) for s in sets])
-    order = np.argsort(flat, kind="stable")
-    flat, owner = flat[order], owner[order]
-    new = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]]) if len(flat) else np.zeros(0, int)
-    width = np.diff(np.r_[new, len(flat)])
-    common = np.zeros((n, n), np.int64)
-    np.fill_diagonal(common, [len(s) for s in sets])
-    keep = np.repeat(width > 1, width)
-    token = np.repeat(np.cumsum(width > 1) - 1, width)[keep]
-    owner = owner[keep]
-    total = int((width > 1).sum())
-    for lo in range(0, total, 8192):
-        here = slice(*np.searchsorted(token, [lo, lo + 8192]))
-        m = np.zeros((n, min(8192, total - lo)), np.float32)
-        m[owner[here], token[here] - lo] = 1
-        common += (m @ m.T).astype(np.int64) * (1 - np.eye(n, dtype=np.int64))
-    return common
+def _intersections(left: list[np.ndarray], right: list[np.ndarray] | None = None) -> np.ndarray:
+    """Sizes of the intersections of every set on the left with every one on the
+    right (None: the left ones again, where the diagonal is of no use); tokens
+    that can be in no intersection are left out."""
+    if right is None:
+        right = left
+        both, n = np.unique(np.concatenate(left), return_counts=True)
+        both = both[n > 1]
+    else:
+        both = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), assume_unique=True)
+    out = np.zeros((len(left), len(right)), np.int64)
+    step = max(64, (1 << 23) // max(out.shape))
+    for lo in range(0, len(both), step):
+        some = both[lo : lo + step]
+        mine = _holds(left, some)
+        out += (mine @ (mine if right is left else _holds(right, some)).T).astype(np.int64)
+    return out
+
+
+def _holds(sets: list[np.ndarray], tokens: np.ndarray) -> np.ndarray:
+    """1 where a set (in order) holds one of the ``tokens`` (in order), else 0."""
+    out = np.zeros((len(sets), len(tokens)), np.float32)
+    for row, s in zip(out, sets, strict=True):
+        s = s[np.searchsorted(s, tokens[0]) : np.searchsorted(s, tokens[-1], "right")]
+        at = np.searchsorted(tokens, s)
+        row[at[tokens[at] == s]] = 1
+    return out
 
 
 def verified(texts: DataFrame, comps: DataFrame, threshold: float) -> DataFrame:
     """key, links of each text of a component, and verified edges a, b.
-    texts: key, text, copies; comps: key, comp."""
-    size = staged(comps.groupBy("comp").agg(F.count(F.lit(1)).alias("n")), "component-sizes")
+    texts: key, text, copies; comps: key, comp, size (of the text in bytes)."""
+    size = staged(comps.groupBy("comp").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")), "component-sizes")
     m = spread_join(comps, size, "comp", "n", size.agg(F.sum("n")).first()[0] or 0)
-    m = m.withColumn("k", F.ceil(F.col("n") / BLOCK).cast("int"))
+    blocks = F.greatest(F.least(F.ceil(F.col("n") / BLOCK), F.lit(GRID)), F.ceil(F.col("n") / WIDEST), F.ceil(F.col("bytes") / BLOCK_BYTES))
+    m = m.withColumn("k", blocks.cast("int"))
     m = m.withColumn("mine", F.pmod(F.xxhash64("key"), F.col("k")).cast("int"))
     # a task for each block alone and each pair of blocks
     m = m.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
@@ -338,11 +359,11 @@ def similarity_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFra
     found = buckets(sigs, threshold=threshold).join(sigs, "key").repartition("node").sortWithinPartitions("node")
     near = components(staged(found.select("node", "key", "sig").mapInArrow(_compare, "a string, b string"), "candidates"), "near")
     # the text of each member once
-    members = near.join(groups.select("key", "copies", "first_id"), "key")
+    members = near.join(groups.select("key", "copies", "first_id", "size"), "key")
     src = docs.select("doc_id", "text", F.md5("text").alias("key")).where("text is not null")
     mine = src.alias("d").join(members.alias("m"), (F.col("d.key") == F.col("m.key")) & F.col("d.doc_id").eqNullSafe(F.col("m.first_id")))
     texts = mine.select("m.key", "d.text", "m.copies").dropDuplicates(["key"])
-    checked = staged(verified(texts, near, threshold), "verified")
+    checked = staged(verified(texts, members.select("key", "comp", "size"), threshold), "verified")
     classes = components(checked.where("a is not null").select("a", "b"), "class")
     links = checked.where("key is not null").groupBy("key").agg(F.sum("links").alias("links"))
     info = (groups.select("key", "copies", "first_id").join(classes, "key", "left").join(links, "key", "left")

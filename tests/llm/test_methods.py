@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from instalytics.llm import html_extract, language_id, lm_scoring, mixing, ngram_join, range_coder, registry, sharding, token_output
 from instalytics.llm.common import shared_path
@@ -141,6 +142,37 @@ def test_large_buckets_are_split_without_losing_a_pair(spark):
     assert len(met) == 60 * 59 // 2
 
 
+def _parts(n, pairs):
+    part = list(range(n))
+    for i, j in pairs:
+        part = [part[i] if p == part[j] else p for p in part]
+    return {frozenset(i for i in range(n) if part[i] == p) for p in part}
+
+
+@pytest.mark.parametrize("sizes", [{}, {"BLOCK": 4, "GRID": 3, "WIDEST": 8}, {"BLOCK_BYTES": 900}])
+def test_links_between_blocks_of_a_component(spark, monkeypatch, sizes):
+    """Links and classes of one component do not depend on how it is cut into blocks."""
+    for k, n in sizes.items():
+        monkeypatch.setattr(ngram_join, k, n)
+    base = [f"t{i}" for i in range(60)]
+    # each text differs from the base in a few words at the end or at the start
+    texts = [" ".join(base[i % 7 :] + [f"x{i % 3}"] * (i % 5)) for i in range(40)] + ["", "alone here"]
+    keys = [f"k{i:02d}" for i in range(len(texts))]
+    copies = [1 + i % 3 for i in range(len(texts))]
+    sets = [{tuple(t.split()[j : j + 5]) for j in range(max(1, len(t.split()) - 4))} if t else set() for t in texts]
+    linked = lambda i, j: i != j and bool(sets[i] & sets[j]) and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) - 1e-9
+    want = {keys[i]: sum(copies[j] for j in range(len(keys)) if linked(i, j)) for i in range(len(keys)) if texts[i]}
+    rows = spark.createDataFrame([(k, t, c) for k, t, c in zip(keys, texts, copies, strict=True) if t], "key string, text string, copies long")
+    comps = rows.select("key", F.lit("c").alias("comp"), F.octet_length("text").cast("long").alias("size"))
+    got = ngram_join.verified(rows, comps, 0.8).cache()
+    links = {r["key"]: r["n"] for r in got.where("key is not null").groupBy("key").agg(F.sum("links").alias("n")).collect()}
+    assert links == want
+    pairs = [(keys.index(a), keys.index(b)) for a, b in got.where("a is not null").select("a", "b").collect()]
+    every = [(i, j) for i in range(len(keys)) for j in range(i) if linked(i, j)]
+    assert _parts(len(keys), pairs) == _parts(len(keys), every)
+    assert sum(want.values()) > 300
+
+
 def test_best_fit_takes_the_tightest_bin():
     assert sharding.best_fit([6, 5, 4, 3, 2], 10) == [0, 1, 0, 1, 1]
     assert sharding.best_fit([7, 6, 3, 2], 10) == [0, 1, 0, 1]
