@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import os
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +39,19 @@ def crc_mod(doc_id: str, divisor: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % F.lit(divisor)
 
 
+def one_blas_thread() -> None:
+    """For tasks with many small products: Spark gives each Python worker as many
+    BLAS threads as its executor has cores, and beside the other tasks these only
+    wait for each other. Nothing changes where numpy has no OpenBLAS of its own."""
+    folder = os.path.join(os.path.dirname(os.path.dirname(np.__file__)), "numpy.libs")
+    for name in os.listdir(folder) if os.path.isdir(folder) else []:
+        if "openblas" in name:
+            lib = ctypes.CDLL(os.path.join(folder, name))
+            for call in ("scipy_openblas_set_num_threads64_", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+                if hasattr(lib, call):
+                    getattr(lib, call)(1)
+
+
 def spread_join(rows: DataFrame, sized: DataFrame, key: str, n: str, total: int, share: int = 1000) -> DataFrame:
     """Inner join of ``rows`` with ``sized``, which has each key once and in
     ``n`` how many of the ``total`` rows have it. Keys with more than one part in

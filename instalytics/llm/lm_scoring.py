@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import recurrent_lm as lm
-from .common import crc_mod, staged, table
+from .common import crc_mod, one_blas_thread, staged, table
 
 DICTIONARY = 100_000
 ROUNDS = 3
@@ -94,6 +94,7 @@ def train(training: DataFrame, v: lm.Vocabulary) -> dict:
         start = sc.broadcast(weights)
 
         def local(batches, start=start):
+            one_blas_thread()
             p, seen, voc = start.value, 0, words.value
             for batch in batches:
                 texts = [voc.encode(_tokens(t.as_py())) for t in batch.column("text").cast(pa.binary())]
@@ -121,6 +122,7 @@ def score(docs: DataFrame, v: lm.Vocabulary, weights: dict, counts: DataFrame) -
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
+        one_blas_thread()
         voc, p = shared.value
         log_count = np.log10(voc.count + 0.5)
         row = TaskContext.get().partitionId() << 33

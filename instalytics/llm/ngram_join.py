@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import spread_join, staged, table
+from .common import one_blas_thread, spread_join, staged, table
 
 N = 5
 THRESHOLD = 0.8
@@ -258,6 +258,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
 
 def _exact(threshold):
     def run(batches):
+        one_blas_thread()
         words = _WordHash()
         out: dict[str, list] = {"key": [], "links": [], "a": [], "b": []}
 
