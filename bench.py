@@ -43,7 +43,7 @@ def main() -> None:
     times = {}
     store = catalog.run_store(spark, sf_dir)
     for name in names:
-        store.forget(keep=("src-o", "src-line", "src-events"))
+        store.forget(keep=("src-line",))
         t = time.perf_counter()
         q[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t, 3)

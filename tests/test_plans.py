@@ -133,3 +133,33 @@ def test_the_order_history_is_not_sorted(spark, ctx):
         lines = df._jdf.queryExecution().sparkPlan().toString().splitlines()
         aggs = [line for line in lines if "Aggregate(" in line]
         assert "SortAggregate" in aggs[0] and all("HashAggregate" in a for a in aggs[2:]) and len(aggs) == 4, "\n".join(aggs)
+
+
+def test_shared_join_is_narrow_and_has_partitions_by_the_size_of_its_files(spark, ctx, monkeypatch):
+    """The rows of lineitem and orders that every feature waits for carry no text, are joined
+    in as many partitions as their files need, and neither orders nor events are copied."""
+    import re
+
+    from instalytics.sources import testdata
+
+    def shared():
+        staged = {}
+
+        def stage(df, name):
+            return staged.setdefault(name, df)
+
+        testdata.build_sources(spark, "/root/testdata/sf0.001", ctx, stage)
+        return staged
+
+    def exchanges(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return [int(n) for n in re.findall(r"Exchange hashpartitioning\([^,]+, (\d+)\)", plan)]
+
+    staged = shared()
+    assert not {"o", "events"} & set(staged)
+    assert "string" not in dict(staged["line"].dtypes).values()
+    assert exchanges(staged["line"]) == [int(spark.conf.get("spark.sql.shuffle.partitions"))] * 2
+    monkeypatch.setattr(testdata, "PART_BYTES", 1000)
+    want = testdata.join_partitions(spark, "/root/testdata/sf0.001")
+    assert want > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert exchanges(shared()["line"]) == [want] * 2
