@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 
 from .common import staged, table
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ with every character listed: Java keeps single characters of a class
+# in one table, but asks range after range for each character of a text
+WORD = "[^" + "".join(rf"\x{c:02X}" for c in (*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80))) + "]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WINDOW = 13
 
