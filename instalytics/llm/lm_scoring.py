@@ -10,6 +10,8 @@ Scoring: one pass over all texts, states carried through the whole text. The
 ``DICTIONARY`` most frequent words and the model are broadcast (bounded);
 occurrences of other words are summed per document and joined to the counts.
 
+Words are split off and looked up in Arrow, ``lm.TEXTS`` texts at a time.
+
 Null text counts as empty: its only token is the end. Without a training
 document all counts are 0 and both scores use them. Equal rows give equal
 scores, one row each. Extra columns are not read.
@@ -35,21 +37,15 @@ MEETINGS = 64
 LN10 = float(np.log(10.0))
 
 
-def _tokens(text: bytes | None) -> list[bytes]:
-    out = (text or b"").lower().split()
-    out.append(lm.END)
-    return out
-
-
 def _count(batches):
-    seen: Counter = Counter()
     for batch in batches:
-        for t in batch.column("text").cast(pa.binary()).to_pylist():
-            seen.update(_tokens(t))
-            if len(seen) > 300_000:
-                yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["token", "n"])
-                seen = Counter()
-    yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["token", "n"])
+        tokens, n = [pa.array([lm.END], pa.binary())], [pa.array([batch.num_rows], pa.int64())]
+        for lo in range(0, batch.num_rows, lm.TEXTS):
+            seen = lm.words_of(batch.column("text").slice(lo, lm.TEXTS))[0].value_counts()
+            tokens.append(seen.field("values"))
+            n.append(seen.field("counts"))
+        some = pa.table({"token": pa.concat_arrays(tokens), "n": pa.concat_arrays(n)})
+        yield from some.group_by("token", use_threads=False).aggregate([("n", "sum")]).rename_columns(["token", "n"]).to_batches()
 
 
 def token_counts(training: DataFrame) -> DataFrame:
@@ -97,8 +93,8 @@ def train(training: DataFrame, v: lm.Vocabulary) -> dict:
             one_blas_thread()
             p, seen, voc = start.value, 0, words.value
             for batch in batches:
-                texts = [voc.encode(_tokens(t.as_py())) for t in batch.column("text").cast(pa.binary())]
-                p, n = lm.train(voc, p, [t[0] for t in texts], [t[1] for t in texts])
+                places, classes, _ = voc.encode_batch(batch.column("text"))
+                p, n = lm.train(voc, p, places, classes)
                 seen += n
             if seen:
                 yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % MEETINGS], pa.int32()), pa.array([seen], pa.int64()),
@@ -127,13 +123,10 @@ def score(docs: DataFrame, v: lm.Vocabulary, weights: dict, counts: DataFrame) -
         log_count = np.log10(voc.count + 0.5)
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            n_tokens, places, classes, base, known, rare, times, share = [], [], [], [], [], [], [], []
-            for text in batch.column("text").cast(pa.binary()):
-                words = _tokens(text.as_py())
-                n_tokens.append(len(words))
-                at, cls, lost = voc.encode(words)
-                places.append(at)
-                classes.append(cls)
+            n_tokens, base, known, rare, times, share = [], [], [], [], [], []
+            places, classes, unknown = voc.encode_batch(batch.column("text"))
+            for at, cls, lost in zip(places, classes, unknown, strict=True):
+                n_tokens.append(len(at))
                 has = at[at >= 0]
                 base.append(float(log_count[has].sum()))
                 known.append(int((voc.count[has] > 0).sum()))

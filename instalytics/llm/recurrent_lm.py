@@ -15,8 +15,11 @@ from __future__ import annotations
 
 import heapq
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 END = b"\n"  # can be no word
 HEAD, WIDE, TAIL = 512, 32, 48
@@ -25,6 +28,16 @@ STEPS = 16
 LANES = 256
 WINDOW = 32
 ROWS = 2048
+TEXTS = 1000
+
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of all texts (strings, null: empty), A-Z lower-cased, as bytes, and their number in each text."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, at = parts.flatten(), parts.offsets.to_numpy()
+    full = pc.not_equal(words, "")  # white space at either end leaves an empty one
+    before = np.r_[0, np.cumsum(full.to_numpy(zero_copy_only=False))]
+    return words.filter(full).cast(pa.binary()), np.diff(before[at - at[0]])
 
 
 @dataclass
@@ -84,7 +97,7 @@ class Vocabulary:
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """Place (or -1) and class of each word, and the words without a place."""
         get = self.place.get
-        at = np.array([get(w, -1) for w in words], np.int32)
+        at = np.fromiter(map(get, words, repeat(-1)), np.int32, len(words))
         cls = self.cls[at]
         lost = np.flatnonzero(at < 0)
         unknown = [words[i] for i in lost]
@@ -92,6 +105,29 @@ class Vocabulary:
             cls[lost] = [self.class_of(w) for w in unknown]
         return at, cls, unknown
 
+    def encode_texts(self, texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray], list[list[bytes]]]:
+        """As ``encode`` for the words of each text and the end, all texts at once."""
+        words, counts = words_of(texts)
+        places = pc.index_in(words, value_set=pa.array(list(self.place), pa.binary()))
+        at = pc.fill_null(places, -1).to_numpy().astype(np.int32)
+        cls = self.cls[at]
+        lost = np.flatnonzero(at < 0)
+        unknown = words.take(pa.array(lost)).to_pylist()
+        cls[lost] = [self.class_of(w) for w in unknown]
+        ends = np.cumsum(counts)
+        parts = np.searchsorted(lost, np.r_[0, ends]).tolist()
+        at, cls = np.insert(at, ends, 0), np.insert(cls, ends, self.cls[0])  # the end has place 0
+        cuts = np.cumsum(counts + 1)[:-1]
+        return np.split(at, cuts), np.split(cls, cuts), [unknown[a:b] for a, b in zip(parts, parts[1:])]
+
+    def encode_batch(self, texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray], list[list[bytes]]]:
+        """``encode_texts``, ``TEXTS`` texts at a time."""
+        out = ([], [], [])
+        for lo in range(0, len(texts), TEXTS):
+            for a, b in zip(out, self.encode_texts(texts.slice(lo, TEXTS)), strict=True):
+                a += b
+        return out
+
     def inputs(self, at: np.ndarray, cls: np.ndarray) -> np.ndarray:
         """Row of the input table: one for each head word, one for each tail class."""
         return np.where((at >= 0) & (at < self.n_head), at, HEAD + cls)
@@ -142,26 +178,37 @@ class _Grid:
         return n, live, np.where(live, self.first[None, :n] + step, 0)
 
 
-def _sigmoid(x):
-    """In place."""
-    np.negative(x, out=x)
-    np.exp(x, out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
+def _states(p, x, new, h):
+    """All steps of a window (``x``, ``new``: steps x lanes) from the states ``h``: the
+    states each step begins with, its gates, its new state, what the gates take
+    from the state, and the states after the window."""
+    steps, n = x.shape
+    states, new_h = np.empty((steps + 1, n, H), np.float32), np.empty((steps, n, H), np.float32)
+    e, hu = p["E"].take(x, 0), np.empty((steps, n, 3 * H), np.float32)
+    gates = np.negative(e[:, :, : 2 * H])  # -(e + hu) in the end
+    states[0] = h
+    one, u, begins = np.float32(1), p["U"], new.any(1).tolist()
+    for t, (s, a, g, c, ec, after) in enumerate(zip(states, hu, gates, new_h, e[:, :, 2 * H :], states[1:])):
+        if begins[t]:
+            s[new[t]] = 0
+        np.matmul(s, u, out=a)
+        np.subtract(g, a[:, : 2 * H], out=g)
+        np.exp(g, out=g)
+        np.add(g, one, out=g)
+        np.reciprocal(g, out=g)
+        np.multiply(g[:, H:], a[:, 2 * H :], out=c)
+        np.add(c, ec, out=c)
+        np.tanh(c, out=c)
+        np.subtract(s, c, out=after)
+        np.multiply(after, g[:, :H], out=after)
+        np.add(after, c, out=after)
+    return states[:-1], gates[:, :, :H], gates[:, :, H:], new_h, hu[:, :, 2 * H :], states[-1]
 
 
 def _step(p, x, h):
-    """One step of all lanes; what backpropagation needs."""
-    e, hu = p["E"].take(x, 0), h @ p["U"]
-    zr = _sigmoid(e[:, : 2 * H] + hu[:, : 2 * H])
-    z, r = zr[:, :H], zr[:, H:]
-    n = r * hu[:, 2 * H :]
-    n += e[:, 2 * H :]
-    np.tanh(n, out=n)
-    nxt = h - n
-    nxt *= z
-    nxt += n
-    return nxt, z, r, n, hu[:, 2 * H :]
+    """One step of all lanes: the new state, and what backpropagation needs."""
+    _, z, r, n, hun, nxt = _states(p, x[None], np.zeros((1, len(h)), bool), h)
+    return nxt, z[0], r[0], n[0], hun[0]
 
 
 def _softmax(a):
@@ -175,7 +222,7 @@ def _softmax(a):
 def _head_rows(k, head):
     """Rows of head words in the order of their class, and where each class begins."""
     order = np.flatnonzero(head)
-    order = order[np.argsort(k[order], kind="stable")]
+    order = order[np.argsort(k[order].astype(np.int16), kind="stable")]  # small integers sort by radix
     return order, np.searchsorted(k[order], np.arange(HEAD // WIDE + 1))
 
 
@@ -202,12 +249,7 @@ def score(v: Vocabulary, p: dict, places: list[np.ndarray], classes: list[np.nda
         hi = min(lo + WINDOW, grid.steps)
         n, live, flat = grid.window(lo, hi)
         x, new = grid.x[flat], grid.new[flat] & live
-        keep = (~new[:, :, None]).astype(np.float32)
-        states = np.empty((hi - lo, n, H), np.float32)
-        h = h[:n]
-        for t in range(hi - lo):
-            np.multiply(h, keep[t], out=states[t])
-            h = _step(p, x[t], states[t])[0]
+        states, _, _, _, _, h = _states(p, x, new, h[:n])
         s, flat = states[live], flat[live]
         d, k, a = grid.doc[flat], grid.cls[flat], grid.at[flat]
         ln = np.empty(len(s))
@@ -250,12 +292,7 @@ def train(v: Vocabulary, p: dict, places: list[np.ndarray], classes: list[np.nda
         hi = min(lo + STEPS, grid.steps)
         n, live, flat = grid.window(lo, hi)
         x, new = grid.x[flat], grid.new[flat] & live
-        keep = (~new[:, :, None]).astype(np.float32)
-        states, z, r, new_h, hun = (np.empty((hi - lo, n, H), np.float32) for _ in range(5))
-        h = h[:n]
-        for t in range(hi - lo):
-            np.multiply(h, keep[t], out=states[t])
-            h, z[t], r[t], new_h[t], hun[t] = _step(p, x[t], states[t])
+        states, z, r, new_h, hun, h = _states(p, x, new, h[:n])
         flat_g[:] = 0
         s, k, a = states[live], grid.cls[flat[live]], grid.at[flat[live]]
         size = np.float32(1 / max(1, len(s)))
@@ -282,24 +319,36 @@ def train(v: Vocabulary, p: dict, places: list[np.ndarray], classes: list[np.nda
         out[live] = ds
         # the factors of all steps at once; what is left for the steps is the chain of dh
         on = live[:, :, None]
-        to_n = (1 - z) * (1 - new_h * new_h) * on
-        to_z = (states - new_h) * z * (1 - z) * on
+        rest = 1 - z
+        to_n = new_h * new_h
+        np.subtract(1, to_n, out=to_n)
+        to_n *= rest
+        to_z = states - new_h
+        to_z *= z
+        to_z *= rest
+        if not live.all():
+            to_n *= on
+            to_z *= on
         to_r = hun * r * (1 - r)
-        dx, dhu = np.empty((2, hi - lo, n, 3 * H), np.float32)
-        dh, back = np.zeros((n, H), np.float32), p["U"].T.copy()
+        dn, dhu = np.empty((hi - lo, n, H), np.float32), np.empty((hi - lo, n, 3 * H), np.float32)
+        dh, back, begins = np.zeros((n, H), np.float32), p["U"].T.copy(), new.any(1).tolist()
+        more = np.empty_like(dh)
         for t in range(hi - lo - 1, -1, -1):
-            dn = np.multiply(dh, to_n[t], out=dx[t, :, 2 * H :])
-            np.multiply(dh, to_z[t], out=dx[t, :, :H])
-            np.multiply(dn, to_r[t], out=dx[t, :, H : 2 * H])
-            dhu[t, :, : 2 * H] = dx[t, :, : 2 * H]
-            np.multiply(dn, r[t], out=dhu[t, :, 2 * H :])
-            dh *= z[t]
-            dh += dhu[t] @ back
-            dh += out[t]
-            dh *= keep[t]
+            d, du = dn[t], dhu[t]
+            np.multiply(dh, to_n[t], out=d)
+            np.multiply(dh, to_z[t], out=du[:, :H])
+            np.multiply(d, to_r[t], out=du[:, H : 2 * H])
+            np.multiply(d, r[t], out=du[:, 2 * H :])
+            np.multiply(dh, z[t], out=dh)
+            np.add(dh, np.matmul(du, back, out=more), out=dh)
+            np.add(dh, out[t], out=dh)
+            if begins[t]:
+                dh[new[t]] = 0
+        dx = dhu.copy()
+        dx[:, :, 2 * H :] = dn
         g["U"][:] = states.reshape(-1, H).T @ dhu.reshape(-1, 3 * H)
         # sums by input row: rows in order, then one sum for each run
-        order = np.argsort(x, axis=None, kind="stable")
+        order = np.argsort(x.astype(np.int16), axis=None, kind="stable")
         rows = x.ravel()[order]
         runs = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
         g["E"][rows[runs]] = np.add.reduceat(dx.reshape(-1, 3 * H)[order], runs)

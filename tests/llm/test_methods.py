@@ -8,6 +8,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -464,3 +465,24 @@ def test_words_are_those_of_the_ranges_in_a_fraction_of_the_time(spark):
 
     new, old = (min(seconds(f) for _ in range(3)) for f in (decontaminate.words_of, by_ranges))
     assert 2 * new < old
+
+
+def test_texts_encoded_at_once_are_as_their_words_one_by_one():
+    from instalytics.llm import recurrent_lm as lm
+
+    texts = [None, "", "  ", "\x0b a\x0cB\r\n", "É Ü X\x1cY \x85z w", "\x00 q\x00", "end \n", "A b a", "zz b qq zz"]
+    words = [(t or "").encode().lower().split() + [lm.END] for t in texts]
+    counts = collections.Counter(w for x in words for w in x)
+    ends = {}
+    for w, n in counts.items():
+        e = ends.setdefault(w[-2:], (0, 0))
+        ends[w[-2:]] = (e[0] + n, e[1] + 1)
+    v = lm.Vocabulary({w: counts[w] for w in (lm.END, b"a", b"b", b"q\x00")}, ends, sum(counts.values()), len(counts))
+    for some in (pa.array(texts, pa.string()), pa.array(["x", *texts], pa.string()).slice(1)):
+        for one, at, cls, lost in zip(words, *v.encode_batch(some), strict=True):
+            expected = v.encode(one)
+            assert at.tolist() == expected[0].tolist() and cls.tolist() == expected[1].tolist() and lost == expected[2]
+        seen = collections.Counter()
+        for batch in lm_scoring._count([pa.RecordBatch.from_arrays([some], names=["text"])]):
+            seen.update(dict(zip(batch["token"].to_pylist(), batch["n"].to_pylist(), strict=True)))
+        assert seen == counts
