@@ -20,7 +20,6 @@ scores, one row each. Extra columns are not read.
 from __future__ import annotations
 
 import pickle
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -93,7 +92,12 @@ def train(training: DataFrame, v: lm.Vocabulary) -> dict:
             one_blas_thread()
             p, seen, voc = start.value, 0, words.value
             for batch in batches:
-                places, classes, _ = voc.encode_batch(batch.column("text"))
+                places, classes = [], []
+                for lo in range(0, batch.num_rows, lm.TEXTS):
+                    at, cls, counts, _, _ = voc.lookup(batch.column("text").slice(lo, lm.TEXTS))
+                    cuts = np.cumsum(counts)[:-1]
+                    places += np.split(at, cuts)
+                    classes += np.split(cls, cuts)
                 p, n = lm.train(voc, p, places, classes)
                 seen += n
             if seen:
@@ -120,27 +124,37 @@ def score(docs: DataFrame, v: lm.Vocabulary, weights: dict, counts: DataFrame) -
     def run(batches):
         one_blas_thread()
         voc, p = shared.value
-        log_count = np.log10(voc.count + 0.5)
+        # by place; the last entry is for words without one (-1), which have a count of their
+        # own and, in their class, a share of that over the total of the class
+        log_count, seen = np.append(np.log10(voc.count + 0.5), 0.0), np.append(voc.count > 0, False)
+        log_total = np.log10(voc.tail_total)
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            n_tokens, base, known, rare, times, share = [], [], [], [], [], []
-            places, classes, unknown = voc.encode_batch(batch.column("text"))
-            for at, cls, lost in zip(places, classes, unknown, strict=True):
-                n_tokens.append(len(at))
-                has = at[at >= 0]
-                base.append(float(log_count[has].sum()))
-                known.append(int((voc.count[has] > 0).sum()))
-                c = Counter(lost)
-                rare.append(list(c))
-                times.append(list(c.values()))
-                # words without a place have a count of their own, over the total of their class
-                share.append(-float(np.log10(voc.tail_total[cls[at < 0]]).sum()))
-            ln = lm.score(voc, p, places, classes)
-            n = len(n_tokens)
+            n_tokens, base, known, share, places, classes, rare, times = [], [], [], [], [], [], [], []
+            for lo in range(0, batch.num_rows, lm.TEXTS):
+                at, cls, counts, unknown, lost = voc.lookup(batch.column("text").slice(lo, lm.TEXTS))
+                stop = np.cumsum(counts)
+                first, n, text = stop - counts, len(counts), np.searchsorted(stop, lost, "right")
+                n_tokens.append(counts)
+                base.append(np.add.reduceat(log_count[at], first))
+                known.append(np.add.reduceat(seen[at].astype(np.int64), first))
+                share.append(-np.bincount(text, log_total[cls[lost]], n))
+                places += np.split(at, stop[:-1])
+                classes += np.split(cls, stop[:-1])
+                # each unknown word once a text, and how often
+                words = unknown.dictionary_encode()
+                kinds = max(1, len(words.dictionary))
+                each, often = np.unique(text * kinds + words.indices.to_numpy(), return_counts=True)
+                cuts = pa.array(np.searchsorted(each // kinds, np.arange(n + 1)), pa.int32())
+                rare.append(pa.ListArray.from_arrays(cuts, words.dictionary.take(pa.array(each % kinds))))
+                times.append(pa.ListArray.from_arrays(cuts, pa.array(often, pa.int64())))
+            if not n_tokens:
+                continue
+            n_tokens, base, known, share = map(np.concatenate, (n_tokens, base, known, share))
+            ln, n = lm.score(voc, p, places, classes), len(n_tokens)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(row, row + n)), batch.column("doc_id"), pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()),
-                 pa.array(np.array(base) - np.array(n_tokens) * norm), pa.array(ln / LN10 + np.array(share)),
-                 pa.array(rare, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int64()))],
+                 pa.array(base - n_tokens * norm), pa.array(ln / LN10 + share), pa.concat_arrays(rare), pa.concat_arrays(times)],
                 names=["row", "doc_id", "n_tokens", "known", "base", "ln", "rare", "times"])
             row += n
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import heapq
 from dataclasses import dataclass, field
+from functools import cached_property
 from itertools import repeat
 
 import numpy as np
@@ -35,9 +36,11 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Words of all texts (strings, null: empty), A-Z lower-cased, as bytes, and their number in each text."""
     parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
     words, at = parts.flatten(), parts.offsets.to_numpy()
-    full = pc.not_equal(words, "")  # white space at either end leaves an empty one
-    before = np.r_[0, np.cumsum(full.to_numpy(zero_copy_only=False))]
-    return words.filter(full).cast(pa.binary()), np.diff(before[at - at[0]])
+    full = pc.binary_length(words).to_numpy() > 0  # white space at either end leaves an empty one
+    if full.all():
+        return words.cast(pa.binary()), np.diff(at)
+    before = np.r_[0, np.cumsum(full)]
+    return words.filter(pa.array(full)).cast(pa.binary()), np.diff(before[at - at[0]])
 
 
 @dataclass
@@ -105,20 +108,35 @@ class Vocabulary:
             cls[lost] = [self.class_of(w) for w in unknown]
         return at, cls, unknown
 
-    def encode_texts(self, texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray], list[list[bytes]]]:
-        """As ``encode`` for the words of each text and the end, all texts at once."""
+    @cached_property
+    def _places(self) -> pa.Array:
+        return pa.array(list(self.place), pa.binary())
+
+    @cached_property
+    def _suffixes(self) -> pa.Array:
+        return pa.array(list(self.tail_class), pa.binary())
+
+    def lookup(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+        """Places (or -1) and classes of all words of the texts, one text after the other and
+        each with its end; the number of words of each text (its end included); the words
+        without a place, and where those stand."""
         words, counts = words_of(texts)
-        places = pc.index_in(words, value_set=pa.array(list(self.place), pa.binary()))
-        at = pc.fill_null(places, -1).to_numpy().astype(np.int32)
+        at = pc.fill_null(pc.index_in(words, value_set=self._places), -1).to_numpy()
         cls = self.cls[at]
         lost = np.flatnonzero(at < 0)
-        unknown = words.take(pa.array(lost)).to_pylist()
-        cls[lost] = [self.class_of(w) for w in unknown]
-        ends = np.cumsum(counts)
-        parts = np.searchsorted(lost, np.r_[0, ends]).tolist()
-        at, cls = np.insert(at, ends, 0), np.insert(cls, ends, self.cls[0])  # the end has place 0
-        cuts = np.cumsum(counts + 1)[:-1]
-        return np.split(at, cuts), np.split(cls, cuts), [unknown[a:b] for a, b in zip(parts, parts[1:])]
+        unknown = words.take(pa.array(lost))
+        ends = pc.index_in(pc.binary_slice(unknown, -2), value_set=self._suffixes)
+        cls[lost] = pc.fill_null(pc.add(ends, HEAD // WIDE), self.other).to_numpy()
+        # the end has place 0
+        stop = np.cumsum(counts)
+        return np.insert(at, stop, 0), np.insert(cls, stop, self.cls[0]), counts + 1, unknown, lost + np.searchsorted(stop, lost, "right")
+
+    def encode_texts(self, texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray], list[list[bytes]]]:
+        """As ``encode`` for the words of each text and the end, all texts at once."""
+        at, cls, counts, unknown, lost = self.lookup(texts)
+        cuts = np.cumsum(counts)
+        parts, unknown = np.searchsorted(lost, np.r_[0, cuts]).tolist(), unknown.to_pylist()
+        return np.split(at, cuts[:-1]), np.split(cls, cuts[:-1]), [unknown[a:b] for a, b in zip(parts, parts[1:])]
 
     def encode_batch(self, texts: pa.Array) -> tuple[list[np.ndarray], list[np.ndarray], list[list[bytes]]]:
         """``encode_texts``, ``TEXTS`` texts at a time."""
@@ -184,25 +202,27 @@ def _states(p, x, new, h):
     from the state, and the states after the window."""
     steps, n = x.shape
     states, new_h = np.empty((steps + 1, n, H), np.float32), np.empty((steps, n, H), np.float32)
-    e, hu = p["E"].take(x, 0), np.empty((steps, n, 3 * H), np.float32)
-    gates = np.negative(e[:, :, : 2 * H])  # -(e + hu) in the end
+    e, hu = p["E"].take(x, 0).reshape(steps, n, 3, H), np.empty((steps, n, 3 * H), np.float32)
+    # gate by gate, so that what a step works on lies together
+    gates = np.negative(e[:, :, :2].transpose(0, 2, 1, 3), out=np.empty((steps, 2, n, H), np.float32))  # -(e + hu) in the end
     states[0] = h
     one, u, begins = np.float32(1), p["U"], new.any(1).tolist()
-    for t, (s, a, g, c, ec, after) in enumerate(zip(states, hu, gates, new_h, e[:, :, 2 * H :], states[1:])):
+    by_gate = hu.reshape(steps, n, 3, H).transpose(0, 2, 1, 3)
+    for t, (s, a, b, g, c, ec, after) in enumerate(zip(states, hu, by_gate, gates, new_h, np.ascontiguousarray(e[:, :, 2]), states[1:])):
         if begins[t]:
             s[new[t]] = 0
-        np.matmul(s, u, out=a)
-        np.subtract(g, a[:, : 2 * H], out=g)
+        np.dot(s, u, out=a)
+        np.subtract(g, b[:2], out=g)
         np.exp(g, out=g)
         np.add(g, one, out=g)
         np.reciprocal(g, out=g)
-        np.multiply(g[:, H:], a[:, 2 * H :], out=c)
+        np.multiply(g[1], b[2], out=c)
         np.add(c, ec, out=c)
         np.tanh(c, out=c)
         np.subtract(s, c, out=after)
-        np.multiply(after, g[:, :H], out=after)
+        np.multiply(after, g[0], out=after)
         np.add(after, c, out=after)
-    return states[:-1], gates[:, :, :H], gates[:, :, H:], new_h, hu[:, :, 2 * H :], states[-1]
+    return states[:-1], gates[:, 0], gates[:, 1], new_h, by_gate[:, 2], states[-1]
 
 
 def _step(p, x, h):
@@ -211,12 +231,17 @@ def _step(p, x, h):
     return nxt, z[0], r[0], n[0], hun[0]
 
 
-def _softmax(a):
-    """In place."""
-    a -= a.max(1, keepdims=True)
-    np.exp(a, out=a)
-    a /= a.sum(1, keepdims=True)
-    return a
+def _softmax(a, size=1.0):
+    """Shares of each row, times ``size``."""
+    ones = np.ones(a.shape[1], np.float32)
+    with np.errstate(over="ignore"):
+        out = np.exp(a)
+        total = out @ ones
+    if len(a) and not (total.min() > 1e-30 and total.max() < 1e30):  # beyond 32 bits without its greatest
+        out = np.exp(a - a.max(1, keepdims=True))
+        total = out @ ones
+    out *= (np.float32(size) / total)[:, None]
+    return out
 
 
 def _head_rows(k, head):
@@ -226,13 +251,25 @@ def _head_rows(k, head):
     return order, np.searchsorted(k[order], np.arange(HEAD // WIDE + 1))
 
 
-def _head_logits(p, s, k, cuts):
-    """Logits inside their class of rows in the order of the class."""
+def _and_one(s):
+    """States with a column of ones, which takes the biases into the products."""
+    out = np.empty((len(s), H + 1), np.float32)
+    out[:, :H] = s
+    out[:, H] = 1
+    return out
+
+
+def _with_bias(p):
+    """Weights of the classes, and of the words of each, with their biases as a last row."""
+    return np.concatenate([p["Wc"], p["bc"][None]]), np.concatenate([p["Wk"], p["bk"][:, None]], 1)
+
+
+def _head_logits(wk, s, cuts):
+    """Logits inside their class of rows (``_and_one``) in the order of the class."""
     out = np.empty((len(s), WIDE), np.float32)
-    for c in range(HEAD // WIDE):
-        if cuts[c] < cuts[c + 1]:
-            np.matmul(s[cuts[c] : cuts[c + 1]], p["Wk"][c], out=out[cuts[c] : cuts[c + 1]])
-    out += p["bk"][k]
+    for w, b, e in zip(wk, cuts, cuts[1:]):
+        if b < e:
+            np.matmul(s[b:e], w, out=out[b:e])
     return out
 
 
@@ -245,24 +282,24 @@ def score(v: Vocabulary, p: dict, places: list[np.ndarray], classes: list[np.nda
     deal = lay_out([len(a) for a in places], LANES)
     grid = _Grid(deal, places, classes, v)
     h = np.zeros((grid.lanes, H), np.float32)
+    wc, wk = _with_bias(p)
     for lo in range(0, grid.steps, WINDOW):
         hi = min(lo + WINDOW, grid.steps)
         n, live, flat = grid.window(lo, hi)
         x, new = grid.x[flat], grid.new[flat] & live
         states, _, _, _, _, h = _states(p, x, new, h[:n])
-        s, flat = states[live], flat[live]
+        s, flat = _and_one(states[live]), flat[live]
         d, k, a = grid.doc[flat], grid.cls[flat], grid.at[flat]
         ln = np.empty(len(s))
         for i in range(0, len(s), ROWS):  # what stays in the cache
-            logits = s[i : i + ROWS] @ p["Wc"]
-            logits += p["bc"]
+            logits = s[i : i + ROWS] @ wc
             ln[i : i + ROWS] = logits[np.arange(len(logits)), k[i : i + ROWS]]
             np.exp(logits, out=logits)
             ln[i : i + ROWS] -= np.log(logits @ np.ones(v.classes, np.float32))
         head = (a >= 0) & (a < v.n_head)
         ln += np.where(head | (a < 0), 0.0, v.log_share[a])
         order, cuts = _head_rows(k, head)
-        w = _head_logits(p, s[order], k[order], cuts)
+        w = _head_logits(wk, s[order], cuts.tolist())
         w -= w.max(1, keepdims=True)
         ln[order] += w[np.arange(len(w)), a[order] % WIDE]
         np.exp(w, out=w)
@@ -288,37 +325,39 @@ def train(v: Vocabulary, p: dict, places: list[np.ndarray], classes: list[np.nda
     deal = lay_out([len(a) for a in places], lanes)
     grid = _Grid(deal, places, classes, v)
     h = np.zeros((grid.lanes, H), np.float32)
+    cells = np.arange(p["E"].size).reshape(p["E"].shape)
     for i, lo in enumerate(range(0, grid.steps, STEPS)):
         hi = min(lo + STEPS, grid.steps)
         n, live, flat = grid.window(lo, hi)
         x, new = grid.x[flat], grid.new[flat] & live
         states, z, r, new_h, hun, h = _states(p, x, new, h[:n])
-        flat_g[:] = 0
-        s, k, a = states[live], grid.cls[flat[live]], grid.at[flat[live]]
+        full = bool(live.all())
+        s, flat = (states.reshape(-1, H), flat.ravel()) if full else (states[live], flat[live])
+        k, a = grid.cls[flat], grid.at[flat]
         size = np.float32(1 / max(1, len(s)))
-        d = s @ p["Wc"]
-        d += p["bc"]
-        d = _softmax(d)
-        d[np.arange(len(s)), k] -= 1
-        d *= size
-        g["Wc"][:], g["bc"][:] = s.T @ d, d.sum(0)
+        s, (wc, wk) = _and_one(s), _with_bias(p)
+        d = _softmax(s @ wc, size)
+        d[np.arange(len(s)), k] -= size
+        slope = (d.T @ s).T
+        g["Wc"][:], g["bc"][:] = slope[:H], slope[H]
         ds = d @ p["Wc"].T
         order, cuts = _head_rows(k, (a >= 0) & (a < v.n_head))
-        sh = s[order]
-        d = _softmax(_head_logits(p, sh, k[order], cuts))
-        d[np.arange(len(order)), a[order] % WIDE] -= 1
-        d *= size
-        dsh = np.empty_like(sh)
-        for c in range(HEAD // WIDE):
-            part = slice(cuts[c], cuts[c + 1])
-            if cuts[c] < cuts[c + 1]:
-                g["Wk"][c], g["bk"][c] = sh[part].T @ d[part], d[part].sum(0)
-                dsh[part] = d[part] @ p["Wk"][c].T
+        cuts, sh = cuts.tolist(), s[order]
+        d = _softmax(_head_logits(wk, sh, cuts), size)
+        d[np.arange(len(order)), a[order] % WIDE] -= size
+        dsh, turned, slope = np.empty((len(sh), H), np.float32), sh.T, np.zeros_like(wk)
+        for b, e, w, to in zip(cuts, cuts[1:], p["Wk"], slope):
+            if b < e:
+                np.matmul(turned[:, b:e], d[b:e], out=to)
+                np.matmul(d[b:e], w.T, out=dsh[b:e])
+        g["Wk"][:], g["bk"][:] = slope[:, :H], slope[:, H]
         ds[order] += dsh
-        out = np.zeros((hi - lo, n, H), np.float32)
-        out[live] = ds
+        if full:
+            out = ds.reshape(hi - lo, n, H)
+        else:
+            out = np.zeros((hi - lo, n, H), np.float32)
+            out[live] = ds
         # the factors of all steps at once; what is left for the steps is the chain of dh
-        on = live[:, :, None]
         rest = 1 - z
         to_n = new_h * new_h
         np.subtract(1, to_n, out=to_n)
@@ -326,32 +365,34 @@ def train(v: Vocabulary, p: dict, places: list[np.ndarray], classes: list[np.nda
         to_z = states - new_h
         to_z *= z
         to_z *= rest
-        if not live.all():
+        if not full:
+            on = live[:, :, None]
             to_n *= on
             to_z *= on
-        to_r = hun * r * (1 - r)
-        dn, dhu = np.empty((hi - lo, n, H), np.float32), np.empty((hi - lo, n, 3 * H), np.float32)
-        dh, back, begins = np.zeros((n, H), np.float32), p["U"].T.copy(), new.any(1).tolist()
-        more = np.empty_like(dh)
+        to_r = 1 - r
+        to_r *= r
+        to_r *= hun
+        factors = np.empty((hi - lo, n, 3, H), np.float32)
+        factors[:, :, 0] = to_z
+        np.multiply(to_n, to_r, out=factors[:, :, 1])
+        np.multiply(to_n, r, out=factors[:, :, 2])
+        chain, dhu = np.empty((hi - lo + 1, n, H), np.float32), np.empty((hi - lo, n, 3 * H), np.float32)
+        back, begins = p["U"].T.copy(), new.any(1).tolist()
+        chain[-1] = 0
+        more = np.empty((n, H), np.float32)
+        split = dhu.reshape(hi - lo, n, 3, H)
         for t in range(hi - lo - 1, -1, -1):
-            d, du = dn[t], dhu[t]
-            np.multiply(dh, to_n[t], out=d)
-            np.multiply(dh, to_z[t], out=du[:, :H])
-            np.multiply(d, to_r[t], out=du[:, H : 2 * H])
-            np.multiply(d, r[t], out=du[:, 2 * H :])
-            np.multiply(dh, z[t], out=dh)
-            np.add(dh, np.matmul(du, back, out=more), out=dh)
-            np.add(dh, out[t], out=dh)
+            dh, before = chain[t + 1], chain[t]
+            np.multiply(dh[:, None], factors[t], out=split[t])
+            np.multiply(dh, z[t], out=before)
+            np.add(before, np.dot(dhu[t], back, out=more), out=before)
+            np.add(before, out[t], out=before)
             if begins[t]:
-                dh[new[t]] = 0
-        dx = dhu.copy()
-        dx[:, :, 2 * H :] = dn
-        g["U"][:] = states.reshape(-1, H).T @ dhu.reshape(-1, 3 * H)
-        # sums by input row: rows in order, then one sum for each run
-        order = np.argsort(x.astype(np.int16), axis=None, kind="stable")
-        rows = x.ravel()[order]
-        runs = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-        g["E"][rows[runs]] = np.add.reduceat(dx.reshape(-1, 3 * H)[order], runs)
+                before[new[t]] = 0
+        g["U"][:] = (dhu.reshape(-1, 3 * H).T @ states.reshape(-1, H)).T
+        # sums by input row
+        np.multiply(chain[1:], to_n, out=split[:, :, 2])
+        g["E"].ravel()[:] = np.bincount(cells.take(x.ravel(), 0).ravel(), dhu.ravel(), cells.size)
         flat_g *= np.float32(min(1.0, 1.0 / (np.sqrt(float(flat_g @ flat_g)) + 1e-9)))
         m1 *= np.float32(0.9)
         m1 += np.multiply(flat_g, np.float32(0.1), out=step)

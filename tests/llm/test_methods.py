@@ -486,3 +486,37 @@ def test_texts_encoded_at_once_are_as_their_words_one_by_one():
         for batch in lm_scoring._count([pa.RecordBatch.from_arrays([some], names=["text"])]):
             seen.update(dict(zip(batch["token"].to_pylist(), batch["n"].to_pylist(), strict=True)))
         assert seen == counts
+
+
+def test_lookup_is_as_the_words_one_by_one():
+    from instalytics.llm import recurrent_lm as lm
+
+    words = [[b"a", b"zz", b"b", b"zz"], [], [b"q"], [b"xa", b"a"]]
+    v = lm.Vocabulary({lm.END: 4, b"a": 2, b"b": 1}, {b"\n": (4, 1), b"a": (2, 1), b"b": (1, 1), b"zz": (2, 1), b"q": (1, 1), b"xa": (1, 1)}, 11, 6)
+    at, cls, counts, unknown, lost = v.lookup(pa.array([" ".join(w.decode() for w in x) for x in words]))
+    expected = [v.encode([*x, lm.END]) for x in words]
+    assert at.tolist() == [i for x in expected for i in x[0]] and cls.tolist() == [i for x in expected for i in x[1]]
+    assert counts.tolist() == [5, 1, 2, 3] and unknown.to_pylist() == [b"zz", b"zz", b"q", b"xa"] and lost.tolist() == np.flatnonzero(at < 0).tolist()
+
+
+def test_shares_hold_where_exponentials_leave_32_bits():
+    from instalytics.llm import recurrent_lm as lm
+
+    a = np.array([[200, 199, -1e9], [-300, -301, -400], [0, 1, 2]], np.float32)
+    e = np.exp(a.astype(float) - a.max(1, keepdims=True))
+    assert np.allclose(lm._softmax(a, 0.5), 0.5 * e / e.sum(1, keepdims=True), rtol=1e-5)
+
+
+def test_words_beyond_the_dictionary_count_in_full(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "DICTIONARY", 4)
+    texts = {i: " ".join(f"w{(i * j) % 23}" for j in range(i % 40)) + (" new new other" if i % 3 == 0 else "") for i in range(1200)}
+    d = spark.createDataFrame([*texts.items(), (1200, None)], "doc_id long, text string").repartition(2)
+    out, n = lm_scoring.lm_scores(d, d.where("doc_id % 3 = 1"))
+    tokens = {k: [*(t or "").encode().split(), b"\n"] for k, t in [*texts.items(), (1200, None)]}
+    c = collections.Counter(w for k, t in tokens.items() if k % 3 == 1 for w in t)
+    norm = math.log10(c.total() + 0.5 * (len(c) + 1))
+    got = {r.doc_id: r for r in out.collect()}
+    assert n == c.total() and len(got) == 1201
+    for k, t in tokens.items():
+        assert (got[k].n_tokens, got[k].n_known) == (len(t), sum(c[w] > 0 for w in t))
+        assert math.isclose(got[k].base_score, sum(math.log10(c[w] + 0.5) - norm for w in t), rel_tol=1e-9)
