@@ -231,17 +231,12 @@ def _step(p, x, h):
     return nxt, z[0], r[0], n[0], hun[0]
 
 
-def _softmax(a, size=1.0):
-    """Shares of each row, times ``size``."""
-    ones = np.ones(a.shape[1], np.float32)
-    with np.errstate(over="ignore"):
-        out = np.exp(a)
-        total = out @ ones
-    if len(a) and not (total.min() > 1e-30 and total.max() < 1e30):  # beyond 32 bits without its greatest
-        out = np.exp(a - a.max(1, keepdims=True))
-        total = out @ ones
-    out *= (np.float32(size) / total)[:, None]
-    return out
+def _softmax(a):
+    """In place."""
+    a -= a.max(1, keepdims=True)
+    np.exp(a, out=a)
+    a /= a.sum(1, keepdims=True)
+    return a
 
 
 def _head_rows(k, head):
@@ -251,25 +246,13 @@ def _head_rows(k, head):
     return order, np.searchsorted(k[order], np.arange(HEAD // WIDE + 1))
 
 
-def _and_one(s):
-    """States with a column of ones, which takes the biases into the products."""
-    out = np.empty((len(s), H + 1), np.float32)
-    out[:, :H] = s
-    out[:, H] = 1
-    return out
-
-
-def _with_bias(p):
-    """Weights of the classes, and of the words of each, with their biases as a last row."""
-    return np.concatenate([p["Wc"], p["bc"][None]]), np.concatenate([p["Wk"], p["bk"][:, None]], 1)
-
-
-def _head_logits(wk, s, cuts):
-    """Logits inside their class of rows (``_and_one``) in the order of the class."""
+def _head_logits(p, s, k, cuts):
+    """Logits inside their class of rows in the order of the class."""
     out = np.empty((len(s), WIDE), np.float32)
-    for w, b, e in zip(wk, cuts, cuts[1:]):
+    for w, b, e in zip(p["Wk"], cuts, cuts[1:]):
         if b < e:
             np.matmul(s[b:e], w, out=out[b:e])
+    out += p["bk"].take(k, 0)
     return out
 
 
@@ -282,24 +265,24 @@ def score(v: Vocabulary, p: dict, places: list[np.ndarray], classes: list[np.nda
     deal = lay_out([len(a) for a in places], LANES)
     grid = _Grid(deal, places, classes, v)
     h = np.zeros((grid.lanes, H), np.float32)
-    wc, wk = _with_bias(p)
     for lo in range(0, grid.steps, WINDOW):
         hi = min(lo + WINDOW, grid.steps)
         n, live, flat = grid.window(lo, hi)
         x, new = grid.x[flat], grid.new[flat] & live
         states, _, _, _, _, h = _states(p, x, new, h[:n])
-        s, flat = _and_one(states[live]), flat[live]
+        s, flat = states[live], flat[live]
         d, k, a = grid.doc[flat], grid.cls[flat], grid.at[flat]
         ln = np.empty(len(s))
         for i in range(0, len(s), ROWS):  # what stays in the cache
-            logits = s[i : i + ROWS] @ wc
+            logits = s[i : i + ROWS] @ p["Wc"]
+            logits += p["bc"]
             ln[i : i + ROWS] = logits[np.arange(len(logits)), k[i : i + ROWS]]
             np.exp(logits, out=logits)
             ln[i : i + ROWS] -= np.log(logits @ np.ones(v.classes, np.float32))
         head = (a >= 0) & (a < v.n_head)
         ln += np.where(head | (a < 0), 0.0, v.log_share[a])
         order, cuts = _head_rows(k, head)
-        w = _head_logits(wk, s[order], cuts.tolist())
+        w = _head_logits(p, s[order], k[order], cuts.tolist())
         w -= w.max(1, keepdims=True)
         ln[order] += w[np.arange(len(w)), a[order] % WIDE]
         np.exp(w, out=w)
@@ -325,7 +308,6 @@ def train(v: Vocabulary, p: dict, places: list[np.ndarray], classes: list[np.nda
     deal = lay_out([len(a) for a in places], lanes)
     grid = _Grid(deal, places, classes, v)
     h = np.zeros((grid.lanes, H), np.float32)
-    cells = np.arange(p["E"].size).reshape(p["E"].shape)
     for i, lo in enumerate(range(0, grid.steps, STEPS)):
         hi = min(lo + STEPS, grid.steps)
         n, live, flat = grid.window(lo, hi)
@@ -335,22 +317,26 @@ def train(v: Vocabulary, p: dict, places: list[np.ndarray], classes: list[np.nda
         s, flat = (states.reshape(-1, H), flat.ravel()) if full else (states[live], flat[live])
         k, a = grid.cls[flat], grid.at[flat]
         size = np.float32(1 / max(1, len(s)))
-        s, (wc, wk) = _and_one(s), _with_bias(p)
-        d = _softmax(s @ wc, size)
-        d[np.arange(len(s)), k] -= size
-        slope = (d.T @ s).T
-        g["Wc"][:], g["bc"][:] = slope[:H], slope[H]
+        d = s @ p["Wc"]
+        d += p["bc"]
+        d = _softmax(d)
+        d[np.arange(len(s)), k] -= 1
+        d *= size
+        g["Wc"][:], g["bc"][:] = s.T @ d, d.sum(0)
         ds = d @ p["Wc"].T
         order, cuts = _head_rows(k, (a >= 0) & (a < v.n_head))
         cuts, sh = cuts.tolist(), s[order]
-        d = _softmax(_head_logits(wk, sh, cuts), size)
-        d[np.arange(len(order)), a[order] % WIDE] -= size
-        dsh, turned, slope = np.empty((len(sh), H), np.float32), sh.T, np.zeros_like(wk)
-        for b, e, w, to in zip(cuts, cuts[1:], p["Wk"], slope):
+        d = _softmax(_head_logits(p, sh, k[order], cuts))
+        d[np.arange(len(order)), a[order] % WIDE] -= 1
+        d *= size
+        dsh, turned = np.empty_like(sh), sh.T
+        g["Wk"][:], g["bk"][:] = 0, 0
+        for b, e, w, to_w, to_b in zip(cuts, cuts[1:], p["Wk"], g["Wk"], g["bk"]):
             if b < e:
-                np.matmul(turned[:, b:e], d[b:e], out=to)
-                np.matmul(d[b:e], w.T, out=dsh[b:e])
-        g["Wk"][:], g["bk"][:] = slope[:, :H], slope[:, H]
+                part = d[b:e]
+                np.matmul(turned[:, b:e], part, out=to_w)
+                np.add.reduce(part, 0, out=to_b)
+                np.matmul(part, w.T, out=dsh[b:e])
         ds[order] += dsh
         if full:
             out = ds.reshape(hi - lo, n, H)
@@ -369,30 +355,32 @@ def train(v: Vocabulary, p: dict, places: list[np.ndarray], classes: list[np.nda
             on = live[:, :, None]
             to_n *= on
             to_z *= on
-        to_r = 1 - r
-        to_r *= r
-        to_r *= hun
-        factors = np.empty((hi - lo, n, 3, H), np.float32)
-        factors[:, :, 0] = to_z
-        np.multiply(to_n, to_r, out=factors[:, :, 1])
-        np.multiply(to_n, r, out=factors[:, :, 2])
-        chain, dhu = np.empty((hi - lo + 1, n, H), np.float32), np.empty((hi - lo, n, 3 * H), np.float32)
-        back, begins = p["U"].T.copy(), new.any(1).tolist()
-        chain[-1] = 0
-        more = np.empty((n, H), np.float32)
-        split = dhu.reshape(hi - lo, n, 3, H)
+        to_hu = np.empty((hi - lo, 2, n, H), np.float32)
+        np.multiply(hun, r, out=to_hu[:, 0])
+        to_hu[:, 0] *= 1 - r
+        to_hu[:, 1] = r
+        dn, dhu = np.empty((hi - lo, n, H), np.float32), np.empty((hi - lo, n, 3 * H), np.float32)
+        dh, back, begins = np.zeros((n, H), np.float32), p["U"].T.copy(), new.any(1).tolist()
+        more = np.empty_like(dh)
+        split = dhu.reshape(hi - lo, n, 3, H).transpose(0, 2, 1, 3)
         for t in range(hi - lo - 1, -1, -1):
-            dh, before = chain[t + 1], chain[t]
-            np.multiply(dh[:, None], factors[t], out=split[t])
-            np.multiply(dh, z[t], out=before)
-            np.add(before, np.dot(dhu[t], back, out=more), out=before)
-            np.add(before, out[t], out=before)
+            d, du = dn[t], split[t]
+            np.multiply(dh, to_z[t], out=du[0])
+            np.multiply(dh, to_n[t], out=d)
+            np.multiply(d, to_hu[t], out=du[1:])
+            np.multiply(dh, z[t], out=dh)
+            np.add(dh, np.dot(dhu[t], back, out=more), out=dh)
+            np.add(dh, out[t], out=dh)
             if begins[t]:
-                before[new[t]] = 0
-        g["U"][:] = (dhu.reshape(-1, 3 * H).T @ states.reshape(-1, H)).T
-        # sums by input row
-        np.multiply(chain[1:], to_n, out=split[:, :, 2])
-        g["E"].ravel()[:] = np.bincount(cells.take(x.ravel(), 0).ravel(), dhu.ravel(), cells.size)
+                dh[new[t]] = 0
+        g["U"][:] = states.reshape(-1, H).T @ dhu.reshape(-1, 3 * H)
+        split[:, 2] = dn
+        # sums by input row: rows in order, then one sum for each run
+        order = np.argsort(x.astype(np.int16), axis=None, kind="stable")
+        rows = x.ravel()[order]
+        runs = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+        g["E"][:] = 0
+        g["E"][rows[runs]] = np.add.reduceat(dhu.reshape(-1, 3 * H).take(order, 0), runs)
         flat_g *= np.float32(min(1.0, 1.0 / (np.sqrt(float(flat_g @ flat_g)) + 1e-9)))
         m1 *= np.float32(0.9)
         m1 += np.multiply(flat_g, np.float32(0.1), out=step)
